@@ -14,6 +14,7 @@ from ..functions import fixed_values as V
 from ..functions.text import delete_emoji
 from ..operators import corpus as C
 from ..operators import langid
+from ..operators import split as S
 from ..sources import fixtures as X
 from . import oracle as O
 
@@ -80,6 +81,41 @@ def q_clean_turn_pairs(spark, sf_dir) -> DataFrame:
     return C.clean_dialogues(t)
 
 
+# --- splits and selection (on documents, key doc_id) -------------------------
+
+SPLIT_TEST_ROWS = 10          # sf0.01 languages hold 106 to 620 documents
+SPLIT_CAPS = (100, 10, 10)    # caps scaled to the test data
+SAMPLE_ROWS = V.SMALL_TRUE
+
+
+def _docs(spark, sf_dir):
+    return X.table(spark, sf_dir, "documents").select("doc_id", "lang")
+
+
+def q_split_tail(spark, sf_dir) -> DataFrame:
+    return S.split_tail(_docs(spark, sf_dir), "doc_id", SPLIT_TEST_ROWS, V.TAIL_RATIO)
+
+
+def q_split_ratio_capped(spark, sf_dir) -> DataFrame:
+    return S.split_ratio(_docs(spark, sf_dir), "doc_id", V.RATIO_BORDERS, SPLIT_CAPS, V.SEED)
+
+
+def q_split_percent(spark, sf_dir) -> DataFrame:
+    return S.split_percent(_docs(spark, sf_dir), "doc_id", V.PERCENT_SPLIT)
+
+
+def q_sample_train(spark, sf_dir) -> DataFrame:
+    s = S.split_ratio(_docs(spark, sf_dir), "doc_id", V.RATIO_BORDERS, None)
+    return S.sample_rows(S.select_split(s, "train"), "doc_id", SAMPLE_ROWS, True, V.SEED).select("doc_id", "lang")
+
+
+def q_examples(spark, sf_dir) -> DataFrame:
+    p = X.predictions(spark, sf_dir)
+    s = S.split_ratio(p, "pair_id", V.RATIO_BORDERS, None)
+    t = S.sample_rows(S.select_split(s, "test"), "pair_id", V.EXAMPLE_ROWS, True, V.SEED)
+    return t.select("lang", "pair_id", "pred", "ref")
+
+
 QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
@@ -87,6 +123,11 @@ QUERIES = {
     "generate_dialogues": q_generate_dialogues,
     "dialogue_corpus": q_dialogue_corpus,
     "clean_turn_pairs": q_clean_turn_pairs,
+    "split_tail": q_split_tail,
+    "split_ratio_capped": q_split_ratio_capped,
+    "split_percent": q_split_percent,
+    "sample_train": q_sample_train,
+    "examples": q_examples,
 }
 
 
@@ -101,6 +142,22 @@ def _corpus_sql(final: str, upto: str = "cleaned", langs=QUERY_LANGS) -> str:
     return O.with_(*ctes) + final
 
 
+def _ranked(src: str, key: str) -> str:
+    return (f"rk AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {key}) AS rn, "
+            f"count(*) OVER (PARTITION BY lang) AS n FROM {src})")
+
+
+def _ratio_split(src: str, key: str) -> str:
+    return _ranked(src, key) + f""",
+sp AS (SELECT * EXCLUDE (rn, n), CASE WHEN rn <= floor(n * {V.RATIO_BORDERS[0]}::DOUBLE) THEN 'train'
+                         WHEN rn <= floor(n * {V.RATIO_BORDERS[1]}::DOUBLE) THEN 'eval' ELSE 'test' END AS split
+       FROM rk)"""
+
+
+def _md5(key: str) -> str:
+    return f"md5('{V.SEED}|' || CAST({key} AS VARCHAR))"
+
+
 ORACLE = {
     "lang_model": O.with_(O.MODEL) + "SELECT gram, lang, round(ln(c + 1), 6) AS w FROM lm_counts",
     "classify_lang": O.with_(
@@ -115,4 +172,20 @@ ORACLE = {
         "tp AS (SELECT 'all' AS lang, '' AS title, source_body, target_body, '' AS link_id, "
         "'' AS source_id, pair_id AS target_id FROM turn_pairs)",
         O.clean_ctes("tp")) + "SELECT * FROM cleaned",
+    "split_tail": O.with_(_ranked("documents", "doc_id")) + (
+        f"SELECT doc_id, lang, CASE WHEN rn <= floor((n - {SPLIT_TEST_ROWS}) / {V.TAIL_RATIO}::DOUBLE) THEN 'train' "
+        f"WHEN rn <= n - {SPLIT_TEST_ROWS} THEN 'eval' ELSE 'test' END AS split FROM rk"),
+    "split_ratio_capped": O.with_(_ratio_split("(SELECT doc_id, lang FROM documents)", "doc_id")) + (
+        f"SELECT doc_id, lang, split FROM (SELECT *, row_number() OVER (PARTITION BY lang, split "
+        f"ORDER BY {_md5('doc_id')}) AS k FROM sp) WHERE k <= CASE split WHEN 'train' THEN {SPLIT_CAPS[0]} "
+        f"WHEN 'eval' THEN {SPLIT_CAPS[1]} ELSE {SPLIT_CAPS[2]} END"),
+    "split_percent": O.with_(_ranked("documents", "doc_id")) + (
+        f"SELECT doc_id, lang, CASE WHEN rn <= roundbankers(n * {V.PERCENT_SPLIT[0]} / 100.0::DOUBLE, 0) THEN 'train' "
+        f"WHEN rn <= roundbankers(n * {V.PERCENT_SPLIT[1]} / 100.0::DOUBLE, 0) THEN 'eval' ELSE 'test' END AS split FROM rk"),
+    "sample_train": O.with_(_ratio_split("(SELECT doc_id, lang FROM documents)", "doc_id")) + (
+        f"SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_md5('doc_id')}) AS k "
+        f"FROM sp WHERE split = 'train') WHERE k <= {SAMPLE_ROWS}"),
+    "examples": O.with_(O.PREDICTIONS, _ratio_split("predictions", "pair_id")) + (
+        f"SELECT lang, pair_id, pred, ref FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_md5('pair_id')}) AS k "
+        f"FROM sp WHERE split = 'test') WHERE k <= {V.EXAMPLE_ROWS}"),
 }
