@@ -14,9 +14,13 @@ from ..functions import fixed_values as V
 from ..functions.text import delete_emoji
 from ..operators import corpus as C
 from ..operators import langid
+from ..operators import metrics as M
 from ..operators import split as S
+from ..functions.ngrams import ngrams
+from ..functions.text import whitespace_tokens
 from ..sources import fixtures as X
 from . import oracle as O
+from . import oracle_metrics as OM
 
 QUERY_LANGS = V.LANGS_WITH_EN   # the longer list; sf0.001 turns are mostly English
 
@@ -116,6 +120,32 @@ def q_examples(spark, sf_dir) -> DataFrame:
     return t.select("lang", "pair_id", "pred", "ref")
 
 
+# --- metrics (on predictions from documents, vectors from embeddings) -------
+
+def _rv(df: DataFrame) -> DataFrame:
+    return df.withColumn("value", r6(F.col("value")))
+
+
+def _metric(name, by=(), vectors=False):
+    def run(spark, sf_dir):
+        v = X.token_vectors(spark, sf_dir) if vectors else None
+        return _rv(M.compute_metric(name, X.predictions(spark, sf_dir), v, by))
+    run.__name__ = f"q_{name}"
+    return run
+
+
+def q_greedy_match(spark, sf_dir) -> DataFrame:
+    return _rv(M.greedy_match(X.token_vectors(spark, sf_dir)))
+
+
+def q_bigram_counts(spark, sf_dir) -> DataFrame:
+    """Bigrams of every prediction counted per language (those seen twice or more)."""
+    p = X.predictions(spark, sf_dir).select("lang", whitespace_tokens("pred").alias("t"))
+    g = p.select("lang", F.explode(ngrams("t", 2)).alias("gram")).groupBy("lang", "gram").agg(
+        F.count(F.lit(1)).alias("n"))
+    return g.where(F.col("n") >= 2).select("lang", F.array_join("gram", " ").alias("gram"), "n")
+
+
 QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
@@ -128,6 +158,15 @@ QUERIES = {
     "split_percent": q_split_percent,
     "sample_train": q_sample_train,
     "examples": q_examples,
+    "bigram_counts": q_bigram_counts,
+    "sentence_distinct": _metric("sentence_distinct"),
+    "corpus_distinct": _metric("corpus_distinct"),
+    "ngram_entropy": _metric("entropy"),
+    "bleu": _metric("bleu"),
+    "sacrebleu": _metric("sacrebleu"),
+    "greedy_match": q_greedy_match,
+    "metrics_by_lang": _metric("all", ["lang"]),
+    "all_metrics": _metric("all", (), vectors=True),
 }
 
 
@@ -158,6 +197,18 @@ def _md5(key: str) -> str:
     return f"md5('{V.SEED}|' || CAST({key} AS VARCHAR))"
 
 
+TK = f"tk AS (SELECT pair_id, lang, {OM.metric_tokens('pred')} AS t FROM predictions)"
+
+
+def _metrics_sql(by=(), vectors=False) -> str:
+    parts = [OM.bleu("predictions", by), OM.sacrebleu("predictions", by)]
+    if vectors:
+        parts.append(OM.greedy_match("token_vectors"))
+    parts += [OM.sentence_distinct("tk", by), OM.corpus_distinct("tk", by), OM.entropy("tk", by)]
+    ctes = [O.PREDICTIONS, TK] + ([O.TOKEN_VECTORS] if vectors else [])
+    return O.with_(*ctes) + "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
+
+
 ORACLE = {
     "lang_model": O.with_(O.MODEL) + "SELECT gram, lang, round(ln(c + 1), 6) AS w FROM lm_counts",
     "classify_lang": O.with_(
@@ -188,4 +239,16 @@ ORACLE = {
     "examples": O.with_(O.PREDICTIONS, _ratio_split("predictions", "pair_id")) + (
         f"SELECT lang, pair_id, pred, ref FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_md5('pair_id')}) AS k "
         f"FROM sp WHERE split = 'test') WHERE k <= {V.EXAMPLE_ROWS}"),
+    "bigram_counts": O.with_(O.PREDICTIONS) + (
+        f"SELECT lang, array_to_string(gram, ' ') AS gram, count(*) AS n FROM (SELECT lang, "
+        f"unnest({OM.ng('t', '2')}) AS gram FROM (SELECT lang, {OM.tokens('pred')} AS t FROM predictions)) "
+        f"GROUP BY lang, gram HAVING count(*) >= 2"),
+    "sentence_distinct": O.with_(O.PREDICTIONS, TK) + OM.sentence_distinct("tk"),
+    "corpus_distinct": O.with_(O.PREDICTIONS, TK) + OM.corpus_distinct("tk"),
+    "ngram_entropy": O.with_(O.PREDICTIONS, TK) + OM.entropy("tk"),
+    "bleu": O.with_(O.PREDICTIONS) + OM.bleu("predictions"),
+    "sacrebleu": O.with_(O.PREDICTIONS) + OM.sacrebleu("predictions"),
+    "greedy_match": O.with_(O.TOKEN_VECTORS) + OM.greedy_match("token_vectors"),
+    "metrics_by_lang": _metrics_sql(["lang"]),
+    "all_metrics": _metrics_sql((), vectors=True),
 }
