@@ -14,6 +14,7 @@ from ..functions import fixed_values as V
 from ..functions.text import delete_emoji
 from ..operators import corpus as C
 from ..operators import langid
+from ..operators import encode as E
 from ..operators import metrics as M
 from ..operators import split as S
 from ..functions.ngrams import ngrams
@@ -146,6 +147,49 @@ def q_bigram_counts(spark, sf_dir) -> DataFrame:
     return g.where(F.col("n") >= 2).select("lang", F.array_join("gram", " ").alias("gram"), "n")
 
 
+# --- token arrays (vocabulary from conversations, pairs of adjacent turns) --
+
+_VOCABS: dict = {}
+
+
+def vocab(spark, sf_dir) -> E.Vocab:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _VOCABS:
+        _VOCABS[key] = E.build_vocab(X.table(spark, sf_dir, "conversations"), ["text"])
+    return _VOCABS[key]
+
+
+def _ids_text(col) -> F.Column:
+    return F.array_join(F.col(col).cast("array<string>"), " ")
+
+
+def q_build_vocab(spark, sf_dir) -> DataFrame:
+    return vocab(spark, sf_dir).table
+
+
+def q_encode_fixed(spark, sf_dir) -> DataFrame:
+    e = E.encode_fixed(X.turn_pairs(spark, sf_dir), "pair_id", vocab(spark, sf_dir))
+    return e.select("pair_id", _ids_text("input_ids").alias("input_ids"),
+                    _ids_text("attention_mask").alias("attention_mask"), _ids_text("labels").alias("labels"))
+
+
+def q_pack_pairs(spark, sf_dir) -> DataFrame:
+    e = E.pack_pairs(X.turn_pairs(spark, sf_dir), "pair_id", vocab(spark, sf_dir))
+    return e.select("pair_id", _ids_text("input_ids").alias("input_ids"), _ids_text("labels").alias("labels"))
+
+
+def q_decode_tokens(spark, sf_dir) -> DataFrame:
+    v = vocab(spark, sf_dir)
+    e = E.encode_fixed(X.turn_pairs(spark, sf_dir), "pair_id", v)
+    return E.decode(e, "pair_id", "labels", v, "text")
+
+
+def q_truncate_text(spark, sf_dir) -> DataFrame:
+    from ..functions.text import truncate_tokens
+    t = X.turn_pairs(spark, sf_dir)
+    return t.select("pair_id", truncate_tokens("source_body", V.MAX_INPUT_LENGTH).alias("text"))
+
+
 QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
@@ -167,6 +211,11 @@ QUERIES = {
     "greedy_match": q_greedy_match,
     "metrics_by_lang": _metric("all", ["lang"]),
     "all_metrics": _metric("all", (), vectors=True),
+    "build_vocab": q_build_vocab,
+    "encode_fixed": q_encode_fixed,
+    "pack_pairs": q_pack_pairs,
+    "decode_tokens": q_decode_tokens,
+    "truncate_text": q_truncate_text,
 }
 
 
@@ -209,6 +258,36 @@ def _metrics_sql(by=(), vectors=False) -> str:
     return O.with_(*ctes) + "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
 
 
+VOCAB = (f"vocab AS (SELECT * FROM (VALUES ('{V.PAD_TOKEN}', {V.PAD_ID}), ('{V.EOS_TOKEN}', {V.EOS_ID}), "
+         f"('{V.UNK_TOKEN}', {V.UNK_ID})) sp(token, id) UNION ALL "
+         f"SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token) + 2 AS INT) AS id FROM "
+         f"(SELECT token, count(*) AS cnt FROM (SELECT unnest({OM.tokens('text')}) AS token FROM conversations) "
+         f"GROUP BY token))")
+
+
+def _ids_sql(limit: int) -> str:
+    """ids_s / ids_t: the first ``limit`` token ids of source and target per pair."""
+    pos = []
+    for side, col in ((0, "source_body"), (1, "target_body")):
+        t = f"list_slice({OM.tokens(col)}, 1, {limit})"
+        pos.append(f"SELECT pair_id, {side} AS side, unnest({t}) AS token, unnest(range(1, len({t}) + 1)) AS pos "
+                   f"FROM turn_pairs")
+    st = " UNION ALL ".join(pos)
+    return (f"st AS ({st}),\n"
+            f"sid AS (SELECT pair_id, side, list(coalesce(v.id, {V.UNK_ID}) ORDER BY pos) AS ids FROM st "
+            f"LEFT JOIN vocab v USING (token) GROUP BY pair_id, side),\n"
+            f"ids AS (SELECT tp.pair_id, coalesce(a.ids, []) AS ids_s, coalesce(b.ids, []) AS ids_t FROM turn_pairs tp "
+            f"LEFT JOIN sid a ON a.pair_id = tp.pair_id AND a.side = 0 "
+            f"LEFT JOIN sid b ON b.pair_id = tp.pair_id AND b.side = 1)")
+
+
+def _fixed_sql() -> str:
+    m = V.MAX_INPUT_LENGTH
+    return (f"enc AS (SELECT pair_id, list_resize(list_concat(list_slice(ids_s, 1, {m - 1}), [{V.EOS_ID}]), {m}, {V.PAD_ID}) AS input_ids, "
+            f"list_resize(list_transform(list_concat(list_slice(ids_s, 1, {m - 1}), [{V.EOS_ID}]), lambda x: 1), {m}, 0) AS attention_mask, "
+            f"list_resize(list_concat(list_slice(ids_t, 1, {m - 1}), [{V.EOS_ID}]), {m}, {V.PAD_ID}) AS labels FROM ids)")
+
+
 ORACLE = {
     "lang_model": O.with_(O.MODEL) + "SELECT gram, lang, round(ln(c + 1), 6) AS w FROM lm_counts",
     "classify_lang": O.with_(
@@ -251,4 +330,19 @@ ORACLE = {
     "greedy_match": O.with_(O.TOKEN_VECTORS) + OM.greedy_match("token_vectors"),
     "metrics_by_lang": _metrics_sql(["lang"]),
     "all_metrics": _metrics_sql((), vectors=True),
+    "build_vocab": O.with_(VOCAB) + "SELECT token, id FROM vocab",
+    "encode_fixed": O.with_(O.TURN_PAIRS, VOCAB, _ids_sql(V.MAX_INPUT_LENGTH - 1), _fixed_sql()) + (
+        "SELECT pair_id, array_to_string(input_ids, ' ') AS input_ids, array_to_string(attention_mask, ' ') "
+        "AS attention_mask, array_to_string(labels, ' ') AS labels FROM enc"),
+    "pack_pairs": O.with_(O.TURN_PAIRS, VOCAB, _ids_sql(V.MAX_INPUT_LENGTH - 1)) + (
+        f"SELECT pair_id, array_to_string(list_concat(ids_s, [{V.EOS_ID}], ids_t, [{V.EOS_ID}]), ' ') AS input_ids, "
+        f"array_to_string(list_concat(ids_s, [{V.EOS_ID}], ids_t, [{V.EOS_ID}]), ' ') AS labels FROM ids"),
+    "decode_tokens": O.with_(O.TURN_PAIRS, VOCAB, _ids_sql(V.MAX_INPUT_LENGTH - 1), _fixed_sql()) + (
+        "SELECT e.pair_id, coalesce(string_agg(v.token, ' ' ORDER BY u.pos), '') AS text FROM enc e "
+        "LEFT JOIN (SELECT pair_id, unnest(labels) AS id, unnest(range(1, len(labels) + 1)) AS pos FROM enc) u "
+        f"ON u.pair_id = e.pair_id AND u.id NOT IN ({V.PAD_ID}, {V.EOS_ID}, {V.UNK_ID}) "
+        "LEFT JOIN vocab v ON v.id = u.id GROUP BY e.pair_id"),
+    "truncate_text": O.with_(O.TURN_PAIRS) + (
+        f"SELECT pair_id, array_to_string(list_slice({OM.tokens('source_body')}, 1, {V.MAX_INPUT_LENGTH}), ' ') AS text "
+        "FROM turn_pairs"),
 }

@@ -21,6 +21,7 @@ def build_session(master: str | None = None, app: str = "colloquy",
     parts = shuffle_partitions or int(cpus)
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.host", "127.0.0.1")
          .config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.driver.memory", "20g")
