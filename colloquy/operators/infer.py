@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import fixed_values as V
 from ..functions.text import append_marker, truncate_tokens
+from ..session import materialize
 from . import metrics as M
 from . import split as S
 
@@ -96,7 +97,9 @@ def respond(df: DataFrame, model_factory, source: str = "source_body", out: str
 
 
 def _score(pairs: DataFrame, metric: str, by) -> DataFrame:
-    return M.compute_metric(metric, pairs, None, by)
+    """Model output is computed once: the pairs are checkpointed before the
+    metrics, which each read them again."""
+    return M.compute_metric(metric, materialize(pairs), None, by)
 
 
 def evaluate(test: DataFrame, model_factory, key: str = "target_id", number=V.SMALL_TRUE,

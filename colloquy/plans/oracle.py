@@ -126,7 +126,8 @@ def ntok(x: str) -> str:
     return f"len({tokens(x)})"
 
 
-def clean_ctes(src: str = "dialogues") -> str:
+def clean_ctes(src: str = "dialogues", count=None) -> str:
+    ntok = count or globals()["ntok"]
     return f"""cl0 AS (SELECT * FROM {src}
         WHERE source_body IS NOT NULL AND target_body IS NOT NULL
           AND {newlines('source_body')} < 3 AND {newlines('target_body')} < 3),

@@ -15,6 +15,7 @@ from ..functions.text import delete_emoji
 from ..operators import corpus as C
 from ..operators import langid
 from ..operators import encode as E
+from ..operators import infer as I
 from ..operators import metrics as M
 from ..operators import split as S
 from ..functions.ngrams import ngrams
@@ -190,6 +191,59 @@ def q_truncate_text(spark, sf_dir) -> DataFrame:
     return t.select("pair_id", truncate_tokens("source_body", V.MAX_INPUT_LENGTH).alias("text"))
 
 
+# --- user functions over Arrow batches, on the cleaned corpus ---------------
+
+EVAL_KEY = "target_id"
+
+
+def _test_rows(spark, sf_dir) -> DataFrame:
+    s = S.split_ratio(cleaned(spark, sf_dir), EVAL_KEY, V.RATIO_BORDERS, None)
+    return S.select_split(s, "test")
+
+
+def q_translate_columns(spark, sf_dir) -> DataFrame:
+    return I.translate_columns(cleaned(spark, sf_dir), I.tag_translator("[en] "))
+
+
+def q_evaluate_echo(spark, sf_dir) -> DataFrame:
+    return _rv(I.evaluate(_test_rows(spark, sf_dir), I.echo_model, EVAL_KEY, V.SMALL_TRUE))
+
+
+def q_eval_raw_echo(spark, sf_dir) -> DataFrame:
+    return _rv(I.eval_raw(_test_rows(spark, sf_dir), I.echo_model, EVAL_KEY, V.SMALL_TRUE))
+
+
+def q_eval_pivot_echo(spark, sf_dir) -> DataFrame:
+    return _rv(I.eval_pivot(_test_rows(spark, sf_dir), I.echo_model, I.tag_translator("[en] "),
+                            I.tag_translator("[back] "), EVAL_KEY, V.SMALL_TRUE))
+
+
+def _char_lengths(pdf):
+    import pandas as pd
+    return pd.DataFrame({"pair_id": pdf["pair_id"],
+                         "source_chars": pdf["source_body"].map(len).astype("int64"),
+                         "target_chars": pdf["target_body"].map(len).astype("int64")})
+
+
+def q_batched_map(spark, sf_dir) -> DataFrame:
+    return I.batched_map(X.turn_pairs(spark, sf_dir), _char_lengths,
+                         "pair_id string, source_chars bigint, target_chars bigint")
+
+
+class CharTokenizer:
+    """A tokenizer hook: one token per code point."""
+
+    def tokenize(self, text):
+        return list(text)
+
+
+def q_clean_char_tokens(spark, sf_dir) -> DataFrame:
+    t = X.turn_pairs(spark, sf_dir).select(
+        F.lit("all").alias("lang"), F.lit("").alias("title"), "source_body", "target_body",
+        F.lit("").alias("link_id"), F.lit("").alias("source_id"), F.col("pair_id").alias("target_id"))
+    return C.clean_dialogues(t, tokenizer=CharTokenizer())
+
+
 QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
@@ -216,6 +270,12 @@ QUERIES = {
     "pack_pairs": q_pack_pairs,
     "decode_tokens": q_decode_tokens,
     "truncate_text": q_truncate_text,
+    "translate_columns": q_translate_columns,
+    "evaluate_echo": q_evaluate_echo,
+    "eval_raw_echo": q_eval_raw_echo,
+    "eval_pivot_echo": q_eval_pivot_echo,
+    "batched_map": q_batched_map,
+    "clean_char_tokens": q_clean_char_tokens,
 }
 
 
@@ -249,13 +309,35 @@ def _md5(key: str) -> str:
 TK = f"tk AS (SELECT pair_id, lang, {OM.metric_tokens('pred')} AS t FROM predictions)"
 
 
-def _metrics_sql(by=(), vectors=False) -> str:
-    parts = [OM.bleu("predictions", by), OM.sacrebleu("predictions", by)]
+def _metric_union(src: str, by=(), vectors=False) -> str:
+    parts = [OM.bleu(src, by), OM.sacrebleu(src, by)]
     if vectors:
         parts.append(OM.greedy_match("token_vectors"))
     parts += [OM.sentence_distinct("tk", by), OM.corpus_distinct("tk", by), OM.entropy("tk", by)]
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
+
+
+def _metrics_sql(by=(), vectors=False) -> str:
     ctes = [O.PREDICTIONS, TK] + ([O.TOKEN_VECTORS] if vectors else [])
-    return O.with_(*ctes) + "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
+    return O.with_(*ctes) + _metric_union("predictions", by, vectors)
+
+
+def _eval_sql(pred: str, ref: str, extra_ctes=()) -> str:
+    """Test split of the cleaned corpus, seeded sample, pairs, metrics by language."""
+    test = (f"ev_rk AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {EVAL_KEY}) AS rn, "
+            f"count(*) OVER (PARTITION BY lang) AS n FROM cleaned),\n"
+            f"ev_test AS (SELECT * FROM ev_rk WHERE rn > floor(n * {V.RATIO_BORDERS[1]}::DOUBLE)),\n"
+            f"ev_smp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_md5(EVAL_KEY)}) AS k "
+            f"FROM ev_test) WHERE k <= {V.SMALL_TRUE})")
+    pairs = f"pairs AS (SELECT lang, {EVAL_KEY} AS pair_id, {pred} AS pred, {ref} AS ref FROM ev_smp)"
+    tk = f"tk AS (SELECT pair_id, lang, {OM.metric_tokens('pred')} AS t FROM pairs)"
+    ctes = [O.COMMENTS, O.SUBMISSIONS, O.MODEL, O.zip_ctes(QUERY_LANGS), O.generate_ctes(QUERY_LANGS),
+            O.clean_ctes("dialogues"), test, *extra_ctes, pairs, tk]
+    return O.with_(*ctes) + _metric_union("pairs", ["lang"])
+
+
+def _trunc(x: str) -> str:
+    return f"array_to_string(list_slice({OM.tokens(x)}, 1, {V.MAX_INPUT_LENGTH}), ' ')"
 
 
 VOCAB = (f"vocab AS (SELECT * FROM (VALUES ('{V.PAD_TOKEN}', {V.PAD_ID}), ('{V.EOS_TOKEN}', {V.EOS_ID}), "
@@ -342,6 +424,21 @@ ORACLE = {
         "LEFT JOIN (SELECT pair_id, unnest(labels) AS id, unnest(range(1, len(labels) + 1)) AS pos FROM enc) u "
         f"ON u.pair_id = e.pair_id AND u.id NOT IN ({V.PAD_ID}, {V.EOS_ID}, {V.UNK_ID}) "
         "LEFT JOIN vocab v ON v.id = u.id GROUP BY e.pair_id"),
+    "translate_columns": _corpus_sql(
+        "SELECT *, concat('[en] ', source_body) AS translated_source_body, "
+        "concat('[en] ', target_body) AS translated_target_body FROM cleaned"),
+    "evaluate_echo": _eval_sql("source_body", "target_body"),
+    "eval_raw_echo": _eval_sql(f"concat({_trunc('source_body')}, '{V.EOS_TOKEN}')", _trunc("target_body")),
+    "eval_pivot_echo": _eval_sql(
+        "concat('[back] ', " + _trunc("concat('[en] ', source_body)") + f", '{V.EOS_TOKEN}')", _trunc("target_body")),
+    "batched_map": O.with_(O.TURN_PAIRS) + (
+        "SELECT pair_id, CAST(length(source_body) AS BIGINT) AS source_chars, "
+        "CAST(length(target_body) AS BIGINT) AS target_chars FROM turn_pairs"),
+    "clean_char_tokens": O.with_(
+        O.TURN_PAIRS,
+        "tp AS (SELECT 'all' AS lang, '' AS title, source_body, target_body, '' AS link_id, "
+        "'' AS source_id, pair_id AS target_id FROM turn_pairs)",
+        O.clean_ctes("tp", count=lambda x: f"length({x})")) + "SELECT * FROM cleaned",
     "truncate_text": O.with_(O.TURN_PAIRS) + (
         f"SELECT pair_id, array_to_string(list_slice({OM.tokens('source_body')}, 1, {V.MAX_INPUT_LENGTH}), ' ') AS text "
         "FROM turn_pairs"),
