@@ -10,6 +10,10 @@ def tokens(x: str) -> str:
     return f"list_filter(string_split_regex({x}, {q(V.WS_CLASS)}), lambda w: w <> '')"
 
 
+def ntok_sql(x: str) -> str:
+    return f"len({tokens(x)})"
+
+
 def metric_tokens(x: str, eos: bool = True) -> str:
     t = tokens(x)
     return f"list_concat({t}, [{q(V.EOS_TOKEN)}])" if eos else t

@@ -244,6 +244,31 @@ def q_clean_char_tokens(spark, sf_dir) -> DataFrame:
     return C.clean_dialogues(t, tokenizer=CharTokenizer())
 
 
+# --- streaming and statistics ------------------------------------------------
+
+def q_stream_zip(spark, sf_dir) -> DataFrame:
+    """Comments landed as two NDJSON files, zipped in two micro-batches."""
+    from ..session import scratch_path
+    from ..sources.io import write_comments_json
+    from ..streaming.incremental import read_output, zip_stream
+    base = scratch_path(spark, "stream-zip")
+    write_comments_json(X.comments(spark, sf_dir), f"{base}/in", files=2)
+    zip_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", lang_model(spark, sf_dir),
+               QUERY_LANGS, files_per_batch=1)
+    return read_output(spark, f"{base}/out").select(*C.DETAILED_COLUMNS)
+
+
+def q_corpus_stats(spark, sf_dir) -> DataFrame:
+    """Dialogues per language with mean lengths in characters and tokens."""
+    d = cleaned(spark, sf_dir)
+    return d.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("dialogues"),
+        r6(F.avg(F.length("source_body"))).alias("avg_source_chars"),
+        r6(F.avg(F.length("target_body"))).alias("avg_target_chars"),
+        r6(F.avg(F.size(whitespace_tokens("source_body")))).alias("avg_source_tokens"),
+        r6(F.avg(F.size(whitespace_tokens("target_body")))).alias("avg_target_tokens"))
+
+
 QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
@@ -276,6 +301,8 @@ QUERIES = {
     "eval_pivot_echo": q_eval_pivot_echo,
     "batched_map": q_batched_map,
     "clean_char_tokens": q_clean_char_tokens,
+    "stream_zip": q_stream_zip,
+    "corpus_stats": q_corpus_stats,
 }
 
 
@@ -439,6 +466,12 @@ ORACLE = {
         "tp AS (SELECT 'all' AS lang, '' AS title, source_body, target_body, '' AS link_id, "
         "'' AS source_id, pair_id AS target_id FROM turn_pairs)",
         O.clean_ctes("tp", count=lambda x: f"length({x})")) + "SELECT * FROM cleaned",
+    "stream_zip": _corpus_sql("SELECT * FROM detailed", "detailed"),
+    "corpus_stats": _corpus_sql(
+        "SELECT lang, count(*) AS dialogues, round(avg(length(source_body)), 6) AS avg_source_chars, "
+        "round(avg(length(target_body)), 6) AS avg_target_chars, "
+        f"round(avg({OM.ntok_sql('source_body')}), 6) AS avg_source_tokens, "
+        f"round(avg({OM.ntok_sql('target_body')}), 6) AS avg_target_tokens FROM cleaned GROUP BY lang"),
     "truncate_text": O.with_(O.TURN_PAIRS) + (
         f"SELECT pair_id, array_to_string(list_slice({OM.tokens('source_body')}, 1, {V.MAX_INPUT_LENGTH}), ' ') AS text "
         "FROM turn_pairs"),
