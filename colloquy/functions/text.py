@@ -76,7 +76,8 @@ def strip_ws(col) -> Column:
 
 def strip_mark(tokens, mark: str = V.SUBWORD_MARK) -> Column:
     """strip the subword mark from both ends of every token."""
-    return F.transform(_c(tokens), lambda t: F.regexp_replace(t, f"^{mark}+|{mark}+$", ""))
+    return F.transform(_c(tokens), lambda t: F.when(F.instr(t, mark) > 0, F.regexp_replace(
+        t, f"^{mark}+|{mark}+$", "")).otherwise(t))
 
 
 def tokenize_13a(col) -> Column:
