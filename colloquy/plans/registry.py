@@ -269,6 +269,26 @@ def q_corpus_stats(spark, sf_dir) -> DataFrame:
         r6(F.avg(F.size(whitespace_tokens("target_body")))).alias("avg_target_tokens"))
 
 
+def q_head_rows(spark, sf_dir) -> DataFrame:
+    """L4: the first 15000 documents per language in key order."""
+    return S.head_rows(_docs(spark, sf_dir), "doc_id", V.TRANSLATE_ROWS)
+
+
+def q_whitelist_text(spark, sf_dir) -> DataFrame:
+    """every turn with the characters outside the whitelist deleted."""
+    from ..functions.text import whitelist_filter
+    c = X.table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", whitelist_filter("text").alias("text"))
+
+
+def q_cut_prompt(spark, sf_dir) -> DataFrame:
+    """the tokens of (prompt + response) after the prompt's length."""
+    from ..functions.text import cut_prompt
+    t = X.turn_pairs(spark, sf_dir)
+    out = whitespace_tokens(F.concat_ws(" ", "source_body", "target_body"))
+    return t.select("pair_id", F.array_join(cut_prompt(out, whitespace_tokens("source_body")), " ").alias("text"))
+
+
 QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
@@ -303,6 +323,9 @@ QUERIES = {
     "clean_char_tokens": q_clean_char_tokens,
     "stream_zip": q_stream_zip,
     "corpus_stats": q_corpus_stats,
+    "head_rows": q_head_rows,
+    "whitelist_text": q_whitelist_text,
+    "cut_prompt": q_cut_prompt,
 }
 
 
@@ -472,6 +495,13 @@ ORACLE = {
         "round(avg(length(target_body)), 6) AS avg_target_chars, "
         f"round(avg({OM.ntok_sql('source_body')}), 6) AS avg_source_tokens, "
         f"round(avg({OM.ntok_sql('target_body')}), 6) AS avg_target_tokens FROM cleaned GROUP BY lang"),
+    "head_rows": (f"SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang "
+                  f"ORDER BY doc_id) AS k FROM documents) WHERE k <= {V.TRANSLATE_ROWS}"),
+    "whitelist_text": f"SELECT conv_id, turn, regexp_replace(text, {O.q(V.WHITELIST_PATTERN)}, '', 'g') AS text "
+                      "FROM conversations",
+    "cut_prompt": O.with_(O.TURN_PAIRS) + (
+        "SELECT pair_id, array_to_string(list_slice(" + OM.tokens("concat_ws(' ', source_body, target_body)")
+        + ", len(" + OM.tokens("source_body") + ") + 1, 2147483647), ' ') AS text FROM turn_pairs"),
     "truncate_text": O.with_(O.TURN_PAIRS) + (
         f"SELECT pair_id, array_to_string(list_slice({OM.tokens('source_body')}, 1, {V.MAX_INPUT_LENGTH}), ' ') AS text "
         "FROM turn_pairs"),
