@@ -29,7 +29,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import char_ngrams
 from ..session import materialize
 
 GRAM_ORDER = 3
@@ -55,8 +54,18 @@ class LangModel:
 
 
 def text_grams(df: DataFrame, keys: list, text_col: str, order: int = GRAM_ORDER) -> DataFrame:
-    """One row per gram occurrence of the lower-cased whole text."""
-    return df.select(*keys, F.explode(char_ngrams(F.lower(F.col(text_col)), order)).alias("gram"))
+    """One row per gram occurrence of the lower-cased whole text.
+
+    The text is cut into code points once; each position's gram is a
+    slice + join of that array (generated code, O(1) per gram).
+    """
+    chars = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("(?s)."), 0)
+    c = df.select(*keys, chars.alias("_c"))
+    names = [k if isinstance(k, str) else None for k in keys]
+    cols = [F.col(n) for n in c.columns if n != "_c"]
+    e = c.select(*cols, F.posexplode("_c").alias("_pos", "_ch"), "_c")
+    gram = F.array_join(F.slice("_c", F.col("_pos") + 1, order), "")
+    return e.where(F.col("_pos") + order <= F.size("_c")).select(*cols, gram.alias("gram"))
 
 
 def train_model(corpus: DataFrame, order: int = GRAM_ORDER, lang_col: str = "lang",
@@ -67,7 +76,7 @@ def train_model(corpus: DataFrame, order: int = GRAM_ORDER, lang_col: str = "lan
     counts = grams.groupBy("gram", "lang").agg(F.count(F.lit(1)).alias("c"))
     # A gram has at most one row per language, so this window is bounded.
     first = F.min("lang").over(Window.partitionBy("gram"))
-    counts = materialize(counts.withColumn("head", F.col("lang") == first))
+    counts = materialize(counts.withColumn("head", F.col("lang") == first), "lang-counts")
 
     totals = counts.groupBy("lang").agg(F.sum("c").alias("n"))
     docs = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("ndocs"))
@@ -83,7 +92,7 @@ def train_model(corpus: DataFrame, order: int = GRAM_ORDER, lang_col: str = "lan
     index = F.array(*[F.lit(l) for _, l, _, _ in langs])
     model = counts.select("gram", (F.array_position(index, F.col("lang")) - 1).cast("int").alias("k"),
                           F.log1p(F.col("c").cast("double")).alias("w"), "head")
-    model = materialize(model)
+    model = materialize(model, "lang-model")
     return LangModel(model, langs, model.count(), order)
 
 
