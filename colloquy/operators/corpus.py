@@ -37,14 +37,17 @@ def generate_dialogues(detailed: DataFrame, comments: DataFrame, submissions: Da
     are the raw comments of all loaded months; each needed parent is
     classified once, however many replies it has.
     """
-    r = detailed.where(F.col("lang").isin(list(langs)) & F.col("parent_id").startswith(V.REPLY_PREFIX))
-    rl = classify(r.select("id", "body"), "id", "body", model).select("id", F.col("lang").alias("rlang"))
-    r = (r.join(rl, "id").where(lang_prefix("rlang") == F.col("lang"))
-          .select("lang", "id", "body", "link_id", F.expr("substr(parent_id, 4)").alias("pkey")))
-    need = r.select(F.col("pkey").alias("id")).distinct()
+    r0 = (detailed.where(F.col("lang").isin(list(langs)) & F.col("parent_id").startswith(V.REPLY_PREFIX))
+            .select("lang", "id", "body", "link_id", F.expr("substr(parent_id, 4)").alias("pkey")))
+    # Parents of all candidate replies, each classified once. Taking them
+    # from the candidates (not from the replies that passed detection) keeps
+    # the reply classification single-use in the plan.
+    need = r0.select(F.col("pkey").alias("id")).distinct()
     parents = comments.select("id", "body", "link_id").join(need, "id", "left_semi")
     pl = classify(parents.select("id", "body"), "id", "body", model).select("id", F.col("lang").alias("plang"))
     parents = parents.join(pl, "id")
+    rl = classify(r0.select("id", "body"), "id", "body", model).select("id", F.col("lang").alias("rlang"))
+    r = r0.join(rl, "id").where(lang_prefix("rlang") == F.col("lang")).drop("rlang")
     d = (r.alias("r").join(parents.alias("p"), F.col("r.pkey") == F.col("p.id"))
           .where(lang_prefix(F.col("p.plang")) == F.col("r.lang")))
     d = d.join(submissions.alias("s"), F.col("p.link_id") == F.col("s.link_id"))

@@ -54,8 +54,17 @@ def q_classify_lang(spark, sf_dir) -> DataFrame:
     return langid.classify(c, "id", "body", m).select("id", "lang", r6(F.col("prob")).alias("prob"))
 
 
+_DETAILED: dict = {}
+
+
 def detailed(spark, sf_dir, langs=QUERY_LANGS) -> DataFrame:
-    return C.zip_comments(X.comments(spark, sf_dir), lang_model(spark, sf_dir), langs)
+    """The zip output, landed once per session like the original's detailed files."""
+    from ..session import materialize
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(langs))
+    if key not in _DETAILED:
+        z = C.zip_comments(X.comments(spark, sf_dir), lang_model(spark, sf_dir), langs)
+        _DETAILED[key] = materialize(z, "detailed")
+    return _DETAILED[key]
 
 
 def dialogues(spark, sf_dir, langs=QUERY_LANGS) -> DataFrame:
