@@ -83,7 +83,7 @@ def train_model(corpus: DataFrame, order: int = GRAM_ORDER, lang_col: str = "lan
     vocab = counts.where("head").select(F.count(F.lit(1)).alias("v"))
     stats = totals.join(docs, "lang")
     v = vocab.first()["v"]
-    rows = sorted(stats.collect(), key=lambda r: r["lang"])  # one row per language
+    rows = sorted(stats.limit(MAX_LANGS + 1).collect(), key=lambda r: r["lang"])  # one row per language
     if len(rows) > MAX_LANGS:
         raise ValueError(f"{len(rows)} languages; at most {MAX_LANGS}")
     all_docs = sum(r["ndocs"] for r in rows)

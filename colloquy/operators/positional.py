@@ -16,7 +16,7 @@ def _parts(df: DataFrame, n: int | None) -> int:
 
 
 def rank_within(df: DataFrame, group_cols: list, order_cols: list,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, broadcast_offsets: bool = True) -> DataFrame:
     """Add ``rn`` (1-based position in the group by ``order_cols``) and ``n`` (group size).
 
     The rows are range-partitioned on (group, order), so a big group spans
@@ -27,6 +27,10 @@ def rank_within(df: DataFrame, group_cols: list, order_cols: list,
     partition then does not depend on shuffle fetch order, so a recomputed
     partition gets the same numbers. An explicit partition count keeps AQE
     from coalescing this exchange, which keeps partition ids stable.
+
+    The groups here are languages (and splits), a short list, which bounds
+    the broadcast offsets table. For a high-cardinality group pass
+    ``broadcast_offsets=False`` and the offsets join shuffles instead.
     """
     keys = list(group_cols) + list(order_cols)
     r = (df.repartitionByRange(_parts(df, num_partitions), *keys)
@@ -38,7 +42,7 @@ def rank_within(df: DataFrame, group_cols: list, order_cols: list,
     offs = stats.select("_pid", *group_cols, "_first",
                         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
                         F.sum("_cnt").over(Window.partitionBy(*group_cols)).alias("n"))
-    out = r.join(F.broadcast(offs), ["_pid", *group_cols])
+    out = r.join(F.broadcast(offs) if broadcast_offsets else offs, ["_pid", *group_cols])
     return (out.withColumn("rn", F.col("_before") + (F.col("_mid") - F.col("_first")) + 1)
                .drop("_pid", "_mid", "_first", "_before"))
 
