@@ -75,6 +75,11 @@ def encode_fixed(df: DataFrame, key: str, vocab: Vocab, source: str = "source_bo
                       pad_to(t, max_target).alias("labels"))
 
 
+def pair_columns(translated: bool) -> tuple:
+    """The (source, target) columns to encode."""
+    return ("translated_source_body", "translated_target_body") if translated else ("source_body", "target_body")
+
+
 def pack_pairs(df: DataFrame, key: str, vocab: Vocab, source: str = "source_body", target: str = "target_body",
                max_len: int = V.MAX_INPUT_LENGTH) -> DataFrame:
     """src[:max_len-1] + [end] + tgt[:max_len-1] + [end]; labels equal the inputs."""

@@ -62,8 +62,12 @@ def detailed(spark, sf_dir, langs=QUERY_LANGS) -> DataFrame:
     from ..session import materialize
     key = (spark.sparkContext.applicationId, sf_dir, tuple(langs))
     if key not in _DETAILED:
+        from ..session import scratch_path
+        from ..sources.io import read_detailed, write_detailed
         z = C.zip_comments(X.comments(spark, sf_dir), lang_model(spark, sf_dir), langs)
-        _DETAILED[key] = materialize(z, "detailed")
+        path = scratch_path(spark, "detailed")
+        write_detailed(z, path)                                   # S6
+        _DETAILED[key] = read_detailed(spark, path, langs).select(*C.DETAILED_COLUMNS)   # S2
     return _DETAILED[key]
 
 
@@ -298,6 +302,44 @@ def q_cut_prompt(spark, sf_dir) -> DataFrame:
     return t.select("pair_id", F.array_join(cut_prompt(out, whitespace_tokens("source_body")), " ").alias("text"))
 
 
+def q_land_splits(spark, sf_dir) -> DataFrame:
+    """S9 then S4: the cleaned corpus split by ratio, written by (split, lang), read back."""
+    from ..session import scratch_path
+    from ..sources.io import read_splits, write_splits
+    path = scratch_path(spark, "splits")
+    write_splits(S.split_ratio(cleaned(spark, sf_dir), EVAL_KEY, V.RATIO_BORDERS, None), path)
+    return read_splits(spark, path).select(*C.DIALOGUE_COLUMNS, "split")
+
+
+def q_csv_dialogues(spark, sf_dir) -> DataFrame:
+    """S3: generated dialogues (titles span lines) through CSV and back."""
+    from ..session import scratch_path
+    from ..sources.io import read_dialogues, write_dialogues_csv
+    path = scratch_path(spark, "dialogues-csv")
+    write_dialogues_csv(dialogues(spark, sf_dir), path)
+    return read_dialogues(spark, path, "csv")
+
+
+def q_stream_generate(spark, sf_dir) -> DataFrame:
+    """Landed detailed files streamed one per micro-batch into generate."""
+    from ..session import scratch_path
+    from ..sources.io import write_detailed
+    from ..streaming.incremental import generate_stream, read_output
+    base = scratch_path(spark, "stream-generate")
+    write_detailed(detailed(spark, sf_dir).repartition(3), f"{base}/detailed")
+    generate_stream(spark, f"{base}/detailed", f"{base}/out", f"{base}/checkpoint", X.comments(spark, sf_dir),
+                    X.submissions(spark, sf_dir), lang_model(spark, sf_dir), QUERY_LANGS, files_per_batch=2)
+    return read_output(spark, f"{base}/out").select(*C.DIALOGUE_COLUMNS)
+
+
+def q_pack_translated(spark, sf_dir) -> DataFrame:
+    """P11 + U4 + F14: pack the translated columns of every turn pair."""
+    t = I.translate_columns(X.turn_pairs(spark, sf_dir), I.tag_translator("[en] "))
+    src, tgt = E.pair_columns(True)
+    e = E.pack_pairs(t, "pair_id", vocab(spark, sf_dir), src, tgt)
+    return e.select("pair_id", _ids_text("input_ids").alias("input_ids"), _ids_text("labels").alias("labels"))
+
+
 QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
@@ -335,6 +377,10 @@ QUERIES = {
     "head_rows": q_head_rows,
     "whitelist_text": q_whitelist_text,
     "cut_prompt": q_cut_prompt,
+    "land_splits": q_land_splits,
+    "csv_dialogues": q_csv_dialogues,
+    "stream_generate": q_stream_generate,
+    "pack_translated": q_pack_translated,
 }
 
 
@@ -406,10 +452,10 @@ VOCAB = (f"vocab AS (SELECT * FROM (VALUES ('{V.PAD_TOKEN}', {V.PAD_ID}), ('{V.E
          f"GROUP BY token))")
 
 
-def _ids_sql(limit: int) -> str:
+def _ids_sql(limit: int, cols=("source_body", "target_body")) -> str:
     """ids_s / ids_t: the first ``limit`` token ids of source and target per pair."""
     pos = []
-    for side, col in ((0, "source_body"), (1, "target_body")):
+    for side, col in enumerate(cols):
         t = f"list_slice({OM.tokens(col)}, 1, {limit})"
         pos.append(f"SELECT pair_id, {side} AS side, unnest({t}) AS token, unnest(range(1, len({t}) + 1)) AS pos "
                    f"FROM turn_pairs")
@@ -511,6 +557,20 @@ ORACLE = {
     "cut_prompt": O.with_(O.TURN_PAIRS) + (
         "SELECT pair_id, array_to_string(list_slice(" + OM.tokens("concat_ws(' ', source_body, target_body)")
         + ", len(" + OM.tokens("source_body") + ") + 1, 2147483647), ' ') AS text FROM turn_pairs"),
+    "land_splits": _corpus_sql(
+        f"SELECT * EXCLUDE (rn, n), CASE WHEN rn <= floor(n * {V.RATIO_BORDERS[0]}::DOUBLE) THEN 'train' "
+        f"WHEN rn <= floor(n * {V.RATIO_BORDERS[1]}::DOUBLE) THEN 'eval' ELSE 'test' END AS split FROM "
+        f"(SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {EVAL_KEY}) AS rn, "
+        f"count(*) OVER (PARTITION BY lang) AS n FROM cleaned)"),
+    "csv_dialogues": _corpus_sql("SELECT * FROM dialogues", "dialogues"),
+    "stream_generate": _corpus_sql("SELECT * FROM dialogues", "dialogues"),
+    "pack_translated": O.with_(
+        O.TURN_PAIRS.replace("turn_pairs AS (", "turn_pairs0 AS ("),
+        "turn_pairs AS (SELECT pair_id, concat('[en] ', source_body) AS source_body, "
+        "concat('[en] ', target_body) AS target_body FROM turn_pairs0)",
+        VOCAB.replace("FROM conversations", "FROM conversations"), _ids_sql(V.MAX_INPUT_LENGTH - 1)) + (
+        f"SELECT pair_id, array_to_string(list_concat(ids_s, [{V.EOS_ID}], ids_t, [{V.EOS_ID}]), ' ') AS input_ids, "
+        f"array_to_string(list_concat(ids_s, [{V.EOS_ID}], ids_t, [{V.EOS_ID}]), ' ') AS labels FROM ids"),
     "truncate_text": O.with_(O.TURN_PAIRS) + (
         f"SELECT pair_id, array_to_string(list_slice({OM.tokens('source_body')}, 1, {V.MAX_INPUT_LENGTH}), ' ') AS text "
         "FROM turn_pairs"),

@@ -39,14 +39,23 @@ def read_detailed(spark: SparkSession, path: str, langs=None) -> DataFrame:
     return df.where(F.col("lang").isin(list(langs))) if langs else df
 
 
+CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "lineSep": "\n",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_dialogues(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """S3: dialogue or cleaned rows; CSV (header, multi-line quoted fields) or Parquet."""
+    """S3: dialogue or cleaned rows; CSV (header, RFC 4180 quoting, fields may
+    span lines) or Parquet."""
     if fmt == "csv":
-        return (spark.read.schema(DIALOGUE_SCHEMA).option("header", True).option("multiLine", True)
-                .option("escape", '"').csv(path))
+        return spark.read.schema(DIALOGUE_SCHEMA).options(**CSV_OPTIONS).csv(path)
     return spark.read.parquet(path)
 
 
+def write_dialogues_csv(df: DataFrame, path: str) -> None:
+    """Dialogue rows as CSV with the quoting ``read_dialogues(fmt="csv")`` reads."""
+    df.write.mode("overwrite").options(quoteAll="true", **CSV_OPTIONS).csv(path)
+
+
 def read_splits(spark: SparkSession, path: str, lang: str | None = None, translated: bool | None = None) -> DataFrame:
     """The split table, optionally one language and the translated variant."""
     df = spark.read.parquet(path)
