@@ -9,15 +9,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
+SPREAD_MAX = 64
+
+
+def spread(df: DataFrame, max_parts: int = SPREAD_MAX) -> DataFrame:
+    """Round-robin a scan that arrives in fewer splits than there are cores.
 
     A large input already arrives in many splits and is returned unchanged;
-    a small single-row-group file would otherwise put all text work on one
-    core. Call it on scan-rooted frames only (counting splits plans the scan,
-    it runs no job).
+    a small single-row-group file would otherwise put all its text work on
+    one core. The spread is capped so that a tiny table on a large cluster
+    does not become thousands of empty tasks. Call it on scan-rooted frames
+    only (counting splits plans the scan, it runs no job).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    target = min(df.sparkSession.sparkContext.defaultParallelism, max_parts)
     n = df.rdd.getNumPartitions()
     return df.repartition(target) if n < target else df
 
