@@ -141,7 +141,7 @@ def eval_pivot(test: DataFrame, model_factory, to_english, from_english, key: st
 
 def example_rows(pairs: DataFrame, key: str = "pair_id", n: int = V.EXAMPLE_ROWS, by=("lang",)) -> DataFrame:
     """The first ``n`` (context, reference, prediction) rows in seeded order."""
-    return S.top_k_per_group(pairs.withColumn("_o", S.seeded_order(key)), list(by), ["_o"], n).drop("_o")
+    return S.top_k_per_group(pairs.withColumn("_o", S.seeded_order(key)), list(by), ["_o", key], n).drop("_o")
 
 
 # --- fixed stand-ins used by the registered queries --------------------------

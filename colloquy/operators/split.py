@@ -50,7 +50,7 @@ def split_ratio(df: DataFrame, key: str, borders=V.RATIO_BORDERS, caps=V.SPLIT_C
     if caps is None:
         return s.drop("_o")
     cap = F.when(F.col("split") == TRAIN, caps[0]).when(F.col("split") == EVAL, caps[1]).otherwise(caps[2])
-    return top_k_per_group(s, [lang_col, "split"], ["_o"], cap).drop("_o")
+    return top_k_per_group(s, [lang_col, "split"], ["_o", key], cap).drop("_o")
 
 
 def split_percent(df: DataFrame, key: str, split=V.PERCENT_SPLIT, lang_col: str = "lang") -> DataFrame:
@@ -78,7 +78,8 @@ def sample_rows(df: DataFrame, key: str, number: int | None = None, shuffle: boo
     if not number:
         return df
     order = seeded_order(key, seed) if shuffle else F.col(key)
-    return top_k_per_group(df.withColumn("_o", order), [lang_col], ["_o"], int(number)).drop("_o")
+    # the key breaks ties, so a recomputed partition keeps the same rows
+    return top_k_per_group(df.withColumn("_o", order), [lang_col], ["_o", key], int(number)).drop("_o")
 
 
 def head_rows(df: DataFrame, key: str, number: int = V.TRANSLATE_ROWS, lang_col: str = "lang") -> DataFrame:

@@ -26,6 +26,7 @@ def build_session(master: str | None = None, app: str = "colloquy",
          .config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.driver.memory", "20g")
          .config("spark.sql.shuffle.partitions", str(parts))
+         .config("spark.sql.files.maxPartitionBytes", str(64 << 20))   # text explodes ~30x in rows
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
