@@ -91,3 +91,35 @@ def test_corrupt_checkpoint_fails(spark):
             fh.write("not an offset log")
     with pytest.raises(Exception):
         zip_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ck", m, R.QUERY_LANGS)
+
+
+def test_split_sink_overwrites_only_written_partitions(spark):
+    from colloquy.operators import split as S
+    from colloquy.sources.io import read_splits, write_splits
+    docs = X.table(spark, SF001, "documents").select("doc_id", "lang")
+    path = scratch_path(spark, "t-splits")
+    write_splits(S.split_tail(docs, "doc_id", 2), path)
+    before = read_splits(spark, path)
+    n_all, n_en = before.count(), before.where("lang = 'en'").count()
+    # rewrite the English partitions only, with every English row marked test
+    en = docs.where("lang = 'en'").withColumn("split", F.lit("test"))
+    write_splits(en, path)
+    after = read_splits(spark, path)
+    assert after.where("lang <> 'en'").count() == n_all - n_en
+    assert read_splits(spark, path, lang="en").where("split = 'test'").count() == n_en
+
+
+def test_generate_stream_equals_batch(spark):
+    from colloquy.operators.corpus import DIALOGUE_COLUMNS, generate_dialogues
+    from colloquy.sources.io import write_detailed
+    from colloquy.streaming.incremental import generate_stream
+    m = R.lang_model(spark, SF001)
+    langs = R.QUERY_LANGS
+    det = R.detailed(spark, SF001)
+    base = scratch_path(spark, "t-gen-stream")
+    write_detailed(det.repartition(3), f"{base}/detailed")
+    com, sub = X.comments(spark, SF001), X.submissions(spark, SF001)
+    generate_stream(spark, f"{base}/detailed", f"{base}/out", f"{base}/ck", com, sub, m, langs, files_per_batch=1)
+    got = sorted(tuple(r) for r in read_output(spark, f"{base}/out").select(*DIALOGUE_COLUMNS).collect())
+    want = sorted(tuple(r) for r in generate_dialogues(det, com, sub, m, langs).collect())
+    assert got == want and len(got) > 0
