@@ -123,3 +123,22 @@ def test_generate_stream_equals_batch(spark):
     got = sorted(tuple(r) for r in read_output(spark, f"{base}/out").select(*DIALOGUE_COLUMNS).collect())
     want = sorted(tuple(r) for r in generate_dialogues(det, com, sub, m, langs).collect())
     assert got == want and len(got) > 0
+
+
+def test_build_corpus_matches_registered_chain(spark):
+    from colloquy.functions import fixed_values as V
+    from colloquy.operators import infer as I
+    from colloquy.plans.corpus import CorpusPaths, build_corpus, evaluate_corpus
+    m = R.lang_model(spark, SF01)
+    base = scratch_path(spark, "t-build")
+    write_comments_json(X.comments(spark, SF01), f"{base}/dump", files=3)
+    out = build_corpus(spark, f"{base}/dump", X.submissions(spark, SF01), m, CorpusPaths.under(base),
+                       R.QUERY_LANGS, caps=None)
+    assert out["detailed"].count() == 418
+    assert out["dialogues"].count() == 318
+    cleaned = sorted(tuple(r) for r in out["cleaned"].collect())
+    assert cleaned == sorted(tuple(r) for r in R.q_dialogue_corpus(spark, SF01).collect())
+    splits = out["splits"]
+    assert splits.count() == len(cleaned)
+    metrics = evaluate_corpus(spark, CorpusPaths.under(base).splits, I.echo_model, metric="bleu")
+    assert metrics.select("lang").distinct().count() >= 1
