@@ -9,22 +9,13 @@ URL_PATTERN = r"(\(|\[)?(https?|ftp|file)://[-A-Za-z0-9+&@#/%?=~_|!:,.;]+[-A-Za-
 SUBREDDIT_PATTERN = r"(\(|\[)?r/[A-Za-z]*(\)|\])?"
 USER_PATTERN = r"(\(|\[)?u/[A-Za-z]*(\)|\])?"
 N_PATTERN = ".*\n.*\n.*\n.*"          # three or more newlines -> drop
-WHITELIST_PATTERN = "[^一-龥a-zA-Z\\d,\\,.，。!！*%￥$？?]+"
+WHITELIST_PATTERN = "[^\u4e00-\u9fa5a-zA-Z\\d,\\,.，。!！*%￥$？?]+"
 USER_MASK = "[USER]"
 SUBREDDIT_MASK = "[SUB]"
 
 # --- fixed values: characters deleted from a comment before language id ---
-# Code point ranges, in original order, plus the two parentheses, which
-# stand literally inside the original character class.
-EMOJI_RANGES = [
-    (0x1F000, 0x1F093),
-    (0x1F300, 0x1F64F),
-    (0x1F680, 0x1F6FF),
-    (0x2600, 0x2B55),
-    (0x1F57A, 0x1F991),
-    (0xFE0F, 0xFE0F),
-]
-EMOJI_LITERALS = "()"
+# The parentheses inside the class are literal, so "(" and ")" are deleted too.
+EMOJI_PATTERN = "[(\U0001F000-\U0001F093)(\U0001F300-\U0001F64F)(\U0001F680-\U0001F6FF)(\u2600-\u2B55)(\U0001F57A-\U0001F991)\U0000FE0F]"
 
 # --- fixed values: languages ---
 LANGS = ['zh', 'ru', 'ja', 'hu', 'de', 'ro', 'fr', 'ko', 'es', 'it', 'nl', 'ar', 'tr', 'hi', 'cs', 'lt', 'vi', 'fi']
@@ -94,8 +85,5 @@ WS_CLASS = r"[ \t\n\x0B\f\r]+"
 
 
 def emoji_class() -> str:
-    """Java/RE2 character class built from EMOJI_RANGES."""
-    parts = ["\\(\\)"]
-    for lo, hi in EMOJI_RANGES:
-        parts.append(f"\\x{{{lo:X}}}" if lo == hi else f"\\x{{{lo:X}}}-\\x{{{hi:X}}}")
-    return "[" + "".join(parts) + "]"
+    """The emoji class as a regex usable by Java and RE2 alike."""
+    return EMOJI_PATTERN
