@@ -575,3 +575,16 @@ ORACLE = {
         f"SELECT pair_id, array_to_string(list_slice({OM.tokens('source_body')}, 1, {V.MAX_INPUT_LENGTH}), ' ') AS text "
         "FROM turn_pairs"),
 }
+
+
+def _with_package(fn):
+    def run(spark, sf_dir):
+        from ..session import ship_package
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {name: _with_package(fn) for name, fn in QUERIES.items()}

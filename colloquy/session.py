@@ -39,6 +39,34 @@ def build_session(master: str | None = None, app: str = "colloquy",
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``colloquy`` importable in the Python workers.
+
+    UDFs pickle its functions by reference. On a local master the package
+    is zipped once per application and added with ``addPyFile``; on a
+    cluster ship it with ``spark-submit --py-files`` (nothing is written to a
+    machine-local folder there).
+    """
+    import zipfile
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED or not sc.master.startswith("local"):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(root)
+    path = os.path.join(tempfile.mkdtemp(prefix="colloquy-pyfiles-", dir="/tmp"), "colloquy.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
