@@ -21,8 +21,11 @@ def spread(df: DataFrame, max_parts: int = SPREAD_MAX) -> DataFrame:
     does not become thousands of empty tasks. Call it on scan-rooted frames
     only (counting splits plans the scan, it runs no job).
     """
-    target = min(df.sparkSession.sparkContext.defaultParallelism, max_parts)
-    n = df.rdd.getNumPartitions()
+    try:
+        target = min(df.sparkSession.sparkContext.defaultParallelism, max_parts)
+        n = df.rdd.getNumPartitions()
+    except Exception:       # no RDD access (remote session): leave the scan as it is
+        return df
     return df.repartition(target) if n < target else df
 
 

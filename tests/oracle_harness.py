@@ -79,8 +79,13 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
-    from colloquy.session import build_session
-    spark = build_session()
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        from colloquy.session import build_session
+        spark = build_session()
     con = duck(sf_dir)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = []
