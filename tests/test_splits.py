@@ -73,3 +73,11 @@ def test_select_split(spark):
     with pytest.raises(ValueError):
         S.select_split(s, "dev")
     assert S.eval_sizes(True) == (200, 20, 200)
+
+
+def test_input_order_does_not_change_splits(spark):
+    d = docs(spark)
+    a = sorted(tuple(r) for r in S.split_ratio(d, "doc_id", (0.85, 0.93), (50, 5, 5)).collect())
+    shuffled = d.repartition(7).orderBy(F.md5(F.col("doc_id").cast("string")))
+    b = sorted(tuple(r) for r in S.split_ratio(shuffled, "doc_id", (0.85, 0.93), (50, 5, 5)).collect())
+    assert a == b
