@@ -61,7 +61,6 @@ def text_grams(df: DataFrame, keys: list, text_col: str, order: int = GRAM_ORDER
     """
     chars = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("(?s)."), 0)
     c = df.select(*keys, chars.alias("_c"))
-    names = [k if isinstance(k, str) else None for k in keys]
     cols = [F.col(n) for n in c.columns if n != "_c"]
     e = c.select(*cols, F.posexplode("_c").alias("_pos", "_ch"), "_c")
     gram = F.array_join(F.slice("_c", F.col("_pos") + 1, order), "")
@@ -86,7 +85,7 @@ def train_model(corpus: DataFrame, order: int = GRAM_ORDER, lang_col: str = "lan
     rows = sorted(stats.limit(MAX_LANGS + 1).collect(), key=lambda r: r["lang"])  # one row per language
     if len(rows) > MAX_LANGS:
         raise ValueError(f"{len(rows)} languages; at most {MAX_LANGS}")
-    all_docs = sum(r["ndocs"] for r in rows)
+    all_docs = docs.agg(F.sum("ndocs")).first()[0]   # every labelled document, as the prior's total
     langs = [(k, r["lang"], math.log(r["ndocs"] / all_docs), -math.log(r["n"] + v))
              for k, r in enumerate(rows)]
     index = F.array(*[F.lit(l) for _, l, _, _ in langs])
