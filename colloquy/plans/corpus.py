@@ -1,7 +1,7 @@
 """End-to-end jobs over landed tables, as the corpus tool runs them.
 
-``build_corpus``: NDJSON comment dump -> detailed (S6) -> dialogues (S7) ->
-cleaned (S8) -> split table (S9). Each stage is written once and the next
+``build_corpus``: NDJSON comment dump -> raw Parquet -> detailed (S6) ->
+dialogues (S7) -> cleaned (S8) -> split table (S9). Each stage is written once and the next
 stage reads the written table, so no stage is recomputed and a lost
 executor only re-runs the stage it was in.
 
@@ -24,6 +24,7 @@ from ..sources import io
 
 @dataclass
 class CorpusPaths:
+    raw: str
     detailed: str
     dialogues: str
     cleaned: str
@@ -32,7 +33,7 @@ class CorpusPaths:
     @classmethod
     def under(cls, root: str) -> "CorpusPaths":
         root = root.rstrip("/")
-        return cls(f"{root}/detailed", f"{root}/dialogues", f"{root}/cleaned", f"{root}/splits")
+        return cls(f"{root}/raw", f"{root}/detailed", f"{root}/dialogues", f"{root}/cleaned", f"{root}/splits")
 
 
 def build_corpus(spark: SparkSession, comment_paths, submissions: DataFrame, model: LangModel,
@@ -44,7 +45,10 @@ def build_corpus(spark: SparkSession, comment_paths, submissions: DataFrame, mod
     months); by default the dump itself. ``split`` is "ratio" (W2, with
     caps), "tail" (W1) or "percent" (W3).
     """
-    comments = io.read_comments(spark, comment_paths)
+    # The dump is parsed once and landed as Parquet: zip reads it twice
+    # (classification input, join back) and generate again for parents.
+    io.read_comments(spark, comment_paths).write.mode("overwrite").parquet(out.raw)
+    comments = spark.read.parquet(out.raw)
     parents = comments if parents is None else parents
     io.write_detailed(C.zip_comments(comments, model, langs), out.detailed)
     detailed = io.read_detailed(spark, out.detailed, langs).select(*C.DETAILED_COLUMNS)
