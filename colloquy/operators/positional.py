@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def _parts(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -33,10 +35,13 @@ def rank_within(df: DataFrame, group_cols: list, order_cols: list,
     ``broadcast_offsets=False`` and the offsets join shuffles instead.
     """
     keys = list(group_cols) + list(order_cols)
-    r = (df.repartitionByRange(_parts(df, num_partitions), *keys)
-           .sortWithinPartitions(*keys)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
+    # Written once: the counts and the join back must see the same partition
+    # ids. Read twice instead, the range partitioner samples its input again,
+    # and a different sample (input order is not fixed) gives other bounds.
+    r = materialize(df.repartitionByRange(_parts(df, num_partitions), *keys)
+                      .sortWithinPartitions(*keys)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_mid", F.monotonically_increasing_id()), "ranked")
     stats = r.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.select("_pid", *group_cols, "_first",
