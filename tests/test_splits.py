@@ -81,3 +81,16 @@ def test_input_order_does_not_change_splits(spark):
     shuffled = d.repartition(7).orderBy(F.md5(F.col("doc_id").cast("string")))
     b = sorted(tuple(r) for r in S.split_ratio(shuffled, "doc_id", (0.85, 0.93), (50, 5, 5)).collect())
     assert a == b
+
+
+def test_rank_within_stable_when_range_bounds_are_sampled(spark):
+    # 10000 rows, round-robined: more rows per partition than the range
+    # partitioner samples, so a re-sampled second read would differ.
+    d = X.table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "lang")
+    want = d.toPandas()
+    want["rn"] = want.groupby("lang")["doc_id"].rank(method="first").astype(int)
+    for _ in range(3):
+        got = rank_within(d.repartition(8), ["lang"], ["doc_id"], num_partitions=8).toPandas()
+        m = got.merge(want, on=["doc_id", "lang"], suffixes=("", "_w"))
+        assert len(got) == len(want) == len(m)
+        assert (m["rn"] == m["rn_w"]).all()
