@@ -27,7 +27,7 @@ from .components import connected_components
 N = 5
 THRESHOLD = 0.8
 RECALL = 0.99
-MAX_HASHES = 256
+MAX_HASHES = 128
 BLOCK_WORDS = 400_000
 BLOCK_NODES = 2_000
 
@@ -213,7 +213,8 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, re
                    .select("node", F.explode("bands").alias("band")))
     hubs = (bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
                  .where("hub <> top").select("band", "hub"))
-    stars = bands.join(hubs, "band").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    # Merge joins at every size: whether AQE broadcasts a side would else change what is shuffled.
+    stars = bands.join(hubs.hint("merge"), "band").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
     cand = materialize(connected_components(stars).withColumnRenamed("component", "cluster")
                        .join(nodes, "node"), "jaccard-clusters")
 
@@ -224,7 +225,7 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, re
     total = cand.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     packs = max(1, -(-int(total) // block_words))
     member = cand.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("nb")).cast("int"))
-    member = member.join(worded.select("row_id", "words"), "row_id")
+    member = worded.select("row_id", "words").join(member.hint("merge"), "row_id")
     pairs = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     pairs = pairs.select("cluster", "node", "n_docs", "block", "words", F.least("block", "other").alias("bi"),
                          F.greatest("block", "other").alias("bj"), F.pmod("cluster", F.lit(packs)).alias("pack"),
