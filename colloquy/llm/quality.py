@@ -19,7 +19,7 @@ from . import words as W
 from .common import add_columns, arrow_map, text_chunks
 from .toxicity import bounded_sample
 
-SAMPLE_ROWS = 40_000
+SAMPLE_ROWS = 12_000
 _KINDS = np.zeros(256, np.uint8)          # 0 other, 1 lower, 2 upper, 3 digit, 4 space, 5 stop mark, 6 symbol, 7 newline
 for _lo, _hi, _k in ((0x21, 0x7F, 6), (0x61, 0x7B, 1), (0x41, 0x5B, 2), (0x30, 0x3A, 3), (0x80, 0x100, 0)):
     _KINDS[_lo:_hi] = _k
