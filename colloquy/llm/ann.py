@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from .common import add_columns, materialize
 
-TABLES = 10
+TABLES = 8
 HASHES = 1
-PROBES = 8
+PROBES = 12
 BLOCK_ROWS = 4096
 SEED = 5
 
@@ -146,8 +146,10 @@ def search(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, hashe
     answers is compared with every row, in blocks. An empty table gives no
     rows. Other columns are not read.
     """
+    # Single-precision vectors travel as they are; all sums are in double precision.
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
-                       F.col("embedding").cast("array<double>").alias("v"), is_query.alias("q"))
+                       F.col("embedding").cast("array<float>" if single else "array<double>").alias("v"), is_query.alias("q"))
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     v = v.where(F.col("vec_id").isNotNull() & (F.size("v") > 0) & ~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
     v = materialize(v, "ann-vectors")
