@@ -27,14 +27,18 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select(*(cols or ("doc_id", "text")))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with a function of one record batch."""
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType,
+              at_end: Callable[[], None] | None = None) -> DataFrame:
+    """``mapInArrow`` with a function of one record batch; a task gives its memory back ``at_end``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 out = fn(b)
                 if out is not None and out.num_rows:
                     yield out
+        if at_end:
+            at_end()
+        pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 

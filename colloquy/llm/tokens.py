@@ -9,16 +9,19 @@ those of the whole text.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import add_columns, arrow_map
+from .common import add_columns, arrow_map, text_chunks
 
 END_ID = 1
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 250_000
+_FOLD = np.arange(256, dtype=np.uint8)      # A-Z lowered, ASCII white space as one kind
+_FOLD[0x41:0x5B] += 32
+_FOLD[[9, 10, 11, 12, 13]] = 32
 _LOADED: dict = {}
 
 
@@ -60,25 +63,45 @@ class WordTokenizer:
         for w, e in zip(hard, self.whole.encode_batch_fast(hard, add_special_tokens=False)):
             self.cache[w] = np.array(e.ids, "<u4").tobytes()
 
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text (null: none)."""
-        low = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-        # A comma or stop behind a letter is a token of its own, and words repeat more often without it.
-        low = pc.replace_substring_regex(low, r"([a-z])([.,]+)(\s|$)", r"\1 \2\3")
-        parts = pc.split_pattern(pc.replace_substring_regex(low, r"[\t\n\v\f\r]", " "), " ")
-        coded = pc.dictionary_encode(parts.flatten())
-        words = coded.dictionary.to_pylist()
-        if len(self.cache) > _CACHE_WORDS:
-            self.cache = {}
-        cache = self.cache
-        self._encode([w for w in words if w and w not in cache])
-        cache[""] = b""
-        ids = [cache[w] for w in words]
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        cut = parts.offsets.to_numpy()
-        cut = cut - cut[0]
-        take = ids.__getitem__
-        return [b"".join(map(take, at[s:e].tolist())) for s, e in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, bytes]]:
+        """(row, little-endian unsigned 32-bit ids) of every text (null: none), in order."""
+        for i, j, data, offs in text_chunks(texts, 4 << 20):
+            low = _FOLD[data]
+            cut = _cuts(low, offs)
+            bounds = np.append(cut, len(low))
+            parts = pa.LargeStringArray.from_buffers(len(cut), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(low))
+            coded = parts.dictionary_encode()
+            words = [w.strip(" ") for w in coded.dictionary.to_pylist()]
+            if len(self.cache) > _CACHE_WORDS:
+                self.cache = {}
+            cache = self.cache
+            cache[""] = b""
+            self._encode(list({w for w in words if w not in cache}))
+            ids = [cache[w] for w in words]
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            first = np.searchsorted(cut, offs).tolist()
+            for r, (s, e) in enumerate(zip(first[:-1], first[1:]), i):
+                yield r, b"".join(map(ids.__getitem__, at[s:e].tolist()))
+
+
+def _cuts(low: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Where a folded text may be cut: at its start, behind white space, and before a lone comma or stop that ends a word.
+
+    Behind a letter such a mark is a token of its own, and words repeat more
+    often without it.
+    """
+    n = len(low)
+    if not n:
+        return np.zeros(0, np.int64)
+    edge = np.zeros(n + 1, bool)
+    edge[offs] = True
+    space = low == 32
+    ends = np.append(space[1:], True) | edge[1:]
+    letter = (low >= 97) & (low <= 122)
+    cut = edge[:-1].copy()
+    cut[1:] |= space[:-1] & ~space[1:]
+    cut[1:] |= ((low == 44) | (low == 46))[1:] & ends[1:] & letter[:-1]
+    return np.flatnonzero(cut)
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
@@ -88,15 +111,6 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return _LOADED[path]
 
 
-def _rows_by_bytes(texts: pa.Array, limit: int = 4 << 20):
-    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).cumsum()
-    i = 0
-    while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + limit, "right")))
-        yield i, j
-        i = j
-
-
 def pieces(docs: DataFrame, capacity: int, tokenizer_path: str, with_ids: bool = False) -> DataFrame:
     """The pieces of each row of ``docs`` (doc_id, text): its ids, then the end id, cut after every ``capacity`` ids.
 
@@ -109,26 +123,26 @@ def pieces(docs: DataFrame, capacity: int, tokenizer_path: str, with_ids: bool =
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         tok = word_tokenizer(tokenizer_path)
         row, piece, start, length, crc, ids = [], [], [], [], [], []
-        text = batch.column("text")
-        for i, j in _rows_by_bytes(text):
-            for r, raw in enumerate(tok.encode(text.take(pa.array(range(i, j)))), i):   # a copy: some kernels misread a slice
-                raw += end
-                for k, at in enumerate(range(0, len(raw), 4 * capacity)):
-                    part = raw[at:at + 4 * capacity]
-                    row.append(r)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype(np.int32))
+        for r, raw in tok.encode(batch.column("text")):
+            raw += end
+            for k, at in enumerate(range(0, len(raw), 4 * capacity)):
+                part = raw[at:at + 4 * capacity]
+                row.append(r)
+                piece.append(k)
+                start.append(at // 4)
+                length.append(len(part) // 4)
+                crc.append(zlib.crc32(part))
+                if with_ids:
+                    ids.append(np.frombuffer(part, "<u4").astype(np.int32))
         cols = [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
         if with_ids:
             cols.append(pa.array(ids, pa.list_(pa.int32())))
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:len(cols)])
+    def release() -> None:
+        _LOADED.clear()         # workers live on after their task; the cache need not
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return arrow_map(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, schema)
+    return arrow_map(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), run, schema, release)
 
 
 class RankTokenizer:
