@@ -9,6 +9,7 @@ those of the whole text.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,40 +53,46 @@ class WordTokenizer:
 
     def _encode(self, words: list[str]) -> None:
         hard = []
+        tokenize, letter, cache = self.model.tokenize, self.letters.__getitem__, self.cache
         for w in words:
-            if w.isalpha() and max(w) < "\u0100":
+            if w.isalpha() and (w.isascii() or max(w) < "\u0100"):
                 # Letters of Latin-1 are one pre-token and already composed.
-                low = w.lower()
-                raw = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
-                self.cache[w] = np.array([t.id for t in self.model.tokenize(raw)], "<u4").tobytes()
+                w_ = w if w.isascii() else "".join(map(letter, w.lower().encode()))
+                cache[w] = array("I", [t.id for t in tokenize(w_)]).tobytes()
             else:
                 hard.append(w)
         for w, e in zip(hard, self.whole.encode_batch_fast(hard, add_special_tokens=False)):
-            self.cache[w] = np.array(e.ids, "<u4").tobytes()
+            cache[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, bytes]]:
         """(row, little-endian unsigned 32-bit ids) of every text (null: none), in order."""
         for i, j, data, offs in text_chunks(texts, 4 << 20):
             low = _FOLD[data]
             cut = _cuts(low, offs)
-            bounds = np.append(cut, len(low))
-            parts = pa.LargeStringArray.from_buffers(len(cut), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(low))
+            solid = low != 32
+            bounds = np.append((np.cumsum(solid) - 1)[cut], np.count_nonzero(solid))
+            parts = pa.LargeStringArray.from_buffers(len(cut), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(low[solid]))
             coded = parts.dictionary_encode()
-            words = [w.strip(" ") for w in coded.dictionary.to_pylist()]
+            words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
             if len(self.cache) > _CACHE_WORDS:
                 self.cache = {}
             cache = self.cache
-            cache[""] = b""
-            self._encode(list({w for w in words if w not in cache}))
+            self._encode([w for w in words if w not in cache])
             ids = [cache[w] for w in words]
+            # The ids of all words in a row: one gather from the distinct words' ids.
+            flat = np.frombuffer(b"".join(ids), np.uint32)
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             at = coded.indices.to_numpy(zero_copy_only=False)
-            first = np.searchsorted(cut, offs).tolist()
-            for r, (s, e) in enumerate(zip(first[:-1], first[1:]), i):
-                yield r, b"".join(map(ids.__getitem__, at[s:e].tolist()))
+            n = size[at]
+            behind = np.concatenate([[0], np.cumsum(n)])
+            out = flat[np.repeat((np.cumsum(size) - size)[at] - behind[:-1], n) + np.arange(behind[-1])].astype("<u4")
+            place = behind[np.searchsorted(cut, offs)].tolist()
+            for r, (s, e) in enumerate(zip(place[:-1], place[1:]), i):
+                yield r, out[s:e].tobytes()
 
 
 def _cuts(low: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Where a folded text may be cut: at its start, behind white space, and before a lone comma or stop that ends a word.
+    """Where words of a folded text begin: behind white space, and at a lone comma or stop that ends a word.
 
     Behind a letter such a mark is a token of its own, and words repeat more
     often without it.
@@ -99,7 +106,8 @@ def _cuts(low: np.ndarray, offs: np.ndarray) -> np.ndarray:
     ends = np.append(space[1:], True) | edge[1:]
     letter = (low >= 97) & (low <= 122)
     cut = edge[:-1].copy()
-    cut[1:] |= space[:-1] & ~space[1:]
+    cut[1:] |= space[:-1]
+    cut &= ~space
     cut[1:] |= ((low == 44) | (low == 46))[1:] & ends[1:] & letter[:-1]
     return np.flatnonzero(cut)
 
