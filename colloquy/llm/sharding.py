@@ -77,7 +77,7 @@ def _place(units: list[tuple], shards: int, version: int) -> list[tuple]:
 
 def rebalance(old: list[tuple], shards: int) -> list[tuple]:
     """The next version of a map for ``shards`` shards: slots move from the fullest to the emptiest shard only while that
-    lowers the fuller one's size; added shards start empty, slots of dropped shards all move."""
+    lowers the fuller one's size. Where shards are added, only they receive slots; slots of dropped shards all move."""
     version = max((r[0] for r in old), default=0) + 1
     held: dict[int, list] = {s: [] for s in range(shards)}
     loose = []
@@ -90,8 +90,9 @@ def rebalance(old: list[tuple], shards: int) -> list[tuple]:
         load[s] += u[0]
     for us in held.values():
         us.sort()
+    takers = [s for s in held if not held[s]] or list(held)
     while True:
-        hi, lo = max(load, key=lambda k: (load[k], -k)), min(load, key=lambda k: (load[k], k))
+        hi, lo = max(load, key=lambda k: (load[k], -k)), min(takers, key=lambda k: (load[k], k))
         gap = load[hi] - load[lo]
         fits = [u for u in held[hi] if 0 < u[0] < gap]
         if not fits:

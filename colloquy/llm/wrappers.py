@@ -58,6 +58,7 @@ SCOPES = ("ul", "ol", "dl", "table", "select", "article", "section", "div", "mai
 
 MERGE_WAYS = 64
 HOSTS_HELD = 500
+MAX_DEPTH = 150
 
 _RAW, _VOID, _INLINE, _NOT_TEXT, _CLOSES_P, _SCOPES = map(frozenset, (RAW, VOID, INLINE, NOT_TEXT, CLOSES_P, SCOPES))
 _NOT_WORDS, _MAIN_WORDS = frozenset(NOT_TEXT_WORDS), frozenset(MAIN_WORDS)
@@ -138,7 +139,9 @@ def parse(page: str) -> Node:
 # A wrapper node is [key, optional, repeated, children]; a text is ["#", optional, constant or None, chars].
 
 
-def _wrap(node: Node) -> list:
+def _wrap(node: Node, depth: int = 0) -> list:
+    if depth > MAX_DEPTH:
+        raise RecursionError
     kids: list = []
     for c in node.children:
         if isinstance(c, str):
@@ -150,7 +153,7 @@ def _wrap(node: Node) -> list:
                 else:
                     kids.append(w)
         else:
-            kids.append(_wrap(c))
+            kids.append(_wrap(c, depth + 1))
     return [node.key, False, False, _fold_repeats(kids)]
 
 
@@ -295,8 +298,9 @@ def _host(url: str | None) -> str:
 def infer_wrappers(pages: DataFrame, merge_ways: int = MERGE_WAYS) -> DataFrame:
     """(host, pages, wrapper as JSON) of ``pages`` (url, html), folded over all pages of each host.
 
-    Pages of null html are left out, a null url has the host "". Deeply nested
-    pages fold to the depth Python can nest (their rule is the body).
+    Pages of null html are left out, a null url has the host "". Pages nested
+    deeper than ``MAX_DEPTH`` elements do not shape the wrapper; their text is
+    read under the rule that the host's other pages give.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -344,9 +348,7 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     Null, empty and text-less pages give an empty text. Repeated pages are
     read each. A column called text is replaced. An empty table gives no rows.
     """
-    @F.udf("array<string>")
-    def roots_of(wrapper: str) -> list[str]:
-        return rule(json.loads(wrapper))["roots"]
+    roots_of = F.udf(lambda wrapper: rule(json.loads(wrapper))["roots"], "array<string>")   # one call per host
     rules = materialize(infer_wrappers(pages).select("host", roots_of("wrapper").alias("__roots")), "wrappers")
 
     def host(batch: pa.RecordBatch) -> list[pa.Array]:
