@@ -9,7 +9,7 @@ URL_PATTERN = r"(\(|\[)?(https?|ftp|file)://[-A-Za-z0-9+&@#/%?=~_|!:,.;]+[-A-Za-
 SUBREDDIT_PATTERN = r"(\(|\[)?r/[A-Za-z]*(\)|\])?"
 USER_PATTERN = r"(\(|\[)?u/[A-Za-z]*(\)|\])?"
 N_PATTERN = ".*\n.*\n.*\n.*"          # three or more newlines -> drop
-WHITELIST_PATTERN = "[^\u4e00-\u9fa5a-zA-Z\\d,\\,.，。!！*%￥$？?]+"
+WHITELIST_PATTERN = "[^\u4e00-\u9fa5a-zA-Z\\p{Nd},\\,.，。!！*%￥$？?]+"
 USER_MASK = "[USER]"
 SUBREDDIT_MASK = "[SUB]"
 
@@ -80,8 +80,9 @@ TOK13A_RULES = [
     (r"([0-9])(-)", r"\1 \2 "),
 ]
 
-# Whitespace class shared by the Spark and SQL forms of the default tokenizer.
-WS_CLASS = r"[ \t\n\x0B\f\r]+"
+# White space as the original's language splits and strips it, shared by the Spark and SQL forms.
+WS_CLASS = (r"[ \t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+            r"\x{202F}\x{205F}\x{3000}]+")
 
 
 def emoji_class() -> str:

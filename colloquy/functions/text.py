@@ -59,6 +59,12 @@ def too_many_lines(col) -> Column:
     return c.isNull() | (newline_count(c) >= 3)
 
 
+def accepts(lang, code) -> Column:
+    """The detected code belongs to the corpus language (zh: its two variants, else the code itself)."""
+    l, c = _c(lang), _c(code)
+    return F.when(l == "zh", c.isin(list(V.ZH_VARIANTS))).otherwise(c == l)
+
+
 def lang_prefix(col) -> Column:
     """'zh-cn' -> 'zh'."""
     return F.substring(_c(col), 1, 2)
@@ -71,7 +77,7 @@ def whitespace_tokens(col) -> Column:
 
 def strip_ws(col) -> Column:
     """strip whitespace at both ends."""
-    return F.regexp_replace(_c(col), r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$", "")
+    return F.regexp_replace(_c(col), f"^{V.WS_CLASS}|{V.WS_CLASS}$", "")
 
 
 def strip_mark(tokens, mark: str = V.SUBWORD_MARK) -> Column:

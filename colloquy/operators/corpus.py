@@ -6,26 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.text import delete_emoji, lang_prefix, mask_all, too_many_lines, whitespace_tokens
+from ..functions.text import accepts, delete_emoji, mask_all, too_many_lines, whitespace_tokens
 from .langid import LangModel, classify
 
 DETAILED_COLUMNS = ["lang", "id", "author", "body", "link_id", "parent_id", "no_follow", "permalink", "subreddit"]
 DIALOGUE_COLUMNS = ["lang", "title", "source_body", "target_body", "link_id", "source_id", "target_id"]
 
 
+def with_language(rows: DataFrame, model: LangModel, lang: str = "lang") -> DataFrame:
+    """``rows`` (id, body) with the detected language and its probability; rows that cannot be classified go.
+
+    Ids may repeat: equal (id, body) rows are classified once and all kept,
+    different bodies of one id are classified each.
+    """
+    keyed = rows.withColumn("_body", F.xxhash64("body"))
+    cl = classify(keyed.select("id", "_body", "body").dropDuplicates(["id", "_body"]), ["id", "_body"], "body", model)
+    return keyed.join(cl.select("id", "_body", F.col("lang").alias(lang), "prob"), ["id", "_body"]).drop("_body")
+
+
 def zip_comments(comments: DataFrame, model: LangModel, langs=V.LANGS,
                  min_chars: int = V.MIN_BODY_CHARS, max_chars: int = V.MAX_BODY_CHARS,
                  min_prob: float = V.MIN_LANG_PROB) -> DataFrame:
     """Delete emoji -> length filter -> classify -> language and confidence filters.
 
-    The length filter runs before classification, which is the costly part;
-    the classification is keyed by id and joined back to the filtered rows.
+    The length filter runs before classification, which is the costly part.
     """
     c = comments.withColumn("body", delete_emoji("body"))
     c = c.where(F.length("body").between(min_chars, max_chars))
-    cl = classify(c.select("id", "body"), "id", "body", model)
-    cl = cl.where(F.col("lang").isin(list(langs)) & (F.col("prob") >= min_prob))
-    return c.join(cl.select("id", "lang"), "id").select(*DETAILED_COLUMNS)
+    c = with_language(c, model).where(F.col("lang").isin(list(langs)) & (F.col("prob") >= min_prob))
+    return c.select(*DETAILED_COLUMNS)
 
 
 def generate_dialogues(detailed: DataFrame, comments: DataFrame, submissions: DataFrame,
@@ -33,7 +42,7 @@ def generate_dialogues(detailed: DataFrame, comments: DataFrame, submissions: Da
     """Pair each reply with its parent comment and the parent's submission title.
 
     Replies must be detected in their partition's language, parents too
-    (``zh`` accepts ``zh-cn``/``zh-tw`` through the two-letter prefix). Parents
+    (``zh`` accepts ``zh-cn`` and ``zh-tw``, any other only itself). Parents
     are the raw comments of all loaded months; each needed parent is
     classified once, however many replies it has.
     """
@@ -44,12 +53,10 @@ def generate_dialogues(detailed: DataFrame, comments: DataFrame, submissions: Da
     # the reply classification single-use in the plan.
     need = r0.select(F.col("pkey").alias("id")).distinct()
     parents = comments.select("id", "body", "link_id").join(need, "id", "left_semi")
-    pl = classify(parents.select("id", "body"), "id", "body", model).select("id", F.col("lang").alias("plang"))
-    parents = parents.join(pl, "id")
-    rl = classify(r0.select("id", "body"), "id", "body", model).select("id", F.col("lang").alias("rlang"))
-    r = r0.join(rl, "id").where(lang_prefix("rlang") == F.col("lang")).drop("rlang")
+    parents = with_language(parents, model, "plang")
+    r = with_language(r0, model, "rlang").where(accepts("lang", "rlang")).drop("rlang", "prob")
     d = (r.alias("r").join(parents.alias("p"), F.col("r.pkey") == F.col("p.id"))
-          .where(lang_prefix(F.col("p.plang")) == F.col("r.lang")))
+          .where(accepts(F.col("r.lang"), F.col("p.plang"))))
     d = d.join(submissions.alias("s"), F.col("p.link_id") == F.col("s.link_id"))
     return d.select(F.col("r.lang").alias("lang"), F.col("s.title").alias("title"),
                     F.col("p.body").alias("source_body"), F.col("r.body").alias("target_body"),

@@ -3,7 +3,7 @@
 The pretrained subword vocabularies of the original are not available; the
 vocabulary is learned from the corpus: whitespace tokens ranked by count
 (then token), after the three special ids. Lookups are joins against the
-vocabulary table, broadcast only when its row count is within bound.
+written vocabulary table, broadcast only where Spark knows it is small.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from ..session import materialize
 from .positional import rank_within
 
 SPECIALS = [(V.PAD_TOKEN, V.PAD_ID), (V.EOS_TOKEN, V.EOS_ID), (V.UNK_TOKEN, V.UNK_ID)]
-BROADCAST_MAX_ROWS = 5_000_000
 
 
 @dataclass
@@ -28,7 +27,8 @@ class Vocab:
     n_rows: int
 
     def side(self) -> DataFrame:
-        return F.broadcast(self.table) if self.n_rows <= BROADCAST_MAX_ROWS else self.table
+        """The table for a join: written, so Spark knows its bytes and broadcasts it only where they are few."""
+        return self.table
 
 
 def build_vocab(df: DataFrame, cols: list) -> Vocab:
@@ -48,7 +48,7 @@ def build_vocab(df: DataFrame, cols: list) -> Vocab:
 
 def _ids_of(df: DataFrame, key: str, cols: list, vocab: Vocab, limit: int) -> DataFrame:
     """(key, ids_<col> ...) with the first ``limit`` tokens of each column as ids."""
-    parts = [F.transform(F.slice(whitespace_tokens(c), 1, limit),
+    parts = [F.transform(F.slice(F.coalesce(whitespace_tokens(c), F.array().cast("array<string>")), 1, limit),
                          (lambda i: lambda t, p: F.struct(F.lit(i).alias("side"), p.alias("pos"), t.alias("token")))(i))
              for i, c in enumerate(cols)]
     e = df.select(key, F.explode_outer(F.concat(*parts)).alias("x")).select(key, "x.*")

@@ -32,15 +32,12 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 GRAM_ORDER = 3
-MAX_LANGS = 512                 # languages are a short list; guard the driver-side copy
-BROADCAST_MAX_ROWS = 4_000_000  # ~40 bytes a row -> ~160 MB at most
 
 
 @dataclass
 class LangModel:
     grams: DataFrame            # gram string, k int, w double, head boolean
     langs: list                 # [(k, lang, prior, u)] sorted by lang, k = position
-    n_rows: int
     order: int = GRAM_ORDER
 
     def table(self) -> DataFrame:
@@ -48,10 +45,6 @@ class LangModel:
         names = F.array(*[F.lit(l) for _, l, _, _ in self.langs])
         return self.grams.select("gram", F.element_at(names, F.col("k") + 1).alias("lang"), "w")
 
-    def gram_side(self) -> DataFrame:
-        """The model for a join: broadcast when its row count is within bound."""
-        return F.broadcast(self.grams) if self.n_rows <= BROADCAST_MAX_ROWS else self.grams
-
 
 def text_grams(df: DataFrame, keys: list, text_col: str, order: int = GRAM_ORDER) -> DataFrame:
     """One row per gram occurrence of the lower-cased whole text.
@@ -80,19 +73,19 @@ def train_model(corpus: DataFrame, order: int = GRAM_ORDER, lang_col: str = "lan
     totals = counts.groupBy("lang").agg(F.sum("c").alias("n"))
     docs = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("ndocs"))
     vocab = counts.where("head").select(F.count(F.lit(1)).alias("v"))
-    stats = totals.join(docs, "lang")
+    stats = docs.join(totals, "lang", "left")
     v = vocab.first()["v"]
-    rows = sorted(stats.limit(MAX_LANGS + 1).collect(), key=lambda r: r["lang"])  # one row per language
-    if len(rows) > MAX_LANGS:
-        raise ValueError(f"{len(rows)} languages; at most {MAX_LANGS}")
-    all_docs = docs.agg(F.sum("ndocs")).first()[0]   # every labelled document, as the prior's total
+    # One row per language, the labels' vocabulary; a language of texts shorter than a gram has no total.
+    every = stats.collect()
+    all_docs = sum(r["ndocs"] for r in every)        # every labelled document, as the prior's total
+    rows = sorted((r for r in every if r["n"] is not None), key=lambda r: r["lang"])
     langs = [(k, r["lang"], math.log(r["ndocs"] / all_docs), -math.log(r["n"] + v))
              for k, r in enumerate(rows)]
     index = F.array(*[F.lit(l) for _, l, _, _ in langs])
     model = counts.select("gram", (F.array_position(index, F.col("lang")) - 1).cast("int").alias("k"),
                           F.log1p(F.col("c").cast("double")).alias("w"), "head")
-    model = materialize(model, "lang-model")
-    return LangModel(model, langs, model.count(), order)
+    # Written, so Spark knows its bytes and broadcasts it only where they are few.
+    return LangModel(materialize(model, "lang-model"), langs, order)
 
 
 def classify(texts: DataFrame, keys, text_col: str, model: LangModel) -> DataFrame:
@@ -103,17 +96,14 @@ def classify(texts: DataFrame, keys, text_col: str, model: LangModel) -> DataFra
     dropped). Ties go to the alphabetically first language.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hits = text_grams(texts, keys, text_col, model.order).join(model.gram_side(), "gram")
-    aggs = [F.sum(F.when(F.col("head"), 1).otherwise(0)).alias("n_vocab")]
-    aggs += [F.sum(F.when(F.col("k") == k, F.col("w")).otherwise(F.lit(0.0))).alias(f"_s{k}")
-             for k, _, _, _ in model.langs]
-    s = hits.groupBy(*keys).agg(*aggs)
-    scores = [F.lit(prior) + F.col("n_vocab") * F.lit(u) + F.col(f"_s{k}")
-              for k, _, prior, u in model.langs]
-    s = s.select(*keys, *[sc.alias(f"_x{i}") for i, sc in enumerate(scores)])
-    xs = [F.col(f"_x{i}") for i in range(len(scores))]
-    best = F.greatest(*xs) if len(xs) > 1 else xs[0]
-    s = s.withColumn("_best", best)
-    lang = F.coalesce(*[F.when(x == F.col("_best"), F.lit(l)) for x, (_, l, _, _) in zip(xs, model.langs)])
-    denom = sum((F.exp(x - F.col("_best")) for x in xs), F.lit(0.0))
-    return s.select(*keys, lang.alias("lang"), (F.lit(1.0) / denom).alias("prob"))
+    hits = text_grams(texts, keys, text_col, model.order).join(model.grams, "gram")
+    # One sum per (text, language), whatever the number of languages; then one row per text.
+    s = hits.groupBy(*keys, "k").agg(F.sum("w").alias("w"), F.count_if("head").alias("head"))
+    s = s.groupBy(*keys).agg(F.sum("head").alias("nv"), F.map_from_entries(F.collect_list(F.struct("k", "w"))).alias("sums"))
+    langs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(lang).alias("lang"), F.lit(prior).alias("prior"), F.lit(u).alias("u"))
+                      for k, lang, prior, u in model.langs])
+    scored = F.transform(langs, lambda g: F.struct(
+        (-(g["prior"] + F.col("nv") * g["u"] + F.coalesce(F.element_at("sums", g["k"]), F.lit(0.0)))).alias("cost"), g["lang"].alias("lang")))
+    s = s.withColumn("scored", F.array_sort(scored)).withColumn("best", F.col("scored")[0])
+    denom = F.aggregate("scored", F.lit(0.0), lambda a, x: a + F.exp(F.col("best.cost") - x["cost"]))
+    return s.select(*keys, F.col("best.lang").alias("lang"), (F.lit(1.0) / denom).alias("prob"))

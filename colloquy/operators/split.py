@@ -22,12 +22,10 @@ def split_tail(df: DataFrame, key: str, test_rows: int = V.TAIL_TEST_ROWS, ratio
     """In key order per language, the last ``test_rows`` are test; of the
     rest, the first int((n - test_rows) / ratio) are train and the others eval.
 
-    A language with fewer than ``test_rows`` rows raises (the original lets
-    test overlap train there).
+    A language with no more than ``test_rows`` rows is test as a whole (the
+    original's test set; its train set would overlap it there).
     """
     r = rank_within(df, [lang_col], [key])
-    r = r.where(F.assert_true(F.col("n") >= test_rows,
-                              F.lit(f"a language has fewer than {test_rows} rows")).isNull())
     train_len = F.floor((F.col("n") - test_rows) / F.lit(float(ratio)))
     split = (F.when(F.col("rn") <= train_len, TRAIN)
               .when(F.col("rn") <= F.col("n") - test_rows, EVAL).otherwise(TEST))
@@ -55,10 +53,11 @@ def split_ratio(df: DataFrame, key: str, borders=V.RATIO_BORDERS, caps=V.SPLIT_C
 
 def split_percent(df: DataFrame, key: str, split=V.PERCENT_SPLIT, lang_col: str = "lang") -> DataFrame:
     """Percent borders a <= b < 100; each border is round-half-even(p * n / 100)."""
-    if not (len(split) == 2 and 0 <= split[0] <= split[1] and split[1] < 100):
-        raise ValueError("wrong split data")
-    a = F.bround(F.col("n") * split[0] / F.lit(100.0), 0)
-    b = F.bround(F.col("n") * split[1] / F.lit(100.0), 0)
+    low, high = split
+    if not 0 <= low <= high < 100:
+        raise ValueError(f"percent borders must rise from 0 and stay below 100, not {low}, {high}")
+    a = F.bround(F.col("n") * low / F.lit(100.0), 0)
+    b = F.bround(F.col("n") * high / F.lit(100.0), 0)
     return _borders_split(df, key, a, b, lang_col)
 
 

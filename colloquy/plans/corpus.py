@@ -38,24 +38,29 @@ class CorpusPaths:
 
 def build_corpus(spark: SparkSession, comment_paths, submissions: DataFrame, model: LangModel,
                  out: CorpusPaths, langs=V.LANGS, split: str = "ratio", key: str = "target_id",
-                 parents: DataFrame | None = None, tokenizer=None, **split_args) -> dict:
+                 parents: DataFrame | None = None, tokenizer=None, run: str = "dump", **split_args) -> dict:
     """Run zip, generate, clean and split; return the landed tables.
 
-    ``parents`` is the comment table replies are matched against (all loaded
-    months); by default the dump itself. ``split`` is "ratio" (W2, with
-    caps), "tail" (W1) or "percent" (W3).
+    ``run`` names the dump (a month). Every stage writes the folder
+    ``run=<run>`` of its table and the next one reads that folder, so a dump
+    run again replaces its own rows, and other months' stay. ``parents`` is the
+    comment table replies are matched against, by default all landed months.
+    The splits are made over the distinct cleaned rows of all runs. ``split``
+    is "ratio" (W2, with caps), "tail" (W1) or "percent" (W3).
     """
+    at = lambda table: f"{table}/run={run}"
     # The dump is parsed once and landed as Parquet: zip reads it twice
     # (classification input, join back) and generate again for parents.
-    io.read_comments(spark, comment_paths).write.mode("overwrite").parquet(out.raw)
-    comments = spark.read.parquet(out.raw)
-    parents = comments if parents is None else parents
-    io.write_detailed(C.zip_comments(comments, model, langs), out.detailed)
-    detailed = io.read_detailed(spark, out.detailed, langs).select(*C.DETAILED_COLUMNS)
-    io.write_dialogues(C.generate_dialogues(detailed, parents, submissions, model, langs), out.dialogues)
-    dialogues = io.read_dialogues(spark, out.dialogues).select(*C.DIALOGUE_COLUMNS)
-    io.write_dialogues(C.clean_dialogues(dialogues, tokenizer), out.cleaned)
-    cleaned = io.read_dialogues(spark, out.cleaned).select(*C.DIALOGUE_COLUMNS)
+    io.read_comments(spark, comment_paths).write.mode("overwrite").parquet(at(out.raw))
+    comments = spark.read.schema(io.COMMENT_SCHEMA).parquet(at(out.raw))
+    if parents is None:
+        parents = spark.read.parquet(out.raw).select(*comments.columns)
+    io.write_detailed(C.zip_comments(comments, model, langs), at(out.detailed), "overwrite")
+    detailed = io.read_detailed(spark, at(out.detailed), langs).select(*C.DETAILED_COLUMNS)
+    io.write_dialogues(C.generate_dialogues(detailed, parents, submissions, model, langs), at(out.dialogues), "overwrite")
+    dialogues = io.read_dialogues(spark, at(out.dialogues)).select(*C.DIALOGUE_COLUMNS)
+    io.write_dialogues(C.clean_dialogues(dialogues, tokenizer), at(out.cleaned), "overwrite")
+    cleaned = io.read_dialogues(spark, out.cleaned).select(*C.DIALOGUE_COLUMNS).distinct()
     if split == "ratio":
         parts = S.split_ratio(cleaned, key, **split_args)
     elif split == "tail":
@@ -64,7 +69,8 @@ def build_corpus(spark: SparkSession, comment_paths, submissions: DataFrame, mod
         parts = S.split_percent(cleaned, key, **split_args)
     else:
         raise ValueError("split must be ratio, tail or percent")
-    io.write_splits(parts, out.splits)
+    # All months are split anew, so the whole table is replaced: no row stays in an earlier split.
+    parts.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("split", "lang").parquet(out.splits)
     return {"detailed": detailed, "dialogues": dialogues, "cleaned": cleaned,
             "splits": io.read_splits(spark, out.splits)}
 

@@ -97,14 +97,14 @@ def generate_ctes(langs) -> str:
     return f"""r0 AS (SELECT * FROM detailed WHERE lang IN {in_list(langs)} AND starts_with(parent_id, {q(V.REPLY_PREFIX)})),
 {classify('rl', 'r0')},
 r1 AS (SELECT r0.lang, r0.id, r0.body, r0.link_id, substr(r0.parent_id, 4) AS pkey
-       FROM r0 JOIN rl_cls c USING (id) WHERE substr(c.lang, 1, 2) = r0.lang),
+       FROM r0 JOIN rl_cls c USING (id) WHERE (r0.lang <> 'zh' AND c.lang = r0.lang OR r0.lang = 'zh' AND c.lang IN {in_list(V.ZH_VARIANTS)})),
 par AS (SELECT id, body, link_id FROM comments WHERE id IN (SELECT pkey FROM r1)),
 {classify('pl', 'par')},
 dialogues AS (SELECT r1.lang, s.title, p.body AS source_body, r1.body AS target_body, r1.link_id,
                      p.id AS source_id, r1.id AS target_id
               FROM r1 JOIN par p ON r1.pkey = p.id JOIN pl_cls pc ON pc.id = p.id
               JOIN submissions s ON s.link_id = p.link_id
-              WHERE substr(pc.lang, 1, 2) = r1.lang)"""
+              WHERE (r1.lang <> 'zh' AND pc.lang = r1.lang OR r1.lang = 'zh' AND pc.lang IN {in_list(V.ZH_VARIANTS)}))"""
 
 
 def newlines(x: str) -> str:

@@ -120,7 +120,7 @@ def bleu(src_preds: str, by=(), max_order: int = V.BLEU_MAX_ORDER) -> str:
 
 
 def tokenize_13a(x: str) -> str:
-    s = f"regexp_replace({x}, {q(r'^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$')}, '', 'g')"
+    s = f"regexp_replace({x}, {q(f'^{V.WS_CLASS}|{V.WS_CLASS}$')}, '', 'g')"
     for a, b in V.TOK13A_REPLACE + V.TOK13A_UNESCAPE:
         s = f"replace({s}, {q(a)}, {q(b)})"
     s = f"concat(' ', {s}, ' ')"

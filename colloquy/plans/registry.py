@@ -115,6 +115,16 @@ def q_split_tail(spark, sf_dir) -> DataFrame:
     return S.split_tail(_docs(spark, sf_dir), "doc_id", SPLIT_TEST_ROWS, V.TAIL_RATIO)
 
 
+def q_split_tail_ref(spark, sf_dir) -> DataFrame:
+    """W1 with the original's test size."""
+    return S.split_tail(_docs(spark, sf_dir), "doc_id", V.TAIL_TEST_ROWS, V.TAIL_RATIO)
+
+
+def q_split_ratio_ref(spark, sf_dir) -> DataFrame:
+    """W2 with the original's caps."""
+    return S.split_ratio(_docs(spark, sf_dir), "doc_id", V.RATIO_BORDERS, V.SPLIT_CAPS, V.SEED)
+
+
 def q_split_ratio_capped(spark, sf_dir) -> DataFrame:
     return S.split_ratio(_docs(spark, sf_dir), "doc_id", V.RATIO_BORDERS, SPLIT_CAPS, V.SEED)
 
@@ -154,11 +164,11 @@ def q_greedy_match(spark, sf_dir) -> DataFrame:
 
 
 def q_bigram_counts(spark, sf_dir) -> DataFrame:
-    """Bigrams of every prediction counted per language (those seen twice or more)."""
+    """Bigrams of every prediction counted per language ."""
     p = X.predictions(spark, sf_dir).select("lang", whitespace_tokens("pred").alias("t"))
     g = p.select("lang", F.explode(ngrams("t", 2)).alias("gram")).groupBy("lang", "gram").agg(
         F.count(F.lit(1)).alias("n"))
-    return g.where(F.col("n") >= 2).select("lang", F.array_join("gram", " ").alias("gram"), "n")
+    return g.select("lang", F.array_join("gram", " ").alias("gram"), "n")
 
 
 # --- token arrays (vocabulary from conversations, pairs of adjacent turns) --
@@ -348,7 +358,9 @@ QUERIES = {
     "dialogue_corpus": q_dialogue_corpus,
     "clean_turn_pairs": q_clean_turn_pairs,
     "split_tail": q_split_tail,
+    "split_tail_ref": q_split_tail_ref,
     "split_ratio_capped": q_split_ratio_capped,
+    "split_ratio_ref": q_split_ratio_ref,
     "split_percent": q_split_percent,
     "sample_train": q_sample_train,
     "examples": q_examples,
@@ -411,6 +423,19 @@ def _md5(key: str) -> str:
     return f"md5('{V.SEED}|' || CAST({key} AS VARCHAR))"
 
 
+def _tail_sql(test_rows: int) -> str:
+    return O.with_(_ranked("documents", "doc_id")) + (
+        f"SELECT doc_id, lang, CASE WHEN rn <= floor((n - {test_rows}) / {V.TAIL_RATIO}::DOUBLE) THEN 'train' "
+        f"WHEN rn <= n - {test_rows} THEN 'eval' ELSE 'test' END AS split FROM rk")
+
+
+def _capped_sql(caps) -> str:
+    return O.with_(_ratio_split("(SELECT doc_id, lang FROM documents)", "doc_id")) + (
+        f"SELECT doc_id, lang, split FROM (SELECT *, row_number() OVER (PARTITION BY lang, split "
+        f"ORDER BY {_md5('doc_id')}) AS k FROM sp) WHERE k <= CASE split WHEN 'train' THEN {caps[0]} "
+        f"WHEN 'eval' THEN {caps[1]} ELSE {caps[2]} END")
+
+
 TK = f"tk AS (SELECT pair_id, lang, {OM.metric_tokens('pred')} AS t FROM predictions)"
 
 
@@ -489,13 +514,10 @@ ORACLE = {
         "tp AS (SELECT 'all' AS lang, '' AS title, source_body, target_body, '' AS link_id, "
         "'' AS source_id, pair_id AS target_id FROM turn_pairs)",
         O.clean_ctes("tp")) + "SELECT * FROM cleaned",
-    "split_tail": O.with_(_ranked("documents", "doc_id")) + (
-        f"SELECT doc_id, lang, CASE WHEN rn <= floor((n - {SPLIT_TEST_ROWS}) / {V.TAIL_RATIO}::DOUBLE) THEN 'train' "
-        f"WHEN rn <= n - {SPLIT_TEST_ROWS} THEN 'eval' ELSE 'test' END AS split FROM rk"),
-    "split_ratio_capped": O.with_(_ratio_split("(SELECT doc_id, lang FROM documents)", "doc_id")) + (
-        f"SELECT doc_id, lang, split FROM (SELECT *, row_number() OVER (PARTITION BY lang, split "
-        f"ORDER BY {_md5('doc_id')}) AS k FROM sp) WHERE k <= CASE split WHEN 'train' THEN {SPLIT_CAPS[0]} "
-        f"WHEN 'eval' THEN {SPLIT_CAPS[1]} ELSE {SPLIT_CAPS[2]} END"),
+    "split_tail": _tail_sql(SPLIT_TEST_ROWS),
+    "split_tail_ref": _tail_sql(V.TAIL_TEST_ROWS),
+    "split_ratio_capped": _capped_sql(SPLIT_CAPS),
+    "split_ratio_ref": _capped_sql(V.SPLIT_CAPS),
     "split_percent": O.with_(_ranked("documents", "doc_id")) + (
         f"SELECT doc_id, lang, CASE WHEN rn <= roundbankers(n * {V.PERCENT_SPLIT[0]} / 100.0::DOUBLE, 0) THEN 'train' "
         f"WHEN rn <= roundbankers(n * {V.PERCENT_SPLIT[1]} / 100.0::DOUBLE, 0) THEN 'eval' ELSE 'test' END AS split FROM rk"),
@@ -508,7 +530,7 @@ ORACLE = {
     "bigram_counts": O.with_(O.PREDICTIONS) + (
         f"SELECT lang, array_to_string(gram, ' ') AS gram, count(*) AS n FROM (SELECT lang, "
         f"unnest({OM.ng('t', '2')}) AS gram FROM (SELECT lang, {OM.tokens('pred')} AS t FROM predictions)) "
-        f"GROUP BY lang, gram HAVING count(*) >= 2"),
+        f"GROUP BY lang, gram"),
     "sentence_distinct": O.with_(O.PREDICTIONS, TK) + OM.sentence_distinct("tk"),
     "corpus_distinct": O.with_(O.PREDICTIONS, TK) + OM.corpus_distinct("tk"),
     "ngram_entropy": O.with_(O.PREDICTIONS, TK) + OM.entropy("tk"),

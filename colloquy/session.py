@@ -31,6 +31,7 @@ def build_session(master: str | None = None, app: str = "colloquy",
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.colloquy.spread", cpus)
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

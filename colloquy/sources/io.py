@@ -29,8 +29,8 @@ DIALOGUE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
 
 
 def read_comments(spark: SparkSession, paths) -> DataFrame:
-    """UTF-8 NDJSON, one object per line, fields used by the corpus only."""
-    return spark.read.schema(COMMENT_SCHEMA).json(paths)
+    """UTF-8 NDJSON, one object per line, fields used by the corpus only. A malformed line fails the job."""
+    return spark.read.schema(COMMENT_SCHEMA).option("mode", "FAILFAST").json(paths)
 
 
 def read_detailed(spark: SparkSession, path: str, langs=None) -> DataFrame:
@@ -70,14 +70,14 @@ def _not_null(df: DataFrame) -> DataFrame:
     return df.na.drop(how="all")
 
 
-def write_detailed(df: DataFrame, path: str) -> None:
-    """Append, one folder per language."""
-    _not_null(df).write.mode("append").partitionBy("lang").parquet(path)
+def write_detailed(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Append, one folder per language (``mode`` "overwrite" replaces an own folder)."""
+    _not_null(df).write.mode(mode).partitionBy("lang").parquet(path)
 
 
-def write_dialogues(df: DataFrame, path: str) -> None:
-    """Append dialogue or cleaned rows by language (months accumulate)."""
-    _not_null(df).write.mode("append").partitionBy("lang").parquet(path)
+def write_dialogues(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Append dialogue or cleaned rows by language (``mode`` "overwrite" replaces an own folder)."""
+    _not_null(df).write.mode(mode).partitionBy("lang").parquet(path)
 
 
 def write_splits(df: DataFrame, path: str) -> None:

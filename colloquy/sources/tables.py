@@ -9,27 +9,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-SPREAD_MAX = 64
-
-
-def spread(df: DataFrame, max_parts: int = SPREAD_MAX) -> DataFrame:
-    """Round-robin a scan that arrives in fewer splits than there are cores.
-
-    A large input already arrives in many splits and is returned unchanged;
-    a small single-row-group file would otherwise put all its text work on
-    one core. The spread is capped so that a tiny table on a large cluster
-    does not become thousands of empty tasks. Call it on scan-rooted frames
-    only (counting splits plans the scan, it runs no job).
-    """
-    try:
-        target = min(df.sparkSession.sparkContext.defaultParallelism, max_parts)
-        n = df.rdd.getNumPartitions()
-    except Exception:       # no RDD access (remote session): leave the scan as it is
-        return df
-    return df.repartition(target) if n < target else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    # The local test session deals its small one-split files to its cores; a cluster leaves this unset.
+    cores = spark.conf.get("spark.colloquy.spread", None)
+    return df.repartition(int(cores)) if cores else df

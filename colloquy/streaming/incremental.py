@@ -26,7 +26,7 @@ def _write_batch(df: DataFrame, out: str, batch_id: int) -> None:
 def zip_stream(spark: SparkSession, src: str, out: str, checkpoint: str, model: LangModel,
                langs=V.LANGS, files_per_batch: int | None = None, batch_rows: int | None = None):
     """NDJSON comment files -> detailed rows, until all present files are done."""
-    reader = spark.readStream.schema(COMMENT_SCHEMA)
+    reader = spark.readStream.schema(COMMENT_SCHEMA).option("mode", "FAILFAST")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.json(src)

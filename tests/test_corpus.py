@@ -142,3 +142,67 @@ def test_build_corpus_matches_registered_chain(spark):
     assert splits.count() == len(cleaned)
     metrics = evaluate_corpus(spark, CorpusPaths.under(base).splits, I.echo_model, metric="bleu")
     assert metrics.select("lang").distinct().count() >= 1
+
+
+def test_two_months_equal_one_dump_and_reruns_replace(spark):
+    from colloquy.plans.corpus import CorpusPaths, build_corpus
+    m = R.lang_model(spark, SF01)
+    base = scratch_path(spark, "t-months")
+    c = X.comments(spark, SF01)
+    first = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    write_comments_json(c, f"{base}/all")
+    write_comments_json(c.where(first), f"{base}/m1")
+    write_comments_json(c.where(~first), f"{base}/m2")
+    build = lambda dump, to, run: build_corpus(spark, f"{base}/{dump}", X.submissions(spark, SF01), m,
+                                               CorpusPaths.under(f"{base}/{to}"), R.QUERY_LANGS, caps=None, run=run)
+    whole = build("all", "one", "all")
+    before = sorted(map(tuple, whole["splits"].collect()))
+    whole = build("all", "one", "all")
+    assert sorted(map(tuple, whole["splits"].collect())) == before
+    build("m1", "two", "m1")
+    build("m2", "two", "m2")
+    two = build("m1", "two", "m1")          # the first month once more, now that all parents are landed
+    rows = [r["target_id"] for r in two["cleaned"].collect()]
+    assert len(rows) == len(set(rows))
+    assert sorted(rows) == sorted(r["target_id"] for r in whole["cleaned"].collect())
+
+
+def test_repeated_ids_are_classified_by_their_own_body(spark):
+    m = R.lang_model(spark, SF01)
+    d = X.documents_corpus(spark, SF01).where("lang in ('en', 'fr')").selectExpr("lang", "substr(text, 1, 300) body")
+    en, fr = (d.where(F.col("lang") == x).first()["body"] for x in ("en", "fr"))
+    from colloquy.operators.corpus import with_language
+    rows = spark.createDataFrame([("a", en), ("a", en), ("a", fr), ("b", en)], "id string, body string")
+    got = with_language(rows, m).collect()
+    assert sorted((r["id"], r["lang"]) for r in got) == [("a", "en"), ("a", "en"), ("a", "fr"), ("b", "en")]
+    assert len({round(r["prob"], 9) for r in got if r["body"] == en}) == 1
+
+
+def test_detected_codes_that_a_language_accepts(spark):
+    from colloquy.functions.text import accepts
+    rows = [("zh", "zh-cn"), ("zh", "zh-tw"), ("zh", "zh"), ("zh", "zh-hk"), ("fi", "fi"), ("fi", "fil")]
+    got = spark.createDataFrame(rows, "l string, c string").select(accepts("l", "c").alias("x")).collect()
+    assert [r["x"] for r in got] == [True, True, False, False, True, False]
+
+
+def test_a_malformed_line_fails_the_job(spark, tmp_path):
+    from colloquy.sources.io import read_comments
+    (tmp_path / "x.json").write_text('{"id": "a", "body": "b"}\n{"id": "c", \n')
+    with pytest.raises(Exception):
+        read_comments(spark, str(tmp_path)).collect()
+
+
+def test_python_white_space_and_digits(spark):
+    from colloquy.functions.text import strip_ws, whitelist_filter, whitespace_tokens
+    t = "\u3000a\u001fb\u00a0c \u0664\u0665\u2003"
+    r = spark.createDataFrame([(t,)], "t string").select(whitespace_tokens("t").alias("w"), strip_ws("t").alias("s"),
+                                                        whitelist_filter("t").alias("f")).first()
+    assert r["w"] == t.split() and r["s"] == t.strip() and "\u0664\u0665" in r["f"]
+
+
+def test_empty_sides_and_zero_vectors_score_nothing(spark):
+    from colloquy.operators.metrics import greedy_match_pairs
+    rows = [(1, "pred", [1.0, 0.0]), (1, "ref", [1.0, 0.0]), (2, "ref", [1.0, 0.0]), (3, "pred", [0.0, 0.0]), (3, "ref", [0.0, 1.0])]
+    v = spark.createDataFrame([(p, s, 0, x) for p, s, x in rows], "pair_id long, side string, pos long, vec array<double>")
+    got = {r["pair_id"]: r["f1"] for r in greedy_match_pairs(v).collect()}
+    assert got == {1: 1.0, 2: 0.0, 3: 0.0}
