@@ -45,6 +45,7 @@ SPLIT_CAPS = (10000, 1000, 1000)
 PERCENT_SPLIT = [85, 93]
 SPLIT_NAMES = ("train", "eval", "test")
 SMALL_DEFAULT = 10000
+SMALL_TRAIN = 1000
 SMALL_TRUE = 200
 EXAMPLE_ROWS = 10
 

@@ -38,9 +38,12 @@ def zip_comments(comments: DataFrame, model: LangModel, langs=V.LANGS,
 
 
 def generate_dialogues(detailed: DataFrame, comments: DataFrame, submissions: DataFrame,
-                       model: LangModel, langs=V.LANGS) -> DataFrame:
+                       detector: LangModel, langs=V.LANGS) -> DataFrame:
     """Pair each reply with its parent comment and the parent's submission title.
 
+    ``detector`` (N2) is a model of its own, such as one of ``DETECT_ORDER``: the
+    one that zipped the comments would repeat its answer for the replies.
+
     Replies must be detected in their partition's language, parents too
     (``zh`` accepts ``zh-cn`` and ``zh-tw``, any other only itself). Parents
     are the raw comments of all loaded months; each needed parent is
@@ -53,8 +56,8 @@ def generate_dialogues(detailed: DataFrame, comments: DataFrame, submissions: Da
     # the reply classification single-use in the plan.
     need = r0.select(F.col("pkey").alias("id")).distinct()
     parents = comments.select("id", "body", "link_id").join(need, "id", "left_semi")
-    parents = with_language(parents, model, "plang")
-    r = with_language(r0, model, "rlang").where(accepts("lang", "rlang")).drop("rlang", "prob")
+    parents = with_language(parents, detector, "plang")
+    r = with_language(r0, detector, "rlang").where(accepts("lang", "rlang")).drop("rlang", "prob")
     d = (r.alias("r").join(parents.alias("p"), F.col("r.pkey") == F.col("p.id"))
           .where(accepts(F.col("r.lang"), F.col("p.plang"))))
     d = d.join(submissions.alias("s"), F.col("p.link_id") == F.col("s.link_id"))

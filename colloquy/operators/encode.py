@@ -47,16 +47,26 @@ def build_vocab(df: DataFrame, cols: list) -> Vocab:
 
 
 def _ids_of(df: DataFrame, key: str, cols: list, vocab: Vocab, limit: int) -> DataFrame:
-    """(key, ids_<col> ...) with the first ``limit`` tokens of each column as ids."""
+    """(key, ids_<col> ...) with the first ``limit`` tokens of each column as ids.
+
+    One row per input row: rows of one key are told apart by their tokens, and
+    rows equal in these too are counted and repeated. A null text has no tokens.
+    """
     parts = [F.transform(F.slice(F.coalesce(whitespace_tokens(c), F.array().cast("array<string>")), 1, limit),
                          (lambda i: lambda t, p: F.struct(F.lit(i).alias("side"), p.alias("pos"), t.alias("token")))(i))
              for i, c in enumerate(cols)]
-    e = df.select(key, F.explode_outer(F.concat(*parts)).alias("x")).select(key, "x.*")
+    e = df.select(key, F.concat(*parts).alias("_t")).select(key, F.xxhash64("_t").alias("_h"), F.posexplode_outer("_t").alias("_i", "x"))
+    e = e.select(key, "_h", (F.coalesce("_i", F.lit(0)) == 0).alias("_first"), "x.*")
     j = e.join(vocab.side(), "token", "left").withColumn("id", F.coalesce(F.col("id"), F.lit(V.UNK_ID)))
-    aggs = [F.array_sort(F.collect_list(F.when(F.col("side") == i, F.struct("pos", "id")))).alias(f"_s{i}")
+    aggs = [F.array_sort(F.collect_set(F.when(F.col("side") == i, F.struct("pos", "id")))).alias(f"_s{i}")
             for i in range(len(cols))]
-    g = j.groupBy(key).agg(*aggs)
-    return g.select(key, *[F.transform(f"_s{i}", lambda s: s["id"]).alias(f"ids_{c}") for i, c in enumerate(cols)])
+    return _repeat(j.groupBy(key, "_h").agg(F.count_if("_first").alias("_n"), *aggs)).select(
+        key, *[F.transform(f"_s{i}", lambda s: s["id"]).alias(f"ids_{c}") for i, c in enumerate(cols)])
+
+
+def _repeat(df: DataFrame) -> DataFrame:
+    """Every row ``_n`` times."""
+    return df.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).drop("_k", "_n")
 
 
 def pad_to(ids: Column, length: int, pad: int = V.PAD_ID) -> Column:
@@ -94,11 +104,12 @@ def replace_ignored(ids: Column, pad: int = V.PAD_ID) -> Column:
 
 
 def decode(df: DataFrame, key: str, ids_col: str, vocab: Vocab, out: str = "text") -> DataFrame:
-    """Ids -> text, special ids skipped, tokens joined by one space."""
+    """Ids -> text, special ids skipped, tokens joined by one space. One row per input row, as in ``_ids_of``."""
     specials = [i for _, i in SPECIALS]
-    e = df.select(key, F.posexplode_outer(replace_ignored(F.col(ids_col))).alias("pos", "id"))
-    e = e.where(F.col("id").isNull() | ~F.col("id").isin(specials))
+    kept = F.filter(replace_ignored(F.col(ids_col)), lambda x: ~x.isin(specials))
+    e = df.select(key, kept.alias("_t")).select(key, F.xxhash64("_t").alias("_h"), F.posexplode_outer("_t").alias("pos", "id"))
     j = e.join(vocab.side(), "id", "left")
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(),
-                                                              F.struct("pos", "token")))).alias("_s"))
+    g = _repeat(j.groupBy(key, "_h").agg(
+        F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("_n"),
+        F.array_sort(F.collect_set(F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("_s")))
     return g.select(key, F.array_join(F.transform("_s", lambda s: s["token"]), " ").alias(out))

@@ -1,13 +1,15 @@
 """User-supplied models over Arrow batches.
 
 Models, translators and tokenizers are user functions. They run inside
-iterator Pandas UDFs, loaded once per Python worker and fed Arrow batches
-of ``batch_size`` rows; everything around them (selection, pairing,
+iterator Pandas UDFs, loaded once per Python worker (``_loaded``) and fed
+Arrow batches of ``batch_size`` rows; everything around them (selection, pairing,
 scoring) stays in DataFrame operations.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -37,22 +39,44 @@ def _batched(fn: Callable[[list], list], batch_size: int):
     return run
 
 
+_MODELS: OrderedDict = OrderedDict()
+MODELS_KEPT = 4      # models one worker keeps; the least recently used goes
+
+
+def _loaded(name: str, factory: Callable):
+    """``factory()``, called once per worker process and UDF, not once per task."""
+    if name not in _MODELS:
+        _MODELS[name] = factory()
+    _MODELS.move_to_end(name)
+    model = _MODELS[name]
+    while len(_MODELS) > MODELS_KEPT:
+        _MODELS.popitem(last=False)
+    return model
+
+
 def text_udf(factory: Callable[[], Callable[[list], list]], batch_size: int):
     """Iterator Pandas UDF string -> string; ``factory()`` runs once per worker."""
+    name = uuid.uuid4().hex
+
     @F.pandas_udf(T.StringType())
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        run = _batched(factory(), batch_size)
+        run = _batched(_loaded(name, factory), batch_size)
         for b in batches:
             yield run(b)
     return udf
 
 
 def token_count_udf(tokenizer):
-    """A tokenizer hook (an object with ``tokenize``) -> token counts."""
+    """A tokenizer hook -> token counts. An object with ``tokenize`` is sent
+    to the tasks; a class or function is a factory, called once per worker."""
+    name = uuid.uuid4().hex
+    factory = (lambda: tokenizer) if hasattr(tokenizer, "tokenize") and not isinstance(tokenizer, type) else tokenizer
+
     @F.pandas_udf(T.IntegerType())
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tok = _loaded(name, factory)
         for b in batches:
-            yield b.map(lambda x: len(tokenizer.tokenize(x)) if x is not None else 0).astype("int32")
+            yield b.map(lambda x: len(tok.tokenize(x)) if x is not None else 0).astype("int32")
     return udf
 
 
@@ -139,9 +163,34 @@ def eval_pivot(test: DataFrame, model_factory, to_english, from_english, key: st
     return _score(pairs, metric, list(by))
 
 
-def example_rows(pairs: DataFrame, key: str = "pair_id", n: int = V.EXAMPLE_ROWS, by=("lang",)) -> DataFrame:
-    """The first ``n`` (context, reference, prediction) rows in seeded order."""
-    return S.top_k_per_group(pairs.withColumn("_o", S.seeded_order(key)), list(by), ["_o", key], n).drop("_o")
+def example_rows(pairs: DataFrame, key: str = "target_id", n: int = V.EXAMPLE_ROWS, by=("lang",)) -> DataFrame:
+    """The first ``n`` rows per language in seeded order, numbered from 0."""
+    r = S.rank_within(pairs.withColumn("_o", S.seeded_order(key)), list(by), ["_o", key]).where(F.col("rn") <= n)
+    return r.withColumn("example", (F.col("rn") - 1).cast("bigint")).drop("_o", "rn", "n")
+
+
+def example_report(test: DataFrame, model_factory, key: str = "target_id", n: int = V.EXAMPLE_ROWS,
+                   by=("lang",), strategy: str = "greedy", **options) -> DataFrame:
+    """(example, context, reference, prediction); only the examples are answered."""
+    rows = respond(example_rows(test, key, n, by), model_factory, "source_body", "prediction", strategy, **options)
+    return rows.select(*by, "example", F.col(key).alias("pair_id"), F.col("source_body").alias("context"),
+                       F.col("target_body").alias("reference"), "prediction")
+
+
+def example_report_translated(test: DataFrame, model_factory, from_english, key: str = "target_id",
+                              n: int = V.EXAMPLE_ROWS, by=("lang",), strategy: str = "greedy",
+                              max_len: int = V.MAX_INPUT_LENGTH, **options) -> DataFrame:
+    """L5 after U6: the report with the English context, reference and prediction beside.
+
+    ``test`` has the translated columns (``translate_columns``).
+    """
+    rows = example_rows(test, key, n, by).withColumn("context_en", truncate_tokens("translated_source_body", max_len))
+    rows = rows.withColumn("_src", append_marker(F.col("context_en"), V.EOS_TOKEN))
+    rows = respond(rows, model_factory, "_src", "prediction_en", strategy, **options)
+    rows = rows.withColumn("prediction", text_udf(from_english, V.TRANSLATE_BATCH)(F.col("prediction_en")))
+    return rows.select(*by, "example", F.col(key).alias("pair_id"), F.col("source_body").alias("context"),
+                       truncate_tokens("target_body", max_len).alias("reference"), "prediction", "context_en",
+                       F.col("translated_target_body").alias("reference_en"), "prediction_en")
 
 
 # --- fixed stand-ins used by the registered queries --------------------------

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 GRAM_ORDER = 3
+DETECT_ORDER = 2    # the second detector (N2) looks at other features than the first
 
 
 @dataclass
@@ -52,7 +53,7 @@ def text_grams(df: DataFrame, keys: list, text_col: str, order: int = GRAM_ORDER
     The text is cut into code points once; each position's gram is a
     slice + join of that array (generated code, O(1) per gram).
     """
-    chars = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("(?s)."), 0)
+    chars = F.split(F.lower(F.col(text_col)), "")
     c = df.select(*keys, chars.alias("_c"))
     cols = [F.col(n) for n in c.columns if n != "_c"]
     e = c.select(*cols, F.posexplode("_c").alias("_pos", "_ch"), "_c")

@@ -86,10 +86,17 @@ def head_rows(df: DataFrame, key: str, number: int = V.TRANSLATE_ROWS, lang_col:
     return top_k_per_group(df, [lang_col], [key], int(number))
 
 
-def eval_sizes(small) -> tuple:
-    """(train rows, validation rows, test rows) for a ``small`` setting."""
-    if small is True:
-        small = V.SMALL_TRUE
+def sized_split(split_df: DataFrame, name: str, key: str, small, full: int, seed: int = V.SEED,
+                lang_col: str = "lang") -> DataFrame:
+    """The 'train', 'val' or 'test' rows, cut per language to what ``small`` allows.
+
+    ``True`` means ``full`` rows (``V.SMALL_TRAIN``, ``V.SMALL_DEFAULT`` or
+    ``V.SMALL_TRUE``), a number that many, anything else all; 'val' gets a tenth.
+    """
+    rows = select_split(split_df, name)
     if not small:
-        return (None, None, None)
-    return (int(small), int(small / 10), int(small))
+        return rows
+    number = full if small is True else int(small)
+    number = int(number / 10) if name == "val" else number
+    # ``number`` may round to 0 rows, which sample_rows would read as no limit
+    return sample_rows(rows, key, number, True, seed, lang_col) if number else rows.limit(0)

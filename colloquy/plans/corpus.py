@@ -38,7 +38,8 @@ class CorpusPaths:
 
 def build_corpus(spark: SparkSession, comment_paths, submissions: DataFrame, model: LangModel,
                  out: CorpusPaths, langs=V.LANGS, split: str = "ratio", key: str = "target_id",
-                 parents: DataFrame | None = None, tokenizer=None, run: str = "dump", **split_args) -> dict:
+                 parents: DataFrame | None = None, tokenizer=None, run: str = "dump",
+                 detector: LangModel | None = None, **split_args) -> dict:
     """Run zip, generate, clean and split; return the landed tables.
 
     ``run`` names the dump (a month). Every stage writes the folder
@@ -46,7 +47,8 @@ def build_corpus(spark: SparkSession, comment_paths, submissions: DataFrame, mod
     run again replaces its own rows, and other months' stay. ``parents`` is the
     comment table replies are matched against, by default all landed months.
     The splits are made over the distinct cleaned rows of all runs. ``split``
-    is "ratio" (W2, with caps), "tail" (W1) or "percent" (W3).
+    is "ratio" (W2, with caps), "tail" (W1) or "percent" (W3). ``detector`` (N2)
+    checks replies and parents, ``model`` where none is given.
     """
     at = lambda table: f"{table}/run={run}"
     # The dump is parsed once and landed as Parquet: zip reads it twice
@@ -57,7 +59,7 @@ def build_corpus(spark: SparkSession, comment_paths, submissions: DataFrame, mod
         parents = spark.read.parquet(out.raw).select(*comments.columns)
     io.write_detailed(C.zip_comments(comments, model, langs), at(out.detailed), "overwrite")
     detailed = io.read_detailed(spark, at(out.detailed), langs).select(*C.DETAILED_COLUMNS)
-    io.write_dialogues(C.generate_dialogues(detailed, parents, submissions, model, langs), at(out.dialogues), "overwrite")
+    io.write_dialogues(C.generate_dialogues(detailed, parents, submissions, detector or model, langs), at(out.dialogues), "overwrite")
     dialogues = io.read_dialogues(spark, at(out.dialogues)).select(*C.DIALOGUE_COLUMNS)
     io.write_dialogues(C.clean_dialogues(dialogues, tokenizer), at(out.cleaned), "overwrite")
     cleaned = io.read_dialogues(spark, out.cleaned).select(*C.DIALOGUE_COLUMNS).distinct()

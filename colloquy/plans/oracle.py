@@ -7,6 +7,7 @@ them into full statements over the pre-registered driver tables.
 from __future__ import annotations
 
 from ..functions import fixed_values as V
+from ..operators.langid import DETECT_ORDER, GRAM_ORDER
 
 
 def q(s: str) -> str:
@@ -51,30 +52,37 @@ TURN_PAIRS = """turn_pairs AS (
   SELECT concat(c.conv_id, '-', c.turn) AS pair_id, p.text AS source_body, c.text AS target_body
   FROM conversations c JOIN conversations p ON p.conv_id = c.conv_id AND p.turn + 1 = c.turn)"""
 
-MODEL = """lm_docs AS (SELECT lang, lower(text) AS t FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL),
-lm_grams AS (SELECT lang, substr(t, i, 3) AS gram
-             FROM (SELECT lang, t, unnest(range(1, length(t) - 1)) AS i FROM lm_docs)),
-lm_counts AS (SELECT gram, lang, count(*) AS c FROM lm_grams GROUP BY gram, lang),
-lm_vocab AS (SELECT DISTINCT gram FROM lm_counts),
-lm_ndocs AS (SELECT lang, count(*) AS ndocs FROM lm_docs GROUP BY lang),
-lm_langs AS (
+def model(p: str, order: int) -> str:
+    """CTEs of the naive Bayes model ``p`` over character n-grams of ``order``."""
+    return f"""{p}_docs AS (SELECT lang, lower(text) AS t FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL),
+{p}_grams AS (SELECT lang, substr(t, i, {order}) AS gram
+             FROM (SELECT lang, t, unnest(range(1, length(t) - {order} + 2)) AS i FROM {p}_docs)),
+{p}_counts AS (SELECT gram, lang, count(*) AS c FROM {p}_grams GROUP BY gram, lang),
+{p}_vocab AS (SELECT DISTINCT gram FROM {p}_counts),
+{p}_ndocs AS (SELECT lang, count(*) AS ndocs FROM {p}_docs GROUP BY lang),
+{p}_langs AS (
   SELECT t.lang,
-         ln(d.ndocs / (SELECT sum(ndocs) FROM lm_ndocs)) AS prior,
-         -ln(t.n + (SELECT count(*) FROM lm_vocab)) AS u
-  FROM (SELECT lang, sum(c) AS n FROM lm_counts GROUP BY lang) t JOIN lm_ndocs d USING (lang))"""
+         ln(d.ndocs / (SELECT sum(ndocs) FROM {p}_ndocs)) AS prior,
+         -ln(t.n + (SELECT count(*) FROM {p}_vocab)) AS u
+  FROM (SELECT lang, sum(c) AS n FROM {p}_counts GROUP BY lang) t JOIN {p}_ndocs d USING (lang))"""
 
 
-def classify(prefix: str, src: str, key: str = "id", text: str = "body") -> str:
+MODEL = model("lm", GRAM_ORDER)
+DETECTOR = model("dm", DETECT_ORDER)
+
+
+def classify(prefix: str, src: str, key: str = "id", text: str = "body",
+             model: str = "lm", order: int = GRAM_ORDER) -> str:
     """CTEs ``{prefix}_cls(key, lang, prob)`` classifying ``src``."""
     p = prefix
-    return f"""{p}_g AS (SELECT {key}, substr(t, i, 3) AS gram
-       FROM (SELECT {key}, t, unnest(range(1, length(t) - 1)) AS i
+    return f"""{p}_g AS (SELECT {key}, substr(t, i, {order}) AS gram
+       FROM (SELECT {key}, t, unnest(range(1, length(t) - {order} + 2)) AS i
              FROM (SELECT {key}, lower({text}) AS t FROM {src}))),
-{p}_nv AS (SELECT {key}, count(*) AS n_vocab FROM {p}_g WHERE gram IN (SELECT gram FROM lm_vocab) GROUP BY {key}),
-{p}_s AS (SELECT g.{key}, c.lang, sum(ln(c.c + 1)) AS sw FROM {p}_g g JOIN lm_counts c USING (gram)
+{p}_nv AS (SELECT {key}, count(*) AS n_vocab FROM {p}_g WHERE gram IN (SELECT gram FROM {model}_vocab) GROUP BY {key}),
+{p}_s AS (SELECT g.{key}, c.lang, sum(ln(c.c + 1)) AS sw FROM {p}_g g JOIN {model}_counts c USING (gram)
           GROUP BY g.{key}, c.lang),
 {p}_sc AS (SELECT nv.{key}, l.lang, l.prior + nv.n_vocab * l.u + coalesce(s.sw, 0) AS score
-           FROM {p}_nv nv CROSS JOIN lm_langs l
+           FROM {p}_nv nv CROSS JOIN {model}_langs l
            LEFT JOIN {p}_s s ON s.{key} = nv.{key} AND s.lang = l.lang),
 {p}_cls AS (SELECT {key}, first(lang ORDER BY score DESC, lang) AS lang, 1.0 / sum(exp(score - mx)) AS prob
             FROM (SELECT *, max(score) OVER (PARTITION BY {key}) AS mx FROM {p}_sc) GROUP BY {key})"""
@@ -95,11 +103,11 @@ detailed AS (SELECT c.lang, f.id, f.author, f.body, f.link_id, f.parent_id, f.no
 
 def generate_ctes(langs) -> str:
     return f"""r0 AS (SELECT * FROM detailed WHERE lang IN {in_list(langs)} AND starts_with(parent_id, {q(V.REPLY_PREFIX)})),
-{classify('rl', 'r0')},
+{classify('rl', 'r0', model='dm', order=DETECT_ORDER)},
 r1 AS (SELECT r0.lang, r0.id, r0.body, r0.link_id, substr(r0.parent_id, 4) AS pkey
        FROM r0 JOIN rl_cls c USING (id) WHERE (r0.lang <> 'zh' AND c.lang = r0.lang OR r0.lang = 'zh' AND c.lang IN {in_list(V.ZH_VARIANTS)})),
 par AS (SELECT id, body, link_id FROM comments WHERE id IN (SELECT pkey FROM r1)),
-{classify('pl', 'par')},
+{classify('pl', 'par', model='dm', order=DETECT_ORDER)},
 dialogues AS (SELECT r1.lang, s.title, p.body AS source_body, r1.body AS target_body, r1.link_id,
                      p.id AS source_id, r1.id AS target_id
               FROM r1 JOIN par p ON r1.pkey = p.id JOIN pl_cls pc ON pc.id = p.id

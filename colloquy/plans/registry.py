@@ -37,6 +37,17 @@ def lang_model(spark: SparkSession, sf_dir: str) -> langid.LangModel:
     return _MODELS[key]
 
 
+_DETECTORS: dict = {}
+
+
+def lang_detector(spark: SparkSession, sf_dir: str) -> langid.LangModel:
+    """The second detector, on character pairs, kept for the session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DETECTORS:
+        _DETECTORS[key] = langid.train_model(X.documents_corpus(spark, sf_dir), langid.DETECT_ORDER)
+    return _DETECTORS[key]
+
+
 def r6(col) -> F.Column:
     return F.round(col, 6)
 
@@ -54,6 +65,12 @@ def q_classify_lang(spark, sf_dir) -> DataFrame:
     return langid.classify(c, "id", "body", m).select("id", "lang", r6(F.col("prob")).alias("prob"))
 
 
+def q_detect_lang(spark, sf_dir) -> DataFrame:
+    """N2 on every comment."""
+    c = X.comments(spark, sf_dir).select("id", delete_emoji("body").alias("body"))
+    return langid.classify(c, "id", "body", lang_detector(spark, sf_dir)).select("id", "lang", r6(F.col("prob")).alias("prob"))
+
+
 _DETAILED: dict = {}
 
 
@@ -73,7 +90,7 @@ def detailed(spark, sf_dir, langs=QUERY_LANGS) -> DataFrame:
 
 def dialogues(spark, sf_dir, langs=QUERY_LANGS) -> DataFrame:
     return C.generate_dialogues(detailed(spark, sf_dir, langs), X.comments(spark, sf_dir),
-                                X.submissions(spark, sf_dir), lang_model(spark, sf_dir), langs)
+                                X.submissions(spark, sf_dir), lang_detector(spark, sf_dir), langs)
 
 
 def cleaned(spark, sf_dir, langs=QUERY_LANGS) -> DataFrame:
@@ -145,6 +162,18 @@ def q_examples(spark, sf_dir) -> DataFrame:
     return t.select("lang", "pair_id", "pred", "ref")
 
 
+def q_sized_train(spark, sf_dir) -> DataFrame:
+    """The training rows of a small run, 1000 per language."""
+    s = S.split_ratio(_docs(spark, sf_dir), "doc_id", V.RATIO_BORDERS, None)
+    return S.sized_split(s, "train", "doc_id", True, V.SMALL_TRAIN)
+
+
+def q_sized_val(spark, sf_dir) -> DataFrame:
+    """A tenth as many validation rows, of a run of 50."""
+    s = S.split_ratio(_docs(spark, sf_dir), "doc_id", V.RATIO_BORDERS, None)
+    return S.sized_split(s, "val", "doc_id", 50, V.SMALL_DEFAULT)
+
+
 # --- metrics (on predictions from documents, vectors from embeddings) -------
 
 def _rv(df: DataFrame) -> DataFrame:
@@ -208,6 +237,20 @@ def q_decode_tokens(spark, sf_dir) -> DataFrame:
     return E.decode(e, "pair_id", "labels", v, "text")
 
 
+def q_decode_labels(spark, sf_dir) -> DataFrame:
+    """F16 then J8: labels whose padding is the ignored value -100."""
+    v = vocab(spark, sf_dir)
+    e = E.encode_fixed(X.turn_pairs(spark, sf_dir), "pair_id", v)
+    ignored = F.transform("labels", lambda x: F.when(x == V.PAD_ID, F.lit(V.LABEL_IGNORE)).otherwise(x))
+    return E.decode(e.select("pair_id", ignored.alias("labels")), "pair_id", "labels", v, "text")
+
+
+def q_pair_predictions(spark, sf_dir) -> DataFrame:
+    """Responses and references of separate tables, matched by their pair."""
+    p = X.predictions(spark, sf_dir)
+    return M.pair_predictions(p.select("pair_id", "pred"), p.select("pair_id", "lang", "ref"))
+
+
 def q_truncate_text(spark, sf_dir) -> DataFrame:
     from ..functions.text import truncate_tokens
     t = X.turn_pairs(spark, sf_dir)
@@ -241,6 +284,17 @@ def q_eval_pivot_echo(spark, sf_dir) -> DataFrame:
                             I.tag_translator("[back] "), EVAL_KEY, V.SMALL_TRUE))
 
 
+def q_example_report(spark, sf_dir) -> DataFrame:
+    """Ten examples per language with their context."""
+    return I.example_report(_test_rows(spark, sf_dir), I.echo_model, EVAL_KEY)
+
+
+def q_example_report_translated(spark, sf_dir) -> DataFrame:
+    """L5 after U6: the seven columns of the translated report."""
+    t = I.translate_columns(_test_rows(spark, sf_dir), I.tag_translator("[en] "))
+    return I.example_report_translated(t, I.echo_model, I.tag_translator("[back] "), EVAL_KEY)
+
+
 def _char_lengths(pdf):
     import pandas as pd
     return pd.DataFrame({"pair_id": pdf["pair_id"],
@@ -264,7 +318,7 @@ def q_clean_char_tokens(spark, sf_dir) -> DataFrame:
     t = X.turn_pairs(spark, sf_dir).select(
         F.lit("all").alias("lang"), F.lit("").alias("title"), "source_body", "target_body",
         F.lit("").alias("link_id"), F.lit("").alias("source_id"), F.col("pair_id").alias("target_id"))
-    return C.clean_dialogues(t, tokenizer=CharTokenizer())
+    return C.clean_dialogues(t, tokenizer=CharTokenizer)
 
 
 # --- streaming and statistics ------------------------------------------------
@@ -321,6 +375,18 @@ def q_land_splits(spark, sf_dir) -> DataFrame:
     return read_splits(spark, path).select(*C.DIALOGUE_COLUMNS, "split")
 
 
+def q_land_translated(spark, sf_dir) -> DataFrame:
+    """S10 then S5: translated splits written beside the plain ones (S9), one language at a time, read back."""
+    from ..session import scratch_path
+    from ..sources.io import read_splits, variant, write_splits, write_translated
+    path = scratch_path(spark, "splits")
+    parts = S.split_ratio(cleaned(spark, sf_dir), EVAL_KEY, V.RATIO_BORDERS, None)
+    write_splits(parts, variant(path, False))
+    write_translated(I.translate_columns(read_splits(spark, path, translated=False), I.tag_translator("[en] ")), path)
+    return read_splits(spark, path, translated=True).select(
+        *C.DIALOGUE_COLUMNS, "translated_source_body", "translated_target_body", "split")
+
+
 def q_csv_dialogues(spark, sf_dir) -> DataFrame:
     """S3: generated dialogues (titles span lines) through CSV and back."""
     from ..session import scratch_path
@@ -338,7 +404,7 @@ def q_stream_generate(spark, sf_dir) -> DataFrame:
     base = scratch_path(spark, "stream-generate")
     write_detailed(detailed(spark, sf_dir).repartition(3), f"{base}/detailed")
     generate_stream(spark, f"{base}/detailed", f"{base}/out", f"{base}/checkpoint", X.comments(spark, sf_dir),
-                    X.submissions(spark, sf_dir), lang_model(spark, sf_dir), QUERY_LANGS, files_per_batch=2)
+                    X.submissions(spark, sf_dir), lang_detector(spark, sf_dir), QUERY_LANGS, files_per_batch=2)
     return read_output(spark, f"{base}/out").select(*C.DIALOGUE_COLUMNS)
 
 
@@ -353,6 +419,7 @@ def q_pack_translated(spark, sf_dir) -> DataFrame:
 QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
+    "detect_lang": q_detect_lang,
     "zip_comments": q_zip_comments,
     "generate_dialogues": q_generate_dialogues,
     "dialogue_corpus": q_dialogue_corpus,
@@ -363,6 +430,8 @@ QUERIES = {
     "split_ratio_ref": q_split_ratio_ref,
     "split_percent": q_split_percent,
     "sample_train": q_sample_train,
+    "sized_train": q_sized_train,
+    "sized_val": q_sized_val,
     "examples": q_examples,
     "bigram_counts": q_bigram_counts,
     "sentence_distinct": _metric("sentence_distinct"),
@@ -377,11 +446,15 @@ QUERIES = {
     "encode_fixed": q_encode_fixed,
     "pack_pairs": q_pack_pairs,
     "decode_tokens": q_decode_tokens,
+    "decode_labels": q_decode_labels,
+    "pair_predictions": q_pair_predictions,
     "truncate_text": q_truncate_text,
     "translate_columns": q_translate_columns,
     "evaluate_echo": q_evaluate_echo,
     "eval_raw_echo": q_eval_raw_echo,
     "eval_pivot_echo": q_eval_pivot_echo,
+    "example_report": q_example_report,
+    "example_report_translated": q_example_report_translated,
     "batched_map": q_batched_map,
     "clean_char_tokens": q_clean_char_tokens,
     "stream_zip": q_stream_zip,
@@ -390,6 +463,7 @@ QUERIES = {
     "whitelist_text": q_whitelist_text,
     "cut_prompt": q_cut_prompt,
     "land_splits": q_land_splits,
+    "land_translated": q_land_translated,
     "csv_dialogues": q_csv_dialogues,
     "stream_generate": q_stream_generate,
     "pack_translated": q_pack_translated,
@@ -401,7 +475,7 @@ def _corpus_sql(final: str, upto: str = "cleaned", langs=QUERY_LANGS) -> str:
     if upto in ("detailed", "dialogues", "cleaned"):
         ctes.append(O.zip_ctes(langs))
     if upto in ("dialogues", "cleaned"):
-        ctes.append(O.generate_ctes(langs))
+        ctes += [O.DETECTOR, O.generate_ctes(langs)]
     if upto == "cleaned":
         ctes.append(O.clean_ctes("dialogues"))
     return O.with_(*ctes) + final
@@ -436,6 +510,12 @@ def _capped_sql(caps) -> str:
         f"WHEN 'eval' THEN {caps[1]} ELSE {caps[2]} END")
 
 
+def _sized_sql(split: str, rows: int) -> str:
+    return O.with_(_ratio_split("(SELECT doc_id, lang FROM documents)", "doc_id")) + (
+        f"SELECT doc_id, lang, split FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_md5('doc_id')}) AS k "
+        f"FROM sp WHERE split = '{split}') WHERE k <= {rows}")
+
+
 TK = f"tk AS (SELECT pair_id, lang, {OM.metric_tokens('pred')} AS t FROM predictions)"
 
 
@@ -461,7 +541,7 @@ def _eval_sql(pred: str, ref: str, extra_ctes=()) -> str:
             f"FROM ev_test) WHERE k <= {V.SMALL_TRUE})")
     pairs = f"pairs AS (SELECT lang, {EVAL_KEY} AS pair_id, {pred} AS pred, {ref} AS ref FROM ev_smp)"
     tk = f"tk AS (SELECT pair_id, lang, {OM.metric_tokens('pred')} AS t FROM pairs)"
-    ctes = [O.COMMENTS, O.SUBMISSIONS, O.MODEL, O.zip_ctes(QUERY_LANGS), O.generate_ctes(QUERY_LANGS),
+    ctes = [O.COMMENTS, O.SUBMISSIONS, O.MODEL, O.zip_ctes(QUERY_LANGS), O.DETECTOR, O.generate_ctes(QUERY_LANGS),
             O.clean_ctes("dialogues"), test, *extra_ctes, pairs, tk]
     return O.with_(*ctes) + _metric_union("pairs", ["lang"])
 
@@ -470,6 +550,18 @@ def _trunc(x: str) -> str:
     return f"array_to_string(list_slice({OM.tokens(x)}, 1, {V.MAX_INPUT_LENGTH}), ' ')"
 
 
+EN_SOURCE = "concat('[en] ', source_body)"
+
+
+def _examples_sql(columns: str) -> str:
+    """The first ten test rows per language in seeded order."""
+    return _corpus_sql(
+        f"SELECT lang, k - 1 AS example, {EVAL_KEY} AS pair_id, {columns} FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY lang ORDER BY {_md5(EVAL_KEY)}) AS k FROM (SELECT *, row_number() OVER (PARTITION BY lang "
+        f"ORDER BY {EVAL_KEY}) AS rn, count(*) OVER (PARTITION BY lang) AS n FROM cleaned) "
+        f"WHERE rn > floor(n * {V.RATIO_BORDERS[1]}::DOUBLE)) WHERE k <= {V.EXAMPLE_ROWS}")
+
+
 VOCAB = (f"vocab AS (SELECT * FROM (VALUES ('{V.PAD_TOKEN}', {V.PAD_ID}), ('{V.EOS_TOKEN}', {V.EOS_ID}), "
          f"('{V.UNK_TOKEN}', {V.UNK_ID})) sp(token, id) UNION ALL "
          f"SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token) + 2 AS INT) AS id FROM "
@@ -506,6 +598,10 @@ ORACLE = {
         O.COMMENTS, O.MODEL,
         f"zc AS (SELECT id, regexp_replace(body, {O.q(O.EMOJI)}, '', 'g') AS body FROM comments)",
         O.classify("cc", "zc")) + "SELECT id, lang, round(prob, 6) AS prob FROM cc_cls",
+    "detect_lang": O.with_(
+        O.COMMENTS, O.DETECTOR,
+        f"zc AS (SELECT id, regexp_replace(body, {O.q(O.EMOJI)}, '', 'g') AS body FROM comments)",
+        O.classify("cc", "zc", model="dm", order=langid.DETECT_ORDER)) + "SELECT id, lang, round(prob, 6) AS prob FROM cc_cls",
     "zip_comments": _corpus_sql("SELECT * FROM detailed", "detailed"),
     "generate_dialogues": _corpus_sql("SELECT * FROM dialogues", "dialogues"),
     "dialogue_corpus": _corpus_sql("SELECT * FROM cleaned", "cleaned"),
@@ -521,6 +617,8 @@ ORACLE = {
     "split_percent": O.with_(_ranked("documents", "doc_id")) + (
         f"SELECT doc_id, lang, CASE WHEN rn <= roundbankers(n * {V.PERCENT_SPLIT[0]} / 100.0::DOUBLE, 0) THEN 'train' "
         f"WHEN rn <= roundbankers(n * {V.PERCENT_SPLIT[1]} / 100.0::DOUBLE, 0) THEN 'eval' ELSE 'test' END AS split FROM rk"),
+    "sized_train": _sized_sql("train", V.SMALL_TRAIN),
+    "sized_val": _sized_sql("eval", 5),
     "sample_train": O.with_(_ratio_split("(SELECT doc_id, lang FROM documents)", "doc_id")) + (
         f"SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_md5('doc_id')}) AS k "
         f"FROM sp WHERE split = 'train') WHERE k <= {SAMPLE_ROWS}"),
@@ -551,6 +649,21 @@ ORACLE = {
         "LEFT JOIN (SELECT pair_id, unnest(labels) AS id, unnest(range(1, len(labels) + 1)) AS pos FROM enc) u "
         f"ON u.pair_id = e.pair_id AND u.id NOT IN ({V.PAD_ID}, {V.EOS_ID}, {V.UNK_ID}) "
         "LEFT JOIN vocab v ON v.id = u.id GROUP BY e.pair_id"),
+    "pair_predictions": O.with_(O.PREDICTIONS) + (
+        "SELECT p.pair_id, p.pred, r.lang, r.ref FROM predictions p JOIN predictions r ON p.pair_id = r.pair_id"),
+    "example_report": _examples_sql(
+        "source_body AS context, target_body AS reference, source_body AS prediction"),
+    "example_report_translated": _examples_sql(
+        f"source_body AS context, {_trunc('target_body')} AS reference, "
+        f"concat('[back] ', {_trunc(EN_SOURCE)}, '{V.EOS_TOKEN}') AS prediction, {_trunc(EN_SOURCE)} AS context_en, "
+        f"concat('[en] ', target_body) AS reference_en, concat({_trunc(EN_SOURCE)}, '{V.EOS_TOKEN}') AS prediction_en"),
+    "land_translated": _corpus_sql(
+        "SELECT * EXCLUDE (rn, n), concat('[en] ', source_body) AS translated_source_body, "
+        "concat('[en] ', target_body) AS translated_target_body, "
+        f"CASE WHEN rn <= floor(n * {V.RATIO_BORDERS[0]}::DOUBLE) THEN 'train' "
+        f"WHEN rn <= floor(n * {V.RATIO_BORDERS[1]}::DOUBLE) THEN 'eval' ELSE 'test' END AS split FROM "
+        f"(SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {EVAL_KEY}) AS rn, "
+        f"count(*) OVER (PARTITION BY lang) AS n FROM cleaned)"),
     "translate_columns": _corpus_sql(
         "SELECT *, concat('[en] ', source_body) AS translated_source_body, "
         "concat('[en] ', target_body) AS translated_target_body FROM cleaned"),
@@ -598,6 +711,8 @@ ORACLE = {
         "FROM turn_pairs"),
 }
 
+ORACLE["decode_labels"] = ORACLE["decode_tokens"]     # ignored labels read as padding
+
 
 def _with_package(fn):
     def run(spark, sf_dir):

@@ -57,15 +57,19 @@ def write_dialogues_csv(df: DataFrame, path: str) -> None:
 
 
 def read_splits(spark: SparkSession, path: str, lang: str | None = None, translated: bool | None = None) -> DataFrame:
-    """The split table, optionally one language and the translated variant."""
-    df = spark.read.parquet(path)
+    """The split table, optionally one language; ``translated`` takes
+    the variant that ``write_splits`` or ``write_translated`` put beside the other."""
+    df = spark.read.parquet(path if translated is None else variant(path, translated))
     if lang is not None:
         df = df.where(F.col("lang") == lang)
-    if translated is not None and "translated" in df.columns:
-        df = df.where(F.col("translated") == translated)
     return df
 
 
+def variant(path: str, translated: bool) -> str:
+    """The folder of the plain or translated rows below ``path``; their columns differ."""
+    return f"{path.rstrip('/')}/{'translated' if translated else 'plain'}"
+
+
 def _not_null(df: DataFrame) -> DataFrame:
     return df.na.drop(how="all")
 
@@ -87,8 +91,9 @@ def write_splits(df: DataFrame, path: str) -> None:
 
 
 def write_translated(df: DataFrame, path: str) -> None:
-    """Append translated rows."""
-    df.write.mode("append").partitionBy("lang").parquet(path)
+    """Append translated rows, by split (where the rows have one) and language."""
+    parts = [c for c in ("split", "lang") if c in df.columns]
+    df.write.mode("append").partitionBy(*parts).parquet(variant(path, True))
 
 
 def write_comments_json(df: DataFrame, path: str, files: int | None = None) -> None:

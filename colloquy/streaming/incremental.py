@@ -12,10 +12,12 @@ A corrupt checkpoint makes the query fail on start (T3).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..operators.corpus import generate_dialogues, zip_comments
 from ..operators.langid import LangModel
+from ..session import materialize
 from ..sources.io import COMMENT_SCHEMA
 
 
@@ -41,10 +43,15 @@ def zip_stream(spark: SparkSession, src: str, out: str, checkpoint: str, model:
 
 
 def generate_stream(spark: SparkSession, detailed_dir: str, out: str, checkpoint: str,
-                    comments: DataFrame, submissions: DataFrame, model: LangModel, langs=V.LANGS,
+                    comments: DataFrame, submissions: DataFrame, detector: LangModel, langs=V.LANGS,
                     files_per_batch: int | None = None):
     """New detailed files -> dialogue rows, joined with the static comment
-    and submission tables inside each micro-batch."""
+    and submission tables inside each micro-batch.
+
+    The parents a batch needs are written first: a table of known bytes, which
+    Spark sends to the comment scan where it is small, so that a batch does
+    not shuffle all comments.
+    """
     schema = spark.read.parquet(detailed_dir).schema
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "false")
     if files_per_batch:
@@ -52,7 +59,10 @@ def generate_stream(spark: SparkSession, detailed_dir: str, out: str, checkpoint
     stream = reader.parquet(detailed_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        _write_batch(generate_dialogues(df, comments, submissions, model, langs), out, batch_id)
+        replies = df.where(F.col("parent_id").startswith(V.REPLY_PREFIX))
+        need = materialize(replies.select(F.expr("substr(parent_id, 4)").alias("id")).distinct(), "batch-parents")
+        parents = comments.join(need, "id", "left_semi")
+        _write_batch(generate_dialogues(df, parents, submissions, detector, langs), out, batch_id)
 
     q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -206,3 +206,27 @@ def test_empty_sides_and_zero_vectors_score_nothing(spark):
     v = spark.createDataFrame([(p, s, 0, x) for p, s, x in rows], "pair_id long, side string, pos long, vec array<double>")
     got = {r["pair_id"]: r["f1"] for r in greedy_match_pairs(v).collect()}
     assert got == {1: 1.0, 2: 0.0, 3: 0.0}
+
+
+def test_encoding_keeps_every_row(spark):
+    from colloquy.operators import encode as EN
+    rows = [("a", "x y", "z"), ("a", "x y", "z"), ("a", "y", None), ("b", None, None), ("c", "", "x")]
+    df = spark.createDataFrame(rows, "pair_id string, source_body string, target_body string")
+    v = EN.build_vocab(df, ["source_body", "target_body"])
+    e = EN.encode_fixed(df, "pair_id", v)
+    text = {r["token"]: r["id"] for r in v.table.collect()}
+    first = sorted((r["pair_id"], r["input_ids"][0], r["labels"][0]) for r in e.collect())
+    assert first == sorted([("a", text["x"], text["z"])] * 2 + [("a", text["y"], 1), ("b", 1, 1), ("c", 1, text["x"])])
+    d = sorted((r["pair_id"], r["text"]) for r in EN.decode(e, "pair_id", "input_ids", v).collect())
+    assert d == [("a", "x y"), ("a", "x y"), ("a", "y"), ("b", ""), ("c", "")]
+
+
+def test_model_is_loaded_once_per_worker():
+    from colloquy.operators import infer as I
+    calls = []
+    for _ in range(3):
+        I._loaded("m", lambda: calls.append(1) or "model")
+    assert calls == [1]
+    for i in range(I.MODELS_KEPT):
+        assert I._loaded(f"other{i}", lambda: i) == i
+    assert "m" not in I._MODELS and len(I._MODELS) == I.MODELS_KEPT

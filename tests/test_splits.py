@@ -72,7 +72,16 @@ def test_select_split(spark):
     assert S.select_split(s, "val").select("split").distinct().first()["split"] == "eval"
     with pytest.raises(ValueError):
         S.select_split(s, "dev")
-    assert S.eval_sizes(True) == (200, 20, 200)
+
+
+def test_sizes(spark):
+    s = S.split_percent(docs(spark), "doc_id", [80, 95])
+    n = {k: S.select_split(s, k).groupBy("lang").count().toPandas().set_index("lang")["count"] for k in ("train", "val", "test")}
+    for name, small, full, cap in (("train", True, 50, 50), ("val", True, 50, 5), ("test", 7, 50, 7), ("test", None, 50, 10 ** 9)):
+        got = S.sized_split(s, name, "doc_id", small, full).groupBy("lang").count().toPandas().set_index("lang")["count"]
+        assert got.to_dict() == n[name].clip(upper=cap).to_dict()
+    assert S.sized_split(s, "val", "doc_id", 5, 50).count() == 0
+
 
 
 def test_input_order_does_not_change_splits(spark):
