@@ -158,7 +158,8 @@ def greedy_match(src_vectors: str) -> str:
          f"FROM {tv} p JOIN {tv} r ON p.pair_id = r.pair_id AND p.side = 'pred' AND r.side = 'ref')")
     pp = f"(SELECT pair_id, avg(m) AS prec FROM (SELECT pair_id, pp, max(cos) AS m FROM {s} GROUP BY ALL) GROUP BY pair_id)"
     rr = f"(SELECT pair_id, avg(m) AS rec FROM (SELECT pair_id, rp, max(cos) AS m FROM {s} GROUP BY ALL) GROUP BY pair_id)"
-    pr = (f"(SELECT prec, rec, CASE WHEN prec + rec <> 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0::DOUBLE END AS f "
-          f"FROM {pp} JOIN {rr} USING (pair_id))")
+    both = (f"(SELECT coalesce(prec, 0.0::DOUBLE) AS prec, coalesce(rec, 0.0::DOUBLE) AS rec "
+            f"FROM (SELECT DISTINCT pair_id FROM {tv}) LEFT JOIN {pp} USING (pair_id) LEFT JOIN {rr} USING (pair_id))")
+    pr = f"(SELECT prec, rec, CASE WHEN prec + rec <> 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0::DOUBLE END AS f FROM {both})"
     agg = f"(SELECT avg(prec) AS precision, avg(rec) AS recall, avg(f) AS f1 FROM {pr})"
     return unpivot(agg, (), "bertscore", ["precision", "recall", "f1"])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.text import delete_emoji
+from ..functions.text import delete_emoji, lang_prefix
 from ..operators import corpus as C
 from ..operators import langid
 from ..operators import encode as E
@@ -105,6 +105,21 @@ def q_generate_dialogues(spark, sf_dir) -> DataFrame:
     return dialogues(spark, sf_dir)
 
 
+_ZH_DETECTORS: dict = {}
+
+
+def q_generate_zh(spark, sf_dir) -> DataFrame:
+    """Rows kept as ``zh`` whose detector answers ``zh-cn`` or ``zh-tw``."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ZH_DETECTORS:
+        d = X.table(spark, sf_dir, "documents")
+        _ZH_DETECTORS[key] = langid.train_model(
+            d.select(X.chinese_variants(F.col("lang"), F.col("doc_id")).alias("lang"), "text"), langid.DETECT_ORDER)
+    rows = detailed(spark, sf_dir).withColumn("lang", lang_prefix(X.chinese_variants(F.col("lang"), F.length("id"))))
+    return C.generate_dialogues(rows, X.comments(spark, sf_dir), X.submissions(spark, sf_dir),
+                                _ZH_DETECTORS[key], [*QUERY_LANGS, "zh"])
+
+
 def q_dialogue_corpus(spark, sf_dir) -> DataFrame:
     return cleaned(spark, sf_dir)
 
@@ -422,6 +437,7 @@ QUERIES = {
     "detect_lang": q_detect_lang,
     "zip_comments": q_zip_comments,
     "generate_dialogues": q_generate_dialogues,
+    "generate_zh": q_generate_zh,
     "dialogue_corpus": q_dialogue_corpus,
     "clean_turn_pairs": q_clean_turn_pairs,
     "split_tail": q_split_tail,
@@ -604,6 +620,10 @@ ORACLE = {
         O.classify("cc", "zc", model="dm", order=langid.DETECT_ORDER)) + "SELECT id, lang, round(prob, 6) AS prob FROM cc_cls",
     "zip_comments": _corpus_sql("SELECT * FROM detailed", "detailed"),
     "generate_dialogues": _corpus_sql("SELECT * FROM dialogues", "dialogues"),
+    "generate_zh": O.with_(
+        O.COMMENTS, O.SUBMISSIONS, O.MODEL, O.zip_ctes(QUERY_LANGS, "zipped"),
+        "detailed AS (SELECT * REPLACE (CASE lang WHEN 'en' THEN 'zh' ELSE lang END AS lang) FROM zipped)",
+        O.ZH_DETECTOR, O.generate_ctes([*QUERY_LANGS, "zh"])) + "SELECT * FROM dialogues",
     "dialogue_corpus": _corpus_sql("SELECT * FROM cleaned", "cleaned"),
     "clean_turn_pairs": O.with_(
         O.TURN_PAIRS,

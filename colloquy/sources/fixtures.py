@@ -9,7 +9,7 @@ with them. Each function has an SQL twin in ``colloquy.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import table
@@ -57,21 +57,25 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eval pairs (pair_id, lang, pred, ref) over whole documents.
 
     The reference is the whole text; the prediction is the whole text with
-    every period and comma removed, a fixed imperfect "model".
+    every period and comma removed, a fixed imperfect "model" that has
+    nothing to say to every 50th reference.
     """
     d = table(spark, sf_dir, "documents")
     return d.select(F.col("doc_id").alias("pair_id"), "lang",
-                    F.regexp_replace("text", "[.,]", "").alias("pred"),
+                    F.when(F.col("doc_id") % 50 == 0, F.lit("")).otherwise(F.regexp_replace("text", "[.,]", "")).alias("pred"),
                     F.col("text").alias("ref"))
 
 
 def token_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token vectors (pair_id, side, pos, vec): ten vectors per pair, five per side."""
+    """Token vectors (pair_id, side, pos, vec): ten vectors per pair, five per side.
+
+    The prediction of every 50th pair is empty: its ten are all the reference's.
+    """
     e = table(spark, sf_dir, "embeddings")
     return e.select(
         F.floor(F.col("vec_id") / 10).cast("bigint").alias("pair_id"),
-        F.when(F.col("vec_id") % 10 < 5, F.lit("pred")).otherwise(F.lit("ref")).alias("side"),
-        (F.col("vec_id") % 5).cast("bigint").alias("pos"),
+        F.when((F.col("vec_id") % 10 < 5) & (F.col("vec_id") % 500 >= 10), F.lit("pred")).otherwise(F.lit("ref")).alias("side"),
+        (F.col("vec_id") % 10).cast("bigint").alias("pos"),
         F.col("embedding").alias("vec"))
 
 
@@ -87,6 +91,14 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "source_body", F.col("text").alias("target_body")))
 
 
+def chinese_variants(lang, key) -> Column:
+    """Documents and rows labelled ``en`` as Chinese, by turns of the two variants; other labels stay.
+
+    The given tables hold no Chinese; only the labels differ, the texts are as given.
+    """
+    return F.when(lang == "en", F.when(key % 2 == 0, F.lit("zh-cn")).otherwise(F.lit("zh-tw"))).otherwise(lang)
+
+
 def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled text for the language model: (lang, text)."""
     d = table(spark, sf_dir, "documents")
