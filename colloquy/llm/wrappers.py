@@ -230,10 +230,12 @@ def _mass(w: list, linked: bool = False) -> int:
 
 
 def rule(w: list) -> dict:
-    """Where the article lies in a wrapper: the keys of the elements that hold it, by the first test that finds any.
+    """Where the article lies in a wrapper: the keys of the elements that hold it, for each test in order.
 
-    Tests: article elements, main elements, groups named as content, and
-    else the body. Left-out groups are never entered.
+    Tests: article elements, main elements, groups named as content (and at
+    last the body, which needs no key). A host can have several templates, so
+    each page takes the first test that gives it text. Left-out groups are
+    never entered.
     """
     found: dict[str, set[str]] = {"article": set(), "main": set(), "named": set()}
 
@@ -249,12 +251,21 @@ def rule(w: list) -> dict:
         for k in node[3]:
             walk(k)
     walk(w)
-    roots = found["article"] or found["main"] or found["named"]
-    return {"roots": sorted(roots)}
+    return {"roots": [sorted(found[k]) for k in ("article", "main", "named") if found[k]]}
 
 
-def blocks(page: str, roots: frozenset) -> list[str]:
-    """The article's blocks in page order under a rule's roots (none: the whole body); references decoded, white space single."""
+def article(page: str, tests: list[frozenset]) -> list[str]:
+    """The blocks of a page under the first of a rule's tests that gives text, at last of its whole body."""
+    root = parse(page)
+    for roots in (*tests, frozenset()):
+        out = blocks(root, roots)
+        if out:
+            return out
+    return []
+
+
+def blocks(root: Node, roots: frozenset) -> list[str]:
+    """The blocks inside ``roots`` in page order (none: the whole body); references decoded, white space single."""
     out: list[str] = []
     run: list[str] = []
 
@@ -265,7 +276,7 @@ def blocks(page: str, roots: frozenset) -> list[str]:
             out.append(text)
 
     # (element, index of its next child, inside the article)
-    stack = [[parse(page), 0, not roots]]
+    stack = [[root, 0, not roots]]
     while stack:
         top = stack[-1]
         node, i, inside = top
@@ -348,18 +359,20 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     Null, empty and text-less pages give an empty text. Repeated pages are
     read each. A column called text is replaced. An empty table gives no rows.
     """
-    roots_of = F.udf(lambda wrapper: rule(json.loads(wrapper))["roots"], "array<string>")   # one call per host
+    roots_of = F.udf(lambda wrapper: rule(json.loads(wrapper))["roots"], "array<array<string>>")   # one call per host
     rules = materialize(infer_wrappers(pages).select("host", roots_of("wrapper").alias("__roots")), "wrappers")
 
     def host(batch: pa.RecordBatch) -> list[pa.Array]:
         return [pa.array([_host(u) for u in batch.column("url").to_pylist()], pa.string())]
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        sets: dict[tuple, frozenset] = {}
+        sets: dict[tuple, list[frozenset]] = {}
         out = []
         for page, roots in zip(batch.column("html").to_pylist(), batch.column("__roots").to_pylist()):
-            key = tuple(roots or ())
-            out.append("\n\n".join(blocks(page or "", sets.setdefault(key, frozenset(key)))))
+            key = tuple(map(tuple, roots or ()))
+            if key not in sets:
+                sets[key] = [frozenset(k) for k in key]
+            out.append("\n\n".join(article(page or "", sets[key])))
         return [pa.array(out, pa.string())]
     cols = [c for c in (keep or pages.columns) if c != "text"]
     need = list(dict.fromkeys([*cols, "url", "html"]))

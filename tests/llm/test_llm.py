@@ -190,6 +190,20 @@ def test_extraction_of_given_pages(spark):
         assert got[r["page_id"]] == "\n\n".join(x for x in parts if x)
 
 
+def extracted(spark, pages):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in wrappers.extract(df).orderBy("page_id").collect()]
+
+
+def test_pages_of_other_templates_of_a_host_keep_their_text(spark):
+    got = extracted(spark, [
+        ("http://a/1", page("<article class=teaser><p>teaser one</p></article><article class=teaser><p>teaser two</p></article>")),
+        ("http://a/2", page("<main><p>text in main</p></main><footer>end</footer>")),
+        ("http://a/3", page("<div class='post-content'><p>text in a named group</p></div><footer>end</footer>")),
+        ("http://a/4", page("<div><p>text in the body</p></div><footer>end</footer>"))])
+    assert got == ["teaser one\n\nteaser two", "text in main", "text in a named group", "text in the body"]
+
+
 # 4 neighbours
 
 def brute(rows, queries, k):
