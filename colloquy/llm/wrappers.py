@@ -19,6 +19,7 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 import pyarrow as pa
@@ -30,7 +31,7 @@ from .common import add_columns, arrow_map, materialize
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>?|[^<]+|<",
                    re.S)
 NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
-MARKS = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 
 # HTML element names by their part in a page, and the elements whose end tag may be left out.
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "plaintext")
@@ -47,6 +48,9 @@ NOT_TEXT_WORDS = ("ad", "ads", "advert", "adverts", "advertisement", "advertisin
                   "cookies", "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "share", "sharing", "social",
                   "related", "recommended", "widget", "toolbar", "login", "signup", "form", "search", "pager", "pagination",
                   "alert", "hidden", "skip")
+COMMENT_WORDS = ("comment", "comments", "disqus", "reply", "replies")
+CONTAINERS = ("html", "body", "main", "article")
+WRAPPERS = ("form", "fieldset")
 MAIN_WORDS = ("article", "main", "content", "post", "entry", "story")
 CLOSES_P = ("address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset",
             "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main",
@@ -61,22 +65,22 @@ HOSTS_HELD = 500
 MAX_DEPTH = 150
 
 _RAW, _VOID, _INLINE, _NOT_TEXT, _CLOSES_P, _SCOPES = map(frozenset, (RAW, VOID, INLINE, NOT_TEXT, CLOSES_P, SCOPES))
-_NOT_WORDS, _MAIN_WORDS = frozenset(NOT_TEXT_WORDS), frozenset(MAIN_WORDS)
+_NOT_WORDS, _MAIN_WORDS, _COMMENT_WORDS = map(frozenset, (NOT_TEXT_WORDS, MAIN_WORDS, COMMENT_WORDS))
+HIDDEN = "!hidden"            # the mark of the attribute; no class word, which may be "hidden" as well
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 def _key(tag: str, token: str) -> str:
     """A tag's name with its class, id and role: what tells groups of a page apart."""
     marks = []
-    if " " in token or "\n" in token or "\t" in token:
-        for m in MARKS.finditer(token, len(tag) + 1):
-            name, value = m[1].lower(), (m[2] or "").strip("\"'").strip()
-            if name in ("hidden", "aria-hidden"):
-                if value.lower() != "false":
-                    marks.append("hidden")
-            elif not (name == "id" and any(c.isdigit() for c in value)):
-                marks.append(value)
-    return f"{tag} {' '.join(marks)}".strip() if marks else tag
+    if len(token) > len(tag) + 3:
+        for m in ATTRIBUTE.finditer(token, len(tag) + 1):
+            name, value = m[1].lower(), (m[2] or "").strip("\"'")
+            if name == "hidden" or (name == "aria-hidden" and value.strip().lower() != "false"):
+                marks.append(HIDDEN)
+            elif name in ("class", "role", "itemprop") or (name == "id" and not any(c.isdigit() for c in value)):
+                marks += [w for w in value.split() if w != HIDDEN]
+    return " ".join([tag, *marks])
 
 
 class Node:
@@ -216,34 +220,69 @@ def _words(key: str) -> set[str]:
     return {x.lower() for x in _WORD.findall(key.partition(" ")[2])}
 
 
-def _left_out(key: str) -> bool:
-    return key.partition(" ")[0] in _NOT_TEXT or bool(_words(key) & _NOT_WORDS)
+def _left_out(key: str, spared: frozenset = frozenset()) -> bool:
+    """Whether a group is no text: by its tag, a hidden attribute, or a listed word, which says nothing of a container.
+
+    ``spared`` are the groups that hold most of a host's text. An article can
+    be a reader's comment, if a class says just that.
+    """
+    tag, *marks = key.split(" ")
+    if HIDDEN in marks or tag in _NOT_TEXT and not (tag in WRAPPERS and key in spared):
+        return True
+    if tag in CONTAINERS:
+        return tag == "article" and not _COMMENT_WORDS.isdisjoint(marks)
+    return bool(marks) and key not in spared and not _words(key).isdisjoint(_NOT_WORDS)
 
 
-def _mass(w: list, linked: bool = False) -> int:
+def _mass(w: list, spared: frozenset, linked: bool = False) -> int:
     """Characters of text that are not in links or left-out groups."""
     if w[0] == "#":
         return 0 if linked else w[3]
-    if _left_out(w[0]):
+    if _left_out(w[0], spared):
         return 0
-    return sum(_mass(k, linked or w[0].split(" ")[0] == "a") for k in w[3])
+    return sum(_mass(k, spared, linked or w[0].split(" ")[0] == "a") for k in w[3])
 
 
-def rule(w: list) -> dict:
-    """Where the article lies in a wrapper: the keys of the elements that hold it, for each test in order.
+def _spared(w: list, pages: int) -> frozenset:
+    """The groups with a listed word that hold more than half of the host's text that varies (of one page: of its text).
 
-    Tests: article elements, main elements, groups named as content (and at
+    Comments are never among them, however long: they are not the article.
+    """
+    sums: dict[str, int] = {}
+
+    def walk(node: list, linked: bool, within: frozenset) -> int:
+        if node[0] == "#":
+            return 0 if linked or (pages > 1 and node[2] is not None) else node[3]
+        tag, *marks = node[0].split(" ")
+        words = _words(node[0])
+        if HIDDEN in marks or (tag in _NOT_TEXT and tag not in WRAPPERS) or words & _COMMENT_WORDS:
+            return 0
+        inner = within | {node[0]}
+        n = sum(walk(k, linked or tag == "a", inner) for k in node[3])
+        if node[0] not in within and (tag in WRAPPERS or words & _NOT_WORDS):
+            sums[node[0]] = sums.get(node[0], 0) + n
+        return n
+    total = walk(w, False, frozenset())
+    return frozenset(k for k, n in sums.items() if 2 * n > total)
+
+
+def rule(w: list, pages: int) -> dict:
+    """What is read of the pages of a host: the keys of ``spared`` groups and of ``roots``.
+
+    Roots are the elements that hold the article, for each test in order:
+    article elements, main elements, groups named as content (and at
     last the body, which needs no key). A host can have several templates, so
     each page takes the first test that gives it text. Left-out groups are
     never entered.
     """
     found: dict[str, set[str]] = {"article": set(), "main": set(), "named": set()}
+    spared = _spared(w, pages)
 
     def walk(node: list) -> None:
-        if node[0] == "#" or (node[0] and _left_out(node[0])):
+        if node[0] == "#" or (node[0] and _left_out(node[0], spared)):
             return
         tag = node[0].partition(" ")[0]
-        if _mass(node):
+        if _mass(node, spared):
             if tag in ("article", "main"):
                 found[tag].add(node[0])
             elif tag not in ("html", "body") and _words(node[0]) & _MAIN_WORDS:
@@ -251,20 +290,34 @@ def rule(w: list) -> dict:
         for k in node[3]:
             walk(k)
     walk(w)
-    return {"roots": [sorted(found[k]) for k in ("article", "main", "named") if found[k]]}
+    return {"spared": sorted(spared), "roots": [sorted(found[k]) for k in ("article", "main", "named") if found[k]]}
+
+
+@dataclass
+class Rule:
+    """A host's rule as the pages need it."""
+    roots: list[frozenset] = field(default_factory=list)
+    spared: frozenset = frozenset()
+
+    @classmethod
+    def of_json(cls, spelled: str | None) -> "Rule":
+        if spelled is None:
+            return cls()
+        r = json.loads(spelled)
+        return cls([frozenset(x) for x in r["roots"]], frozenset(r["spared"]))
 
 
-def article(page: str, tests: list[frozenset]) -> list[str]:
-    """The blocks of a page under the first of a rule's tests that gives text, at last of its whole body."""
+def article(page: str, r: Rule) -> list[str]:
+    """The blocks of a page under the first of a rule's roots that give text, at last of its whole body."""
     root = parse(page)
-    for roots in (*tests, frozenset()):
-        out = blocks(root, roots)
+    for roots in (*r.roots, frozenset()):
+        out = blocks(root, roots, r)
         if out:
             return out
     return []
 
 
-def blocks(root: Node, roots: frozenset) -> list[str]:
+def blocks(root: Node, roots: frozenset, r: Rule) -> list[str]:
     """The blocks inside ``roots`` in page order (none: the whole body); references decoded, white space single."""
     out: list[str] = []
     run: list[str] = []
@@ -293,7 +346,7 @@ def blocks(root: Node, roots: frozenset) -> list[str]:
         elif c.tag in ("br", "wbr", "img"):
             if inside and c.tag == "br":
                 run.append(" ")
-        elif not _left_out(c.key):
+        elif not _left_out(c.key, r.spared):
             if c.tag not in _INLINE:
                 flush()
             stack.append([c, 0, inside or c.key in roots])
@@ -359,20 +412,19 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     Null, empty and text-less pages give an empty text. Repeated pages are
     read each. A column called text is replaced. An empty table gives no rows.
     """
-    roots_of = F.udf(lambda wrapper: rule(json.loads(wrapper))["roots"], "array<array<string>>")   # one call per host
-    rules = materialize(infer_wrappers(pages).select("host", roots_of("wrapper").alias("__roots")), "wrappers")
+    rule_of = F.udf(lambda wrapper, n: json.dumps(rule(json.loads(wrapper), n)), "string")   # one call per host
+    rules = materialize(infer_wrappers(pages).select("host", rule_of("wrapper", "pages").alias("__rule")), "wrappers")
 
     def host(batch: pa.RecordBatch) -> list[pa.Array]:
         return [pa.array([_host(u) for u in batch.column("url").to_pylist()], pa.string())]
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        sets: dict[tuple, list[frozenset]] = {}
+        held: dict[str | None, Rule] = {}
         out = []
-        for page, roots in zip(batch.column("html").to_pylist(), batch.column("__roots").to_pylist()):
-            key = tuple(map(tuple, roots or ()))
-            if key not in sets:
-                sets[key] = [frozenset(k) for k in key]
-            out.append("\n\n".join(article(page or "", sets[key])))
+        for page, spelled in zip(batch.column("html").to_pylist(), batch.column("__rule").to_pylist()):
+            if spelled not in held:
+                held[spelled] = Rule.of_json(spelled)
+            out.append("\n\n".join(article(page or "", held[spelled])))
         return [pa.array(out, pa.string())]
     cols = [c for c in (keep or pages.columns) if c != "text"]
     need = list(dict.fromkeys([*cols, "url", "html"]))

@@ -204,6 +204,17 @@ def test_pages_of_other_templates_of_a_host_keep_their_text(spark):
     assert got == ["teaser one\n\nteaser two", "text in main", "text in a named group", "text in the body"]
 
 
+def test_words_of_containers_and_attribute_values_leave_nothing_out(spark):
+    bodies = ["<article class='post has-sidebar'><p>one %d</p></article>", "<main class=content-sidebar-wrap><p>two %d</p></main>",
+              "<div class='content-sidebar-wrap'><p>three %d</p></div>", "<form action=x><p>four %d</p></form>",
+              "<div style='overflow:hidden'><p>five %d</p></div>",
+              "<div><p>six <a href=/hidden-valley>valley</a> %d</p><p title='a hidden gem'>gem</p></div>",
+              "<article><p hidden>no</p><p aria-hidden=true>no</p><p aria-hidden='false'>seven %d</p><div class=sidebar>no</div></article>"]
+    pages = [(f"http://h{k}/{i}", page(b % i).replace("<body>", "<body class=right-sidebar>")) for k, b in enumerate(bodies) for i in (1, 2)]
+    words_of = ["one %d", "two %d", "three %d", "four %d", "five %d", "six valley %d\n\ngem", "seven %d"]
+    assert extracted(spark, pages) == [w % i for w in words_of for i in (1, 2)]
+
+
 # 4 neighbours
 
 def brute(rows, queries, k):
