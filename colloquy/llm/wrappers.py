@@ -9,14 +9,19 @@ wrapper is a union-free expression: tags, constants, slots, ( )? and ( )+.
 
 Wrappers are folded in the map tasks first, one small row per host and task,
 and then merged in two rounds, so a hot host is never gathered. From the
-wrapper follows the host's rule: where the article lies and which groups in
-it are not text. Pages are read again under their host's rule.
+wrapper follows the host's rule: where the article lies, which groups hold
+most of the text that varies, and which are constant on many pages and so part
+of the template. Pages are read again under their host's rule. Fixed lists of
+tags and class words tell what of the rest is no text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
+import itertools
 import json
+import operator
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -60,12 +65,17 @@ IMPLIED_END = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr
                "body": ("head",)}
 SCOPES = ("ul", "ol", "dl", "table", "select", "article", "section", "div", "main", "aside", "blockquote", "body", "html")
 
+LABELS = ("h1", "h2", "h3", "h4", "h5", "h6", "dt", "th", "td", "tr", "li", "caption", "figcaption", "legend", "summary")
+
+CONSTANT_PAGES = 3
+CONSTANT_SHARE = 0.25
 MERGE_WAYS = 64
 HOSTS_HELD = 500
 MAX_DEPTH = 150
 
 _RAW, _VOID, _INLINE, _NOT_TEXT, _CLOSES_P, _SCOPES = map(frozenset, (RAW, VOID, INLINE, NOT_TEXT, CLOSES_P, SCOPES))
 _NOT_WORDS, _MAIN_WORDS, _COMMENT_WORDS = map(frozenset, (NOT_TEXT_WORDS, MAIN_WORDS, COMMENT_WORDS))
+_KEPT = frozenset(LABELS + CONTAINERS)
 HIDDEN = "!hidden"            # the mark of the attribute; no class word, which may be "hidden" as well
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -140,25 +150,26 @@ def parse(page: str) -> Node:
     return root
 
 
-# A wrapper node is [key, optional, repeated, children]; a text is ["#", optional, constant or None, chars].
+# A wrapper node is [key, optional, repeated, children, pages]; a text is ["#", optional, constant or None, chars, pages].
+# ``pages`` counts those that have it (never too many); a constant of over 40 characters is kept as its hash.
+
+
+def _constant(text: str) -> str:
+    return text if len(text) <= 40 else "~" + hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=12).hexdigest()
 
 
 def _wrap(node: Node, depth: int = 0) -> list:
     if depth > MAX_DEPTH:
         raise RecursionError
     kids: list = []
-    for c in node.children:
-        if isinstance(c, str):
-            t = c.strip()
+    for is_text, run in itertools.groupby(node.children, lambda c: isinstance(c, str)):
+        if is_text:
+            t = "".join(run).strip()
             if t:
-                w = ["#", False, t if len(t) <= 40 else None, len(t)]
-                if kids and kids[-1][0] == "#":
-                    kids[-1] = ["#", False, None, kids[-1][3] + len(t)]
-                else:
-                    kids.append(w)
+                kids.append(["#", False, _constant(t), len(t), 1])
         else:
-            kids.append(_wrap(c, depth + 1))
-    return [node.key, False, False, _fold_repeats(kids)]
+            kids += [_wrap(c, depth + 1) for c in run]
+    return [node.key, False, False, _fold_repeats(kids), 1]
 
 
 def _fold_repeats(kids: list) -> list:
@@ -166,27 +177,26 @@ def _fold_repeats(kids: list) -> list:
     out: list = []
     for k in kids:
         if out and out[-1][0] == k[0] and k[0] != "#":
-            out[-1] = merge(out[-1], k)
+            out[-1] = merge(out[-1], k, max)
             out[-1][2] = True
         else:
             out.append(k)
     return out
 
 
-def merge(a: list, b: list) -> list:
-    """The wrapper of both: same keys merge, a text that differs becomes a slot, unmatched groups become optional."""
-    if a[0] == "#":
-        return ["#", a[1] or b[1], a[2] if a[2] == b[2] else None, a[3] + b[3]]
-    return [a[0], a[1] or b[1], a[2] or b[2], a[3] if a[3] == b[3] and not _texts(a[3]) else _align(a[3], b[3])]
-
+def merge(a: list, b: list, count=operator.add) -> list:
+    """The wrapper of both: same keys merge, a text that differs becomes a slot, unmatched groups become optional.
 
-def _texts(kids: list) -> bool:
-    return any(k[0] == "#" or _texts(k[3]) for k in kids)
+    ``count`` joins the numbers of pages: their sum, or for parts of one page the larger.
+    """
+    if a[0] == "#":
+        return ["#", a[1] or b[1], a[2] if a[2] == b[2] else None, a[3] + b[3], count(a[4], b[4])]
+    return [a[0], a[1] or b[1], a[2] or b[2], _align(a[3], b[3], count), count(a[4], b[4])]
 
 
-def _align(x: list, y: list) -> list:
+def _align(x: list, y: list, count=operator.add) -> list:
     if [k[0] for k in x] == [k[0] for k in y]:
-        return [merge(a, b) for a, b in zip(x, y)]
+        return [merge(a, b, count) for a, b in zip(x, y)]
     n, m = len(x), len(y)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -195,7 +205,7 @@ def _align(x: list, y: list) -> list:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and x[i][0] == y[j][0]:
-            out.append(merge(x[i], y[j]))
+            out.append(merge(x[i], y[j], count))
             i, j = i + 1, j + 1
         elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
             out.append([x[i][0], True, *x[i][2:]])
@@ -266,8 +276,53 @@ def _spared(w: list, pages: int) -> frozenset:
     return frozenset(k for k, n in sums.items() if 2 * n > total)
 
 
+def _spell(w: list) -> str | None:
+    """A group of constants spelled out; None if it holds a slot."""
+    if w[0] == "#":
+        return w[2]
+    inner = [_spell(k) for k in w[3]]
+    return None if None in inner else f"<{w[0]}>{' '.join(inner)}</>"
+
+
+def _mark(spelled: str) -> str:
+    return hashlib.blake2b(spelled.encode("utf-8", "replace"), digest_size=12).hexdigest()
+
+
+def _has_text(w: list) -> bool:
+    return w[0] == "#" or any(map(_has_text, w[3]))
+
+
+def _constants(w: list, pages: int, spared: frozenset) -> dict[str, list[str]]:
+    """The constants of a host's template, as marks by the path of the group that holds them.
+
+    These are the outermost block groups without a slot, and strings with
+    block groups or nothing beside them, on at least ``CONSTANT_PAGES`` pages
+    and a share of ``CONSTANT_SHARE``. Labels (headings, cells, items) belong
+    to the slots that they stand beside; they go with a constant group around
+    them alone. Inline groups are parts of a line and stay with it.
+    """
+    least = max(CONSTANT_PAGES, pages * CONSTANT_SHARE)
+    out: dict[str, set[str]] = {}
+
+    def walk(node: list, path: str) -> None:
+        tags = ["", *("#" if k[0] == "#" else k[0].partition(" ")[0] for k in node[3]), ""]
+        for i, k in enumerate(node[3]):
+            if k[0] == "#":
+                alone = tags[i] not in _INLINE and tags[i + 2] not in _INLINE
+                if alone and path and len(node[3]) > 1 and k[2] is not None and k[4] >= least:
+                    out.setdefault(path, set()).add(_mark(k[2]))
+            elif not _left_out(k[0], spared) and tags[i + 1] not in _INLINE:
+                spelled = _spell(k) if tags[i + 1] not in _KEPT and k[4] >= least and _has_text(k) else None
+                if spelled is not None:
+                    out.setdefault(path, set()).add(_mark(spelled))
+                else:
+                    walk(k, f"{path}\x1f{k[0]}")
+    walk(w, "")
+    return {k: sorted(v) for k, v in out.items()}
+
+
 def rule(w: list, pages: int) -> dict:
-    """What is read of the pages of a host: the keys of ``spared`` groups and of ``roots``.
+    """What is read of the pages of a host: the keys of ``spared`` groups and of ``roots``, and what is left out as constant.
 
     Roots are the elements that hold the article, for each test in order:
     article elements, main elements, groups named as content (and at
@@ -290,7 +345,7 @@ def rule(w: list, pages: int) -> dict:
         for k in node[3]:
             walk(k)
     walk(w)
-    return {"spared": sorted(spared), "roots": [sorted(found[k]) for k in ("article", "main", "named") if found[k]]}
+    return {"spared": sorted(spared), "constants": _constants(w, pages, spared), "roots": [sorted(found[k]) for k in ("article", "main", "named") if found[k]]}
 
 
 @dataclass
@@ -298,25 +353,40 @@ class Rule:
     """A host's rule as the pages need it."""
     roots: list[frozenset] = field(default_factory=list)
     spared: frozenset = frozenset()
+    constants: dict[str, frozenset] = field(default_factory=dict)
 
     @classmethod
     def of_json(cls, spelled: str | None) -> "Rule":
         if spelled is None:
             return cls()
         r = json.loads(spelled)
-        return cls([frozenset(x) for x in r["roots"]], frozenset(r["spared"]))
+        return cls([frozenset(x) for x in r["roots"]], frozenset(r["spared"]),
+                   {k: frozenset(v) for k, v in r["constants"].items()})
 
 
 def article(page: str, r: Rule) -> list[str]:
-    """The blocks of a page under the first of a rule's roots that give text, at last of its whole body."""
+    """The blocks of a page under the first of a rule's roots that give text, at last of its whole body.
+
+    A page that has constants alone keeps them: they are its text.
+    """
     root = parse(page)
     for roots in (*r.roots, frozenset()):
         out = blocks(root, roots, r)
+        if not out and r.constants:
+            out = blocks(root, roots, Rule(r.roots, r.spared))
         if out:
             return out
     return []
 
 
+def _is_constant(c: Node, marks: frozenset) -> bool:
+    try:
+        spelled = _spell(_wrap(c))
+    except RecursionError:
+        return False
+    return spelled is not None and _mark(spelled) in marks
+
+
 def blocks(root: Node, roots: frozenset, r: Rule) -> list[str]:
     """The blocks inside ``roots`` in page order (none: the whole body); references decoded, white space single."""
     out: list[str] = []
@@ -328,11 +398,11 @@ def blocks(root: Node, roots: frozenset, r: Rule) -> list[str]:
         if text:
             out.append(text)
 
-    # (element, index of its next child, inside the article)
-    stack = [[root, 0, not roots]]
+    # (element, index of its next child, inside the article, path where the host has constants)
+    stack = [[root, 0, not roots, ""]]
     while stack:
         top = stack[-1]
-        node, i, inside = top
+        node, i, inside, path = top
         if i == len(node.children):
             stack.pop()
             if node.tag not in _INLINE:
@@ -340,7 +410,14 @@ def blocks(root: Node, roots: frozenset, r: Rule) -> list[str]:
             continue
         top[1] += 1
         c = node.children[i]
+        marks = r.constants.get(path) if inside else None
         if isinstance(c, str):
+            if marks and not (i and isinstance(node.children[i - 1], str)):
+                text = "".join(itertools.takewhile(lambda x: isinstance(x, str), itertools.islice(node.children, i, None)))
+                if text.strip() and _mark(_constant(text.strip())) in marks:
+                    while top[1] < len(node.children) and isinstance(node.children[top[1]], str):
+                        top[1] += 1
+                    continue
             if inside:
                 run.append(c)
         elif c.tag in ("br", "wbr", "img"):
@@ -349,7 +426,11 @@ def blocks(root: Node, roots: frozenset, r: Rule) -> list[str]:
         elif not _left_out(c.key, r.spared):
             if c.tag not in _INLINE:
                 flush()
-            stack.append([c, 0, inside or c.key in roots])
+                if marks and _is_constant(c, marks):
+                    continue
+            # Wrappers are no deeper than MAX_DEPTH, so deeper groups need no path.
+            deeper = f"{path}\x1f{c.key}" if r.constants and len(stack) <= MAX_DEPTH and path is not None else None
+            stack.append([c, 0, inside or c.key in roots, deeper])
     flush()
     return out
 
@@ -381,7 +462,7 @@ def infer_wrappers(pages: DataFrame, merge_ways: int = MERGE_WAYS) -> DataFrame:
                 try:
                     w = _wrap(parse(page))
                 except RecursionError:
-                    w = ["", False, False, []]
+                    w = ["", False, False, [], 1]
                 h = _host(url)
                 if h in held:
                     held[h][0] += 1

@@ -215,6 +215,16 @@ def test_words_of_containers_and_attribute_values_leave_nothing_out(spark):
     assert extracted(spark, pages) == [w % i for w in words_of for i in (1, 2)]
 
 
+def test_constants_of_a_host_are_left_out(spark):
+    legal = "<div class=legal><b>All rights</b> reserved by the publisher of this host, whatever is said above.</div>"
+    pages = [(f"http://a/{i}", page(f"<article><h2>Plot</h2>Read on our site.<p>text {i}</p><p>more</p>{legal * (i < 4)}</article>"))
+             for i in range(6)]
+    pages += [(f"http://b/{i}", page(f"<article><p>same text</p>{legal}</article>")) for i in range(4)]
+    got = extracted(spark, pages)
+    assert got[:6] == [f"Plot\n\ntext {i}\n\nmore" for i in range(6)]
+    assert set(got[6:]) == {"same text\n\nAll rights reserved by the publisher of this host, whatever is said above."}
+
+
 # 4 neighbours
 
 def brute(rows, queries, k):
