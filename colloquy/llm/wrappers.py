@@ -7,8 +7,11 @@ optional groups (a tag that some pages lack), repeated groups (neighbours of
 one tag, aligned into one body), or text slots (strings that differ). The
 wrapper is a union-free expression: tags, constants, slots, ( )? and ( )+.
 
-Wrappers are folded in the map tasks first, one small row per host and task,
-and then merged in two rounds, so a hot host is never gathered. From the
+Groups are told apart by marks (class and id words) that enough of a host's
+pages share, which a Spark aggregate counts; marks of single pages are dropped,
+so the number of a host's keys does not grow with its pages. Wrappers are
+folded in the map tasks first, one small row per host and task, and then merged
+in two rounds, so a hot host's pages are never gathered. From the
 wrapper follows the host's rule: where the article lies, which groups hold
 most of the text that varies, and which are constant on many pages and so part
 of the template. Pages are read again under their host's rule. Fixed lists of
@@ -69,6 +72,10 @@ LABELS = ("h1", "h2", "h3", "h4", "h5", "h6", "dt", "th", "td", "tr", "li", "cap
 
 CONSTANT_PAGES = 3
 CONSTANT_SHARE = 0.25
+STABLE_SHARE = 0.05
+MAX_CHILDREN = 200
+KEYS_HELD = 20_000
+MARKS_HELD = 100_000
 MERGE_WAYS = 64
 HOSTS_HELD = 500
 MAX_DEPTH = 150
@@ -76,6 +83,7 @@ MAX_DEPTH = 150
 _RAW, _VOID, _INLINE, _NOT_TEXT, _CLOSES_P, _SCOPES = map(frozenset, (RAW, VOID, INLINE, NOT_TEXT, CLOSES_P, SCOPES))
 _NOT_WORDS, _MAIN_WORDS, _COMMENT_WORDS = map(frozenset, (NOT_TEXT_WORDS, MAIN_WORDS, COMMENT_WORDS))
 _KEPT = frozenset(LABELS + CONTAINERS)
+_TAGS = frozenset(RAW + VOID + INLINE + NOT_TEXT + CLOSES_P + SCOPES + LABELS + CONTAINERS + tuple(IMPLIED_END) + ("tfoot", "picture"))
 HIDDEN = "!hidden"            # the mark of the attribute; no class word, which may be "hidden" as well
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -93,6 +101,28 @@ def _key(tag: str, token: str) -> str:
     return " ".join([tag, *marks])
 
 
+def key_marks(key: str) -> list[str]:
+    """What is counted of a key: itself, and its tag with each single mark."""
+    tag, *marks = key.split(" ")
+    return [key, *(f"{tag} {m}" for m in marks)] if len(marks) > 1 else [key]
+
+
+def stable_key(key: str, stable: frozenset) -> str:
+    """The key as it is if enough pages of the host have it, else what is bounded of it.
+
+    That is a known tag (x for another) with the first mark that enough pages
+    have, whether it is hidden, and its first listed word of each kind.
+    """
+    if key in stable:
+        return key
+    tag, *marks = key.split(" ")
+    out = [next((m for m in marks if f"{tag} {m}" in stable), ""), HIDDEN if HIDDEN in marks else ""]
+    words = [x.lower() for x in _WORD.findall(" ".join(m for m in marks if m != HIDDEN))]
+    for known in (_COMMENT_WORDS, _NOT_WORDS, _MAIN_WORDS):
+        out.append(next((w for w in words if w in known), ""))
+    return " ".join(dict.fromkeys([tag if tag in _TAGS else "x", *filter(None, out)]))
+
+
 class Node:
     """An element: its key, and its children in order (strings are text)."""
     __slots__ = ("key", "tag", "children")
@@ -101,9 +131,41 @@ class Node:
         self.key, self.tag, self.children = key, tag, []
 
 
-def parse(page: str) -> Node:
+def page_keys(page: str) -> set[str]:
+    """The keys of a page's start tags, from its token stream alone."""
+    out: set[str] = set()
+    at = 0
+    while (m := TOKEN.match(page, at)) is not None:
+        token, at = m[0], m.end()
+        if token[0] == "<" and token != "<" and token[1] not in "/!?":
+            tag = NAME.match(token)[1].lower()
+            out.add(_key(tag, token))
+            if tag in _RAW:
+                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                at = end.end() if end else len(page)
+    return out
+
+
+class Keys(dict):
+    """Key -> stable key of one host, looked up once; None for the stable ones leaves all keys as they are."""
+
+    def __init__(self, stable: frozenset | None = None):
+        super().__init__()
+        self.stable = stable
+
+    def __missing__(self, key: str) -> str:
+        if self.stable is None:
+            return key
+        if len(self) >= KEYS_HELD:
+            self.clear()
+        out = self[key] = stable_key(key, self.stable)
+        return out
+
+
+def parse(page: str, keys: Keys | None = None) -> Node:
     """Nest the token stream of a whole page; unclosed elements end where HTML ends them."""
     root = Node("", "")
+    keys = Keys() if keys is None else keys
     stack = [root]
     at, n = 0, len(page)
     while at < n:
@@ -139,7 +201,7 @@ def parse(page: str) -> Node:
                     del stack[i:]
                 elif stack[i].tag in _SCOPES and stack[i].tag != tag:
                     break
-        node = Node(_key(tag, token), tag)
+        node = Node(keys[_key(tag, token)], tag)
         stack[-1].children.append(node)
         if tag in _RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -172,8 +234,20 @@ def _wrap(node: Node, depth: int = 0) -> list:
     return [node.key, False, False, _fold_repeats(kids), 1]
 
 
+def _gather(kids: list) -> list:
+    """A long row of children as one group per key, optional and repeated, in order of first place."""
+    out: dict[str, list] = {}
+    for k in kids:
+        out[k[0]] = merge(out[k[0]], k, max) if k[0] in out else k
+    return [[k[0], True, *k[2:]] if k[0] == "#" else [k[0], True, True, *k[3:]] for k in out.values()]
+
+
 def _fold_repeats(kids: list) -> list:
-    """Neighbours of one key become one repeated group, their bodies aligned into one."""
+    """Neighbours of one key become one repeated group, their bodies aligned into one.
+
+    Over ``MAX_CHILDREN`` groups that remain are gathered by key, so a node has
+    no more children than that or the number of the host's keys.
+    """
     out: list = []
     for k in kids:
         if out and out[-1][0] == k[0] and k[0] != "#":
@@ -181,7 +255,7 @@ def _fold_repeats(kids: list) -> list:
             out[-1][2] = True
         else:
             out.append(k)
-    return out
+    return _gather(out) if len(out) > MAX_CHILDREN else out
 
 
 def merge(a: list, b: list, count=operator.add) -> list:
@@ -352,15 +426,17 @@ def rule(w: list, pages: int) -> dict:
 class Rule:
     """A host's rule as the pages need it."""
     roots: list[frozenset] = field(default_factory=list)
+    keys: Keys = field(default_factory=lambda: Keys(frozenset()))
     spared: frozenset = frozenset()
     constants: dict[str, frozenset] = field(default_factory=dict)
 
     @classmethod
-    def of_json(cls, spelled: str | None) -> "Rule":
+    def of_json(cls, spelled: str | None, stable: list[str]) -> "Rule":
+        keys = Keys(frozenset(stable))
         if spelled is None:
-            return cls()
+            return cls(keys=keys)
         r = json.loads(spelled)
-        return cls([frozenset(x) for x in r["roots"]], frozenset(r["spared"]),
+        return cls([frozenset(x) for x in r["roots"]], keys, frozenset(r["spared"]),
                    {k: frozenset(v) for k, v in r["constants"].items()})
 
 
@@ -369,11 +445,11 @@ def article(page: str, r: Rule) -> list[str]:
 
     A page that has constants alone keeps them: they are its text.
     """
-    root = parse(page)
+    root = parse(page, r.keys)
     for roots in (*r.roots, frozenset()):
         out = blocks(root, roots, r)
         if not out and r.constants:
-            out = blocks(root, roots, Rule(r.roots, r.spared))
+            out = blocks(root, roots, Rule(r.roots, r.keys, r.spared))
         if out:
             return out
     return []
@@ -440,30 +516,79 @@ def _host(url: str | None) -> str:
         .partition("#")[0].lower()
 
 
-def infer_wrappers(pages: DataFrame, merge_ways: int = MERGE_WAYS) -> DataFrame:
+def _hosted(pages: DataFrame) -> DataFrame:
+    def host(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([_host(u) for u in batch.column("url").to_pylist()], pa.string())]
+    return add_columns(pages, host, "__host string")
+
+
+def stable_marks(pages: DataFrame, share: float = STABLE_SHARE) -> DataFrame:
+    """(__host, __stable) of ``pages`` (url, html): the key marks that at least ``share`` of a host's pages have.
+
+    A host whose pages have m different marks on average has at most m / share
+    of them, however many pages there are; marks of single pages (numbers,
+    slugs) are counted by the aggregate and gathered nowhere. A host of at
+    most 1 / share pages keeps all its marks.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], int] = {}
+
+        def give() -> pa.RecordBatch:
+            rows = list(held.items())
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()),
+                                               pa.array([n for _, n in rows], pa.int64())], ["__host", "mark", "n"])
+        for b in batches:
+            for url, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
+                if page is None:
+                    continue
+                h = _host(url)
+                for m in {"", *(m for k in page_keys(page) for m in key_marks(k))}:
+                    held[h, m] = held.get((h, m), 0) + 1
+                if len(held) >= MARKS_HELD:
+                    yield give()
+        if held:
+            yield give()
+    some = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    counts = materialize(some.mapInArrow(run, "__host string, mark string, n long").groupBy("__host", "mark")
+                             .agg(F.sum("n").alias("n")), "wrapper-marks")
+    # The empty mark is on every page: its count is the host's number of pages.
+    total = counts.where("mark = ''").select("__host", F.col("n").alias("pages"))
+    kept = counts.where("mark <> ''").join(total, "__host").where(F.col("n") >= F.col("pages") * F.lit(share))
+    listed = kept.groupBy("__host").agg(F.array_sort(F.collect_list("mark")).alias("__stable"))
+    return materialize(total.select("__host").join(listed, "__host", "left")
+                            .select("__host", F.coalesce("__stable", F.array().cast("array<string>")).alias("__stable")), "wrapper-keys")
+
+
+def infer_wrappers(pages: DataFrame, merge_ways: int = MERGE_WAYS, stable: DataFrame | None = None) -> DataFrame:
     """(host, pages, wrapper as JSON) of ``pages`` (url, html), folded over all pages of each host.
 
     Pages of null html are left out, a null url has the host "". Pages nested
     deeper than ``MAX_DEPTH`` elements do not shape the wrapper; their text is
-    read under the rule that the host's other pages give.
+    read under the rule that the host's other pages give. Keys are made of the
+    marks ``stable`` (those of ``stable_marks``), so their number does not grow
+    with the pages, nor does a node's number of children.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
+        named: dict[str, Keys] = {}
 
         def give() -> pa.RecordBatch:
             rows = list(held.items())
             held.clear()
+            named.clear()
             return pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.string()), pa.array([v[0] for _, v in rows], pa.int64()),
                                                pa.array([json.dumps(v[1]) for _, v in rows], pa.string())], ["host", "pages", "wrapper"])
         for b in batches:
-            for url, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
+            for h, page, marks in zip(b.column("__host").to_pylist(), b.column("html").to_pylist(), b.column("__stable")):
                 if page is None:
                     continue
+                if h not in named:
+                    named[h] = Keys(frozenset(marks.as_py() or ()))
                 try:
-                    w = _wrap(parse(page))
+                    w = _wrap(parse(page, named[h]))
                 except RecursionError:
                     w = ["", False, False, [], 1]
-                h = _host(url)
                 if h in held:
                     held[h][0] += 1
                     held[h][1] = merge(held[h][1], w)
@@ -482,7 +607,9 @@ def infer_wrappers(pages: DataFrame, merge_ways: int = MERGE_WAYS) -> DataFrame:
         return pd.DataFrame({"host": [part["host"].iloc[0]], "pages": [int(part["pages"].sum())], "wrapper": [json.dumps(w)]})
 
     schema = "host string, pages long, wrapper string"
-    some = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(run, schema)
+    some = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    marks = stable_marks(pages) if stable is None else stable
+    some = _hosted(some).join(marks, "__host", "left").select("__host", "html", "__stable").mapInArrow(run, schema)
     way = F.pmod(F.xxhash64("wrapper"), F.lit(merge_ways))
     return some.groupBy("host", way.alias("way")).applyInPandas(join, schema).groupBy("host").applyInPandas(join, schema)
 
@@ -494,22 +621,22 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     read each. A column called text is replaced. An empty table gives no rows.
     """
     rule_of = F.udf(lambda wrapper, n: json.dumps(rule(json.loads(wrapper), n)), "string")   # one call per host
-    rules = materialize(infer_wrappers(pages).select("host", rule_of("wrapper", "pages").alias("__rule")), "wrappers")
-
-    def host(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [pa.array([_host(u) for u in batch.column("url").to_pylist()], pa.string())]
+    stable = stable_marks(pages)
+    found = infer_wrappers(pages, stable=stable).select(F.col("host").alias("__host"), rule_of("wrapper", "pages").alias("__rule"))
+    rules = materialize(stable.join(found, "__host", "left"), "wrappers")
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         held: dict[str | None, Rule] = {}
         out = []
-        for page, spelled in zip(batch.column("html").to_pylist(), batch.column("__rule").to_pylist()):
-            if spelled not in held:
-                held[spelled] = Rule.of_json(spelled)
-            out.append("\n\n".join(article(page or "", held[spelled])))
+        rows = zip(batch.column("__host").to_pylist(), batch.column("html").to_pylist(), batch.column("__rule"), batch.column("__stable"))
+        for h, page, spelled, stable in rows:
+            if h not in held:
+                held[h] = Rule.of_json(spelled.as_py(), stable.as_py() or [])
+            out.append("\n\n".join(article(page or "", held[h])))
         return [pa.array(out, pa.string())]
     cols = [c for c in (keep or pages.columns) if c != "text"]
     need = list(dict.fromkeys([*cols, "url", "html"]))
-    hosted = add_columns(pages.select(*need), host, "__host string")
+    hosted = _hosted(pages.select(*need))
     # Spark broadcasts the rules only where the written table is small; else a hot host's pages are split by AQE.
-    ruled = hosted.join(rules.withColumnRenamed("host", "__host"), "__host", "left")
+    ruled = hosted.join(rules, "__host", "left")
     return add_columns(ruled, run, "text string", cols)

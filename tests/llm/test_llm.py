@@ -225,6 +225,23 @@ def test_constants_of_a_host_are_left_out(spark):
     assert set(got[6:]) == {"same text\n\nAll rights reserved by the publisher of this host, whatever is said above."}
 
 
+def test_wrapper_does_not_grow_with_marks_of_single_pages(spark):
+    def pages(n):
+        return [(f"http://a/{i}", page(f"<div id=slug-{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]} class='box box-{i}'>"
+                                       f"<article class='post-{i} tag-{i} wide'><h2 id=of-{'x' * i}>T {i}</h2><p class=p{i}>text {i}</p>"
+                                       f"</article><div class='comment-{i}'>no</div></div>")) for i in range(n)]
+    sizes = []
+    for n in (100, 300):
+        df = spark.createDataFrame(pages(n), "url string, html string")
+        row = wrappers.infer_wrappers(df).first()
+        assert row["pages"] == n
+        sizes.append(len(row["wrapper"]))
+    assert sizes[1] < 1.2 * sizes[0] < 2000
+    assert extracted(spark, pages(100)) == [f"T {i}\n\ntext {i}" for i in range(100)]
+    kids = wrappers._wrap(wrappers.parse("<p>a</p><ul><li>b</ul>" * 5000))[3]
+    assert [k[:3] for k in kids] == [["p", True, True], ["ul", True, True]]
+
+
 # 4 neighbours
 
 def brute(rows, queries, k):
