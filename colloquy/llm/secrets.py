@@ -1,7 +1,9 @@
 """Secret scans: fixed patterns, and a randomness test battery for strings they miss.
 
 A candidate is a run of 20 or more characters of the usual encodings that no
-pattern covers. Its encoding is the smallest known alphabet that holds it.
+pattern covers, cut at an inner "=" (a name before its value). Its encoding is
+the smallest known alphabet that holds it; a run that none holds (a key behind
+a path) is split at the characters outside each alphabet.
 The battery asks whether its symbols look uniformly drawn: chi-squared of the
 symbol counts, runs about the middle symbol, and lag-1 serial correlation. A
 candidate that fails is ordinary text. For one that passes, the evidence is
@@ -32,13 +34,16 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST = 12
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+INNER = re.compile(r"[^=]{%d,}" % LEAST)
 ALPHABETS = ("0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz",
              "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
              "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
              "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_")
 _INDEX = [{c: i for i, c in enumerate(a)} for a in ALPHABETS]
 _SETS = [frozenset(a) for a in ALPHABETS]
+_PARTS = [re.compile(f"[{re.escape(a)}]{{{LEAST},}}") for a in ALPHABETS]
 LEAST_P = 0.001
 RATE = 0.01
 _STEP = 20                    # histogram cells per unit of log evidence
@@ -118,25 +123,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def parts(run: str) -> list[tuple[int, int, int, int]]:
+    """(start, end of the symbols, stop, encoding) of what is tested of a run of ``CANDIDATE`` characters.
+
+    An inner "=" ends a name, so the run is cut there; trailing ones are
+    padding. What no alphabet holds as a whole is split at the characters
+    outside each alphabet in turn, so parts of two alphabets can overlap.
+    """
+    out = set()
+    end = len(run.rstrip("="))
+    for m in INNER.finditer(run, 0, end):
+        pieces = [m.span()] if _encoding(m[0]) is not None else \
+            [x.span() for p in _PARTS for x in p.finditer(run, m.start(), m.end())]
+        for s, e in pieces:
+            out.add((s, e, len(run) if e == end else e, _encoding(run[s:e])))
+    return sorted(out)
+
+
+def _encoding(symbols: str) -> int | None:
+    held = set(symbols)
+    return next((k for k, a in enumerate(_SETS) if held <= a), None)
+
+
+def _uncovered(s: int, e: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What the patterns' spans leave of s .. e."""
+    out = []
+    for a, _, b in base:
+        if a < e and s < b:
+            if s < a:
+                out.append((s, a))
+            s = max(s, b)
+    if s < e:
+        out.append((s, e))
+    return out
+
+
 def candidates(text: str, base: list[tuple[int, int, int]], model: TextModel) -> list[tuple[int, int, float]]:
     """(start, stop, log evidence) of the uncovered candidates that pass the battery."""
     out = []
     for m in CANDIDATE.finditer(text):
-        s, e = m.start(), m.end()
-        if any(a < e and s < b for a, _, b in base):
-            continue
-        run = m[0].rstrip("=")
-        held = set(run)
-        enc = next((k for k, a in enumerate(_SETS) if held <= a), None)
-        if enc is None or len(run) < 20:
-            continue
-        size = len(ALPHABETS[enc])
-        index = _INDEX[enc]
-        if battery(np.array([index[c] for c in run]), size) < LEAST_P:
-            continue
-        code = np.frombuffer(run.encode(), np.uint8)
-        before = np.concatenate([[0], code[:-1]])
-        out.append((s, e, float(-len(run) * math.log(size) - model.logp[before, code].sum())))
+        for at, to in _uncovered(m.start(), m.end(), base):
+            if to - at < LEAST:
+                continue
+            for s, end, e, enc in parts(text[at:to]):
+                size = len(ALPHABETS[enc])
+                index = _INDEX[enc]
+                run = text[at + s:at + end]
+                if battery(np.array([index[c] for c in run]), size) < LEAST_P:
+                    continue
+                code = np.frombuffer(run.encode(), np.uint8)
+                # A part inside the run follows its real neighbour, a whole run the row of starts.
+                first = ord(text[at + s - 1]) if at + s > m.start() else 0
+                before = np.concatenate([[first], code[:-1]])
+                out.append((at + s, at + e, float(-len(run) * math.log(size) - model.logp[before, code].sum())))
     return out
 
 

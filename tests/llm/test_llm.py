@@ -141,6 +141,23 @@ def test_random_strings_are_found_and_text_is_not(spark, odd):
         assert r["n_assign"] == r["n_access"] == 0
 
 
+def test_keys_behind_names_and_paths_are_found(spark):
+    rng = np.random.default_rng(8)
+    std, url = (secrets.ALPHABETS[k] for k in (5, 6))
+    key = lambda a, n: "".join(rng.choice(list(a), n))
+    inner = lambda a, sep: key(a[:62], 12) + sep + key(a[:62], 14) + sep + key(a[:62], 14)
+    a, b, c, d, e = inner(std, "/"), inner(std, "+"), inner(url, "_"), inner(std, "+"), inner(std, "/")
+    texts = [f"set aws_secret_access_key={a} here", f"AccountKey={b}==;End", f"see /var/some/path/{c} there",
+             f"in some-long-name_of-it/{d} it is", f"AKIA{'Q7RT2' * 4}/{e} both"]
+    plain = [" ".join(rng.choice(["some", "words", "of-a-plain", "text", "name=value", "under_score", "the/path"], 400)) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts + plain)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert got[0] == "set aws_secret_access_key=[SECRET] here" and got[1] == "AccountKey=[SECRET];End"
+    assert not any(k[-26:] in got[i] for i, k in enumerate((a, b, c, d, e)))
+    assert all(got[i + 5] == t for i, t in enumerate(plain))
+    assert secrets.parts("a" * 25 + "=" + "b" * 19 + "==") == [(0, 25, 25, 2)]
+
+
 def test_secrets_edge_rows(spark, odd, none):
     assert secrets.find_secrets(none).count() == 0 and secrets.redact(none).count() == 0
     kept = secrets.redact(odd)
