@@ -158,11 +158,10 @@ def search(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, hashe
         return v.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     v = v.where(F.size("v") == dim["d"])
 
-    # Equal vectors form a class; only its k + 1 smallest ids can be among k nearest.
+    # Equal vectors form a class; only its k + 1 smallest ids can be among k nearest. Repeated rows count once.
     first = Window.partitionBy("v").orderBy("vec_id")
-    few = v.select("v", "vec_id").withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= 2 * (k + 1))
-    classes = few.groupBy("v").agg(F.min("vec_id").alias("cid"),
-                                   F.slice(F.array_sort(F.collect_set("vec_id")), 1, k + 1).alias("ids"))
+    few = v.select("v", "vec_id").distinct().withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k + 1)
+    classes = few.groupBy("v").agg(F.min("vec_id").alias("cid"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
     classes = materialize(classes, "ann-classes")
     queries = (v.where("q").join(classes.select("v", "cid"), "v")
                 .select(F.col("vec_id").alias("query_id"), F.col("cid").alias("qcid")).distinct())

@@ -293,6 +293,14 @@ def test_neighbours_edge_rows(spark):
     assert ann.search(df.where("vec_id = 100"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("times", [3, 12])
+def test_repeated_rows_hide_no_equal_vector(spark, times):
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(9) for _ in range(times)] + [(100 + i, [1.0, 2.0, 3.5 + i]) for i in range(8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("vec_id") % 50 == 0).where("query_id = 0").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 3, 4, 5] and all(r["score"] > 1 - 1e-9 for r in got)
+
+
 # 5 sharding
 
 def test_shards_are_even_and_gapless(spark, none):
