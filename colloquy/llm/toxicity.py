@@ -1,8 +1,8 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are the distinct hashes of its words, its bigrams and its
-skip-grams (one word left out). The learner sees a bounded sample of the labelled
-rows, one text after another, with per-coordinate rates and L1; with several
+skip-grams (one word left out). The learner sees the features of a bounded sample
+of the labelled rows, one text after another, with per-coordinate rates and L1; with several
 shards each learns on its own rows and their weights are averaged. L1 leaves a
 sparse vector of at most 2**bits weights, which bounds what the scoring tasks get.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import add_columns, text_chunks
+from .common import add_columns, arrow_map, text_chunks
 
 BITS = 20
 GRAMS = ((0,), (0, 1), (0, 2))
@@ -56,12 +56,9 @@ def features(texts: pa.Array, bits: int = BITS,
 
 def _learn(bits: int, s: Settings):
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("order", kind="stable")
+        part = part.sort_values(["order", "label"], kind="stable")
         y = part["label"].to_numpy(np.float64)
-        docs: list[np.ndarray] = []
-        for i, j, row, f in features(pa.array(part["text"], pa.string()), bits):
-            cut = np.searchsorted(row, np.arange(j - i + 1))
-            docs += [f[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:])]
+        docs = [np.asarray(x, np.int32) for x in part["x"]]
         z = np.zeros(1 << bits)
         n = np.zeros(1 << bits)
         z0 = n0 = 0.0
@@ -98,17 +95,36 @@ def bounded_sample(rows: DataFrame, n: int) -> DataFrame:
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(n)
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """At most ``sample_rows`` rows (order, label, x) to learn from, x the features of a text, made in the map tasks.
+
+    Ids that repeat in ``docs`` or ``labels`` multiply in the join; of its rows
+    those with the smallest hashes stay.
+    """
+    picked = bounded_sample(labels.where("doc_id is not null and label is not null"), sample_rows)
+    # At most sample_rows rows of two numbers: bounded, so the texts need not move for the join.
+    data = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
+    data = data.select(F.col("label").cast("double").alias("label"), F.coalesce("text", F.lit("")).alias("text"),
+                       F.xxhash64("doc_id", "text").alias("order"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values, ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for i, j, row, f in features(batch.column("text"), bits):
+            ends.append(ends[-1][-1] + np.searchsorted(row, np.arange(1, j - i + 1)))
+            values.append(f.astype(np.int32))
+        x = pa.ListArray.from_arrays(np.concatenate(ends).astype(np.int32), np.concatenate(values))
+        return pa.RecordBatch.from_arrays([batch.column("order"), batch.column("label"), x], ["order", "label", "x"])
+    return arrow_map(data, run, "order long, label double, x array<int>").orderBy("order", "label").limit(sample_rows)
+
+
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), bits: int = BITS,
           sample_rows: int = SAMPLE_ROWS, shards: int = SHARDS) -> Model:
-    """Learn from ``labels`` (doc_id, label 0 or 1), at most ``sample_rows`` of them, on the texts of ``docs``.
+    """Learn from ``labels`` (doc_id, label 0 or 1) on the texts of ``docs``, from ``sample_rows`` rows at most.
 
     Rows of null id or label are left out; null texts are empty. Without any
     labelled row the model is all zero and scores 0.5 everywhere.
     """
-    picked = bounded_sample(labels.where("doc_id is not null and label is not null"), sample_rows)
-    # At most sample_rows rows of two numbers: bounded, so the texts need not move for the join.
-    data = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
-    data = data.select("label", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("order"))
+    data = training_rows(docs, labels, bits, sample_rows)
     learned = (data.withColumn("shard", F.pmod("order", F.lit(shards)))
                    .groupBy("shard").applyInPandas(_learn(bits, settings), "feature long, weight double"))
     rows = learned.groupBy("feature").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("k")).toPandas()

@@ -410,6 +410,18 @@ def test_held_out_rows_are_ranked(spark, query, label, least):
     assert area([r[label] for r in rows], np.array([r["score"] for r in rows])) >= least
 
 
+def test_training_rows_stay_bounded_when_ids_repeat(spark):
+    docs = spark.createDataFrame([(1, f"text number {i}") for i in range(300)] + [(2, None), (3, "a b a b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (None, 1)], "doc_id long, label int")
+    assert toxicity.training_rows(docs, labels).count() == 602
+    some = toxicity.training_rows(docs, labels, sample_rows=50)
+    every = toxicity.training_rows(docs, labels)
+    assert "text" not in some.columns and some.count() == 50
+    assert sorted(r["order"] for r in some.collect()) == sorted(r["order"] for r in every.collect())[:50]
+    sizes = {(r["label"], len(r["x"])) for r in toxicity.training_rows(docs.where("doc_id > 1"), labels).collect()}
+    assert sizes == {(0.0, 0), (1.0, 6)}
+
+
 def test_classifier_edge_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (6, None), (99, 1)], "doc_id long, label int")
     for module, learned in ((toxicity, toxicity.train(odd, labels)), (quality, quality.train(odd, labels))):
