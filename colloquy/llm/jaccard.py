@@ -6,8 +6,10 @@ are linked to the band's smallest node, one row per member; the connected
 components of these links are the candidate clusters. Inside a cluster the
 n-gram sets are compared exactly, in blocks of bounded size, as products of
 sparse 0/1 rows; a block returns link counts and a spanning star per group,
-never a row per pair. A hot band, cluster or group of copies therefore costs
-one row per member and spreads over many blocks.
+never a row per pair. A hot band or group of exact copies therefore costs one
+row per member. A large cluster is spread over many blocks, of which only those
+meet whose n-gram counts allow a link; a member is copied once for each of them,
+so the rows of near copies of like length grow with the square of their number.
 """
 
 from __future__ import annotations
@@ -74,6 +76,7 @@ def _sketch(banding: Banding, n: int, seed: int):
         rows = batch.num_rows
         node = np.zeros(rows, np.int64)
         count = np.zeros(rows, np.int64)
+        grams = np.zeros(rows, np.int64)
         bands = np.zeros((rows, banding.bands), np.int64)
         flat = []
         for i, j, data, offs in text_chunks(batch.column("text")):
@@ -84,6 +87,7 @@ def _sketch(banding: Banding, n: int, seed: int):
             g, row = shingles(w, n)
             if not len(g):
                 continue
+            grams[i:j] = np.bincount(_gram_rows(flat[-1], w.row, w.first, n)[1], minlength=j - i)
             first = np.flatnonzero(np.diff(row, prepend=-1))
             at = i + row[first]
             low = (g >> W.U64(32)).astype(np.uint32)
@@ -99,32 +103,38 @@ def _sketch(banding: Banding, n: int, seed: int):
             batch.column("doc_id"), pa.array(node), pa.array(count),
             pa.ListArray.from_arrays(np.concatenate([[0], band_offs]).astype(np.int32), bands[count > 0].ravel()),
             pa.ListArray.from_arrays(word_offs, np.concatenate([*flat, np.zeros(0, np.int32)])),
-        ], ["doc_id", "node", "n_words", "bands", "words"])
+            pa.array(grams),
+        ], ["doc_id", "node", "n_words", "bands", "words", "n_grams"])
     return run
 
 
 def sketch(docs: DataFrame, banding: Banding, n: int = N, seed: int = 11) -> DataFrame:
-    """(doc_id, node, n_words, bands, words) of each row of ``docs`` (doc_id, text); null texts have no words.
+    """(doc_id, node, n_words, bands, words, n_grams) of each row of ``docs`` (doc_id, text); null texts have no words.
 
     ``words`` holds 32 bits of each word's hash: an n-gram is told apart by
-    n times 32 bits. ``node`` is a 64-bit hash of the word sequence.
+    n times 32 bits, and ``n_grams`` counts the different ones. ``node`` is a 64-bit hash of the word sequence.
     """
     return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
-                     _sketch(banding, n, seed), "doc_id long, node long, n_words long, bands array<long>, words array<int>")
+                     _sketch(banding, n, seed), "doc_id long, node long, n_words long, bands array<long>, words array<int>, n_grams long")
 
 
-def _gram_sets(words: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, n-gram) of some word sequences, as row and column number, columns met in two rows or more."""
-    count = np.array([len(x) for x in words])
-    first = np.concatenate([[0], np.cumsum(count)])
-    h = W.mix(np.concatenate(words).view(np.uint32).astype(np.uint64) + W.U64(1))
+def _gram_rows(words: np.ndarray, row: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (n-gram, row) of word sequences, sorted by n-gram."""
+    h = W.mix(words.view(np.uint32).astype(np.uint64) + W.U64(1))
     z = np.zeros(0, np.int64)
-    g, row = shingles(W.Words(h, np.repeat(np.arange(len(words)), count), first, z, z), n)
+    g, row = shingles(W.Words(h, row, first, z, z), n)
     order = np.lexsort((row, g))
     g, row = g[order], row[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (row[1:] != row[:-1])
-    g, row = g[new], row[new]
+    return g[new], row[new]
+
+
+def _gram_sets(words: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, n-gram) of some word sequences, as row and column number, columns met in two rows or more."""
+    count = np.array([len(x) for x in words])
+    first = np.concatenate([[0], np.cumsum(count)])
+    g, row = _gram_rows(np.concatenate(words), np.repeat(np.arange(len(words)), count), first, n)
     col = np.cumsum(np.diff(g, prepend=g[:1]) != 0)
     return row, col
 
@@ -185,6 +195,36 @@ def _verify(n: int, num: int, den: int):
     return run
 
 
+def dealt(cand: DataFrame, num: int, den: int, block_words: int = BLOCK_WORDS, block_nodes: int = BLOCK_NODES,
+          seed: int = 11) -> DataFrame:
+    """``cand`` (cluster, node, n_words, n_grams) with ``parts``, its ``block`` and the blocks ``others`` that this one meets.
+
+    A cluster too large for one block (``parts`` over 1) is cut into layers of
+    n-gram counts, each wider than the ratio that a similarity of num / den
+    allows: linked nodes lie in one layer or in neighbouring ones, and only the
+    blocks of those meet. A layer of k rows has k / ``block_nodes`` blocks or
+    more, and a row is copied once per block of three layers: where all rows
+    are of like length, that is k copies of k / ``block_nodes`` at least, which
+    grows with the square of k.
+    """
+    blocks = F.greatest(F.ceil(F.sum("n_words") / block_words), F.ceil(F.count(F.lit(1)) / block_nodes)).cast("int")
+    # A little wider than the ratio, so that rounding cannot part two linked nodes.
+    width = float(np.log(1.001 * den / max(num, 1)))
+    layer = F.floor(F.log(F.greatest("n_grams", F.lit(1)).cast("double")) / width).cast("int")
+    member = cand.join(cand.groupBy("cluster").agg(blocks.alias("parts")), "cluster").withColumn("layer", layer)
+    layers = member.where("parts > 1").groupBy("cluster", "layer").agg(blocks.alias("nb"))
+    near = layers.select("cluster", F.explode(F.array(F.col("layer") - 1, "layer", F.col("layer") + 1)).alias("layer"),
+                         F.struct(F.col("layer").alias("of"), "nb").alias("l"))
+    near = near.groupBy("cluster", "layer").agg(F.collect_list("l").alias("near"),
+                                                F.max(F.when(F.col("l.of") == F.col("layer"), F.col("l.nb"))).alias("nb"))
+    number = lambda of, i: of.cast("long") * (1 << 32) + i
+    others = F.flatten(F.transform("near", lambda x: F.transform(F.sequence(F.lit(0), x["nb"] - 1), lambda i: number(x["of"], i))))
+    zero = F.lit(0).cast("long")
+    own = number(F.col("layer"), F.pmod(F.xxhash64("node", F.lit(seed)), F.col("nb")))
+    return member.join(near, ["cluster", "layer"], "left").withColumns(
+        {"block": F.coalesce(own, zero), "others": F.coalesce(others, F.array(zero))}).drop("near", "nb", "layer")
+
+
 def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL,
                    max_hashes: int = MAX_HASHES, block_words: int = BLOCK_WORDS,
                    block_nodes: int = BLOCK_NODES, seed: int = 11) -> DataFrame:
@@ -206,7 +246,8 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, re
     worded = sk.where("n_words > 0")
 
     nodes = worded.groupBy("node").agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("n_docs"),
-                                       F.min("row_id").alias("row_id"), F.first("n_words").alias("n_words"))
+                                       F.min("row_id").alias("row_id"), F.first("n_words").alias("n_words"),
+                                       F.first("n_grams").alias("n_grams"))
     nodes = materialize(nodes, "jaccard-nodes")
     # One row of each node carries its bands and words from here on.
     bands = (worded.join(nodes.select("row_id"), "row_id", "left_semi")
@@ -218,18 +259,14 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, re
     cand = materialize(connected_components(stars).withColumnRenamed("component", "cluster")
                        .join(nodes, "node"), "jaccard-clusters")
 
-    # Clusters too large for one block are dealt to blocks; each pair of blocks meets once.
-    sizes = cand.groupBy("cluster").agg(F.sum("n_words").alias("w"), F.count(F.lit(1)).alias("k"))
-    sizes = sizes.select("cluster", F.greatest(F.ceil(F.col("w") / block_words), F.ceil(F.col("k") / block_nodes))
-                         .cast("int").alias("nb"))
     total = cand.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     packs = max(1, -(-int(total) // block_words))
-    member = cand.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("nb")).cast("int"))
+    member = dealt(cand, num, den, block_words, block_nodes, seed)
     member = worded.select("row_id", "words").join(member.hint("merge"), "row_id")
-    pairs = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    pairs = member.withColumn("other", F.explode("others"))
     pairs = pairs.select("cluster", "node", "n_docs", "block", "words", F.least("block", "other").alias("bi"),
                          F.greatest("block", "other").alias("bj"), F.pmod("cluster", F.lit(packs)).alias("pack"),
-                         F.when(F.col("nb") > 1, F.col("cluster")).otherwise(0).alias("big"))
+                         F.when(F.col("parts") > 1, F.col("cluster")).otherwise(0).alias("big"))
     # Small clusters share a call; a block pair of a large one has its own.
     pairs = pairs.withColumn("pack", F.when(F.col("big") == 0, F.col("pack")).otherwise(-1))
     found = pairs.select("cluster", "node", "n_docs", "block", "words", "bi", "bj", "pack", "big") \

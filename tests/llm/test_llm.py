@@ -368,6 +368,21 @@ def test_links_equal_brute_force(spark, block_nodes):
     assert {r["doc_id"]: r["class_id"] for r in got} == root
 
 
+def test_only_blocks_that_can_hold_links_meet(spark):
+    def copies(n_grams):
+        rows = [(1, i, g, g) for i, g in enumerate(n_grams)]
+        cand = spark.createDataFrame(rows, "cluster long, node long, n_words long, n_grams long")
+        got = jaccard.dealt(cand, 800, 1000, block_nodes=10).collect()
+        meets = {r["node"]: (r["block"], set(r["others"])) for r in got}
+        for i, g in enumerate(n_grams):
+            for j, h in enumerate(n_grams):
+                assert 10 * min(g, h) < 8 * max(g, h) or meets[j][0] in meets[i][1] and meets[i][0] in meets[j][1]
+        return sum(len(r["others"]) for r in got)
+    assert copies([100] * 100) == 1000 and copies([100] * 200) == 4000
+    assert copies([20 * 2 ** (i % 5) + i % 3 for i in range(200)]) < 1500
+    assert copies([4, 5, 5] * 20 + [80, 100, 101] * 20) <= 4000
+
+
 def test_jaccard_edge_rows(spark, odd, none):
     got = jaccard.jaccard_groups(odd).collect()
     assert len(got) == odd.count()
