@@ -107,3 +107,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote and nothing reads any more. Files elsewhere are left alone."""
+    spark = df.sparkSession
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = fs.makeQualified(base).toString().rstrip("/") + "/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if fs.makeQualified(path).toString().startswith(root):
+            fs.delete(path, True)
