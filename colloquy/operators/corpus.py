@@ -7,24 +7,29 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import accepts, delete_emoji, mask_all, too_many_lines, whitespace_tokens
+from .bytegrams import ByteModel, classify_bytes
 from .langid import LangModel, classify
 
 DETAILED_COLUMNS = ["lang", "id", "author", "body", "link_id", "parent_id", "no_follow", "permalink", "subreddit"]
 DIALOGUE_COLUMNS = ["lang", "title", "source_body", "target_body", "link_id", "source_id", "target_id"]
 
 
-def with_language(rows: DataFrame, model: LangModel, lang: str = "lang") -> DataFrame:
+def with_language(rows: DataFrame, model: LangModel | ByteModel, lang: str = "lang") -> DataFrame:
     """``rows`` (id, body) with the detected language and its probability; rows that cannot be classified go.
 
-    Ids may repeat: equal (id, body) rows are classified once and all kept,
+    A byte model labels each row where it is scanned. With a table of grams
+    the texts are joined to it:
+    ids may repeat, equal (id, body) rows are classified once and all kept,
     different bodies of one id are classified each.
     """
+    if isinstance(model, ByteModel):
+        return classify_bytes(rows, "body", model, lang)
     keyed = rows.withColumn("_body", F.xxhash64("body"))
     cl = classify(keyed.select("id", "_body", "body").dropDuplicates(["id", "_body"]), ["id", "_body"], "body", model)
     return keyed.join(cl.select("id", "_body", F.col("lang").alias(lang), "prob"), ["id", "_body"]).drop("_body")
 
 
-def zip_comments(comments: DataFrame, model: LangModel, langs=V.LANGS,
+def zip_comments(comments: DataFrame, model: LangModel | ByteModel, langs=V.LANGS,
                  min_chars: int = V.MIN_BODY_CHARS, max_chars: int = V.MAX_BODY_CHARS,
                  min_prob: float = V.MIN_LANG_PROB) -> DataFrame:
     """Delete emoji -> length filter -> classify -> language and confidence filters.
@@ -38,7 +43,7 @@ def zip_comments(comments: DataFrame, model: LangModel, langs=V.LANGS,
 
 
 def generate_dialogues(detailed: DataFrame, comments: DataFrame, submissions: DataFrame,
-                       detector: LangModel, langs=V.LANGS) -> DataFrame:
+                       detector: LangModel | ByteModel, langs=V.LANGS) -> DataFrame:
     """Pair each reply with its parent comment and the parent's submission title.
 
     ``detector`` (N2) is a model of its own, such as one of ``DETECT_ORDER``: the

@@ -7,6 +7,7 @@ them into full statements over the pre-registered driver tables.
 from __future__ import annotations
 
 from ..functions import fixed_values as V
+from ..operators.bytegrams import ORDERS, PER_LANG
 from ..operators.langid import DETECT_ORDER, GRAM_ORDER
 
 
@@ -92,10 +93,66 @@ def classify(prefix: str, src: str, key: str = "id", text: str = "body",
             FROM (SELECT *, max(score) OVER (PARTITION BY {key}) AS mx FROM {p}_sc) GROUP BY {key})"""
 
 
+def _cell(n: str, r: str, c: str) -> str:
+    return f"CASE WHEN {n} > 0 THEN ({n}) * ln(({n})::DOUBLE * bn / (({r})::DOUBLE * ({c}))) ELSE 0 END"
+
+
+def byte_features(p: str = "bf") -> str:
+    """CTEs ``{p}_occ`` (grams of documents as hexadecimal digits) and ``{p}_sel`` (lang, gram, score)."""
+    return f"""{p}_docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, lang, coalesce(source, '') AS source, lower(hex(encode(text))) AS h
+  FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL),
+{p}_occ AS MATERIALIZED (
+  SELECT r, lang, source, gram, count(*) AS c FROM (
+    SELECT r, lang, source, substr(h, 2 * i + 1, 2 * k) AS gram
+    FROM (SELECT *, unnest(range(0, len(h) // 2 - k + 1)) AS i FROM {p}_docs, (SELECT unnest([{', '.join(map(str, ORDERS))}]) AS k)))
+  GROUP BY ALL),
+{p}_n AS (SELECT count(*)::DOUBLE AS bn FROM {p}_docs),
+{p}_a AS (SELECT gram, count(*)::DOUBLE AS a FROM {p}_occ GROUP BY gram),
+{p}_s AS (
+  SELECT gram, any_value(a) AS a, sum({_cell('n', 'a', 'm')} + {_cell('m - n', 'bn - a', 'm')}) AS t, sum(m) AS met
+  FROM (SELECT gram, source, count(*) AS n FROM {p}_occ GROUP BY ALL) JOIN {p}_a USING (gram)
+  JOIN (SELECT source, count(*)::DOUBLE AS m FROM {p}_docs GROUP BY source) USING (source), {p}_n GROUP BY gram),
+{p}_l AS (
+  SELECT lang, gram, n, a, m, t + CASE WHEN a < bn THEN (bn - met) * ln(bn / (bn - a)) ELSE 0 END AS t, bn
+  FROM (SELECT lang, gram, count(*) AS n FROM {p}_occ GROUP BY ALL) JOIN {p}_s USING (gram)
+  JOIN (SELECT lang, count(*)::DOUBLE AS m FROM {p}_docs GROUP BY lang) USING (lang), {p}_n),
+{p}_sel AS MATERIALIZED (
+  SELECT lang, gram, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, gram) AS k FROM (
+      SELECT lang, gram, round(({_cell('n', 'a', 'm')} + {_cell('a - n', 'a', 'bn - m')} + {_cell('m - n', 'bn - a', 'm')}
+                                + {_cell('bn - a - m + n', 'bn - a', 'bn - m')} - t) / bn, 9) AS score FROM {p}_l))
+  WHERE k <= {PER_LANG})"""
+
+
+def byte_model(p: str = "bf") -> str:
+    """CTEs ``{p}_w`` (gram, lang, w) and ``{p}_prior`` after ``byte_features``."""
+    return f"""{p}_f AS (SELECT DISTINCT gram FROM {p}_sel),
+{p}_prior AS (SELECT lang, ln(count(*) / (SELECT bn FROM {p}_n)) AS prior FROM {p}_docs GROUP BY lang),
+{p}_c AS (SELECT gram, lang, sum(c) AS c FROM {p}_occ JOIN {p}_f USING (gram) GROUP BY ALL),
+{p}_w AS MATERIALIZED (
+  SELECT gram, lang, ln((coalesce(c, 0) + 1) / (sum(coalesce(c, 0)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))) AS w
+  FROM {p}_f CROSS JOIN {p}_prior LEFT JOIN {p}_c USING (gram, lang))"""
+
+
+def classify_bytes(prefix: str, src: str, key: str = "id", text: str = "body", p: str = "bf") -> str:
+    """CTEs ``{prefix}_cls(key, lang, prob)`` classifying ``src`` by the byte model."""
+    x = prefix
+    return f"""{x}_h AS (SELECT {key}, lower(hex(encode({text}))) AS h FROM {src}),
+{x}_g AS MATERIALIZED (
+  SELECT {key}, gram, count(*) AS c FROM (
+    SELECT {key}, substr(h, 2 * i + 1, 2 * k) AS gram
+    FROM (SELECT *, unnest(range(0, len(h) // 2 - k + 1)) AS i FROM {x}_h, (SELECT unnest([{', '.join(map(str, ORDERS))}]) AS k)))
+  WHERE gram IN (SELECT gram FROM {p}_f) GROUP BY ALL),
+{x}_sc AS (SELECT {key}, lang, any_value(prior) + sum(c * w) AS score FROM {x}_g JOIN {p}_w USING (gram) JOIN {p}_prior USING (lang) GROUP BY ALL),
+{x}_cls AS (SELECT {key}, first(lang ORDER BY score DESC, lang) AS lang, 1.0 / sum(exp(score - mx)) AS prob
+            FROM (SELECT *, max(score) OVER (PARTITION BY {key}) AS mx FROM {x}_sc) GROUP BY {key})"""
+
+
 EMOJI = V.emoji_class()
 
 
-def zip_ctes(langs, name: str = "detailed") -> str:
+def zip_ctes(langs, name: str = "detailed", classify=classify) -> str:
     return f"""zc AS (SELECT id, author, regexp_replace(body, {q(EMOJI)}, '', 'g') AS body, link_id, parent_id,
                   no_follow, permalink, subreddit FROM comments),
 zf AS (SELECT * FROM zc WHERE length(body) BETWEEN {V.MIN_BODY_CHARS} AND {V.MAX_BODY_CHARS}),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import delete_emoji, lang_prefix
+from ..operators import bytegrams
 from ..operators import corpus as C
 from ..operators import langid
 from ..operators import encode as E
@@ -71,6 +72,34 @@ def q_detect_lang(spark, sf_dir) -> DataFrame:
     return langid.classify(c, "id", "body", lang_detector(spark, sf_dir)).select("id", "lang", r6(F.col("prob")).alias("prob"))
 
 
+_BYTE_MODELS: dict = {}
+
+
+def byte_model(spark: SparkSession, sf_dir: str) -> bytegrams.ByteModel:
+    """N1 as its library does it: the model over selected byte grams of ``documents``, kept for the session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BYTE_MODELS:
+        _BYTE_MODELS[key] = bytegrams.train_bytes(X.table(spark, sf_dir, "documents"))
+    return _BYTE_MODELS[key]
+
+
+def q_select_features(spark, sf_dir) -> DataFrame:
+    """The byte grams with the most information on the language less that on the source."""
+    f = bytegrams.select_features(X.table(spark, sf_dir, "documents"))
+    return f.select("lang", "gram", r6(F.col("score")).alias("score"))
+
+
+def q_classify_bytes(spark, sf_dir) -> DataFrame:
+    """N1 on every comment by selected byte grams."""
+    c = X.comments(spark, sf_dir).select("id", delete_emoji("body").alias("body"))
+    return bytegrams.classify_bytes(c, "body", byte_model(spark, sf_dir), keep=["id"]).select("id", "lang", r6(F.col("prob")).alias("prob"))
+
+
+def q_zip_bytes(spark, sf_dir) -> DataFrame:
+    """P13 with the byte model: one map from the comments to the detailed rows."""
+    return C.zip_comments(X.comments(spark, sf_dir), byte_model(spark, sf_dir), QUERY_LANGS)
+
+
 _DETAILED: dict = {}
 
 
@@ -423,6 +452,58 @@ def q_stream_generate(spark, sf_dir) -> DataFrame:
     return read_output(spark, f"{base}/out").select(*C.DIALOGUE_COLUMNS)
 
 
+MONTHS = 2
+QUERY_BUCKETS = 8
+
+
+def _month(spark, sf_dir, k: int) -> DataFrame:
+    """The comments of one of two months; a conversation's turns lie in both."""
+    return X.comments(spark, sf_dir).where(F.pmod(F.xxhash64("id"), F.lit(MONTHS)) == k)
+
+
+def q_generate_two_months(spark, sf_dir) -> DataFrame:
+    """Parents looked up in the bucketed comments of two landed months."""
+    from ..session import scratch_path
+    from ..sources import landed
+    base = scratch_path(spark, "months")
+    for k in range(MONTHS):
+        landed.write_bucketed(_month(spark, sf_dir, k), f"{base}/m{k}", QUERY_BUCKETS)
+    table = landed.open_folders(spark, [f"{base}/m{k}" for k in range(MONTHS)], QUERY_BUCKETS)
+    d = detailed(spark, sf_dir)
+    return C.generate_dialogues(d, landed.parents_of(d, table, V.REPLY_PREFIX), X.submissions(spark, sf_dir),
+                                lang_detector(spark, sf_dir), QUERY_LANGS)
+
+
+def q_corpus_two_months(spark, sf_dir) -> DataFrame:
+    """Two months built one after the other, the first again when both are landed; the published splits."""
+    from ..session import scratch_path
+    from ..sources.io import read_splits, write_comments_json
+    from .corpus import CorpusPaths, build_corpus
+    base = scratch_path(spark, "two-months")
+    for k in range(MONTHS):
+        write_comments_json(_month(spark, sf_dir, k), f"{base}/dump{k}")
+    out = CorpusPaths.under(f"{base}/corpus")
+    for k in (0, 1, 0):
+        build_corpus(spark, f"{base}/dump{k}", X.submissions(spark, sf_dir), lang_model(spark, sf_dir), out, QUERY_LANGS,
+                     run=f"m{k}", detector=lang_detector(spark, sf_dir), caps=None, buckets=QUERY_BUCKETS)
+    return read_splits(spark, out.splits).select(*C.DIALOGUE_COLUMNS, "split")
+
+
+def q_stream_generate_late(spark, sf_dir) -> DataFrame:
+    """Replies whose parents arrive a batch later wait for them."""
+    from ..session import scratch_path
+    from ..sources.io import write_detailed
+    from ..streaming.incremental import generate_stream, read_output, settle
+    base = scratch_path(spark, "stream-late")
+    write_detailed(detailed(spark, sf_dir).repartition(2), f"{base}/detailed")
+    com, sub, det = X.comments(spark, sf_dir), X.submissions(spark, sf_dir), lang_detector(spark, sf_dir)
+    month = [_month(spark, sf_dir, k) for k in range(MONTHS)]
+    generate_stream(spark, f"{base}/detailed", f"{base}/out", f"{base}/checkpoint", lambda n: month[0] if n == 0 else com, sub, det,
+                    QUERY_LANGS, files_per_batch=8, pending=f"{base}/pending")
+    settle(spark, f"{base}/out", f"{base}/pending", com, sub, det, QUERY_LANGS)
+    return read_output(spark, f"{base}/out").select(*C.DIALOGUE_COLUMNS)
+
+
 def q_pack_translated(spark, sf_dir) -> DataFrame:
     """P11 + U4 + F14: pack the translated columns of every turn pair."""
     t = I.translate_columns(X.turn_pairs(spark, sf_dir), I.tag_translator("[en] "))
@@ -435,6 +516,9 @@ QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
     "detect_lang": q_detect_lang,
+    "select_features": q_select_features,
+    "classify_bytes": q_classify_bytes,
+    "zip_bytes": q_zip_bytes,
     "zip_comments": q_zip_comments,
     "generate_dialogues": q_generate_dialogues,
     "generate_zh": q_generate_zh,
@@ -482,6 +566,9 @@ QUERIES = {
     "land_translated": q_land_translated,
     "csv_dialogues": q_csv_dialogues,
     "stream_generate": q_stream_generate,
+    "stream_generate_late": q_stream_generate_late,
+    "generate_two_months": q_generate_two_months,
+    "corpus_two_months": q_corpus_two_months,
     "pack_translated": q_pack_translated,
 }
 
@@ -618,6 +705,13 @@ ORACLE = {
         O.COMMENTS, O.DETECTOR,
         f"zc AS (SELECT id, regexp_replace(body, {O.q(O.EMOJI)}, '', 'g') AS body FROM comments)",
         O.classify("cc", "zc", model="dm", order=langid.DETECT_ORDER)) + "SELECT id, lang, round(prob, 6) AS prob FROM cc_cls",
+    "select_features": O.with_(O.byte_features()) + "SELECT lang, gram, round(score, 6) AS score FROM bf_sel",
+    "classify_bytes": O.with_(
+        O.COMMENTS, O.byte_features(), O.byte_model(),
+        f"zc AS (SELECT id, regexp_replace(body, {O.q(O.EMOJI)}, '', 'g') AS body FROM comments)",
+        O.classify_bytes("cc", "zc")) + "SELECT id, lang, round(prob, 6) AS prob FROM cc_cls",
+    "zip_bytes": O.with_(
+        O.COMMENTS, O.byte_features(), O.byte_model(), O.zip_ctes(QUERY_LANGS, classify=O.classify_bytes)) + "SELECT * FROM detailed",
     "zip_comments": _corpus_sql("SELECT * FROM detailed", "detailed"),
     "generate_dialogues": _corpus_sql("SELECT * FROM dialogues", "dialogues"),
     "generate_zh": O.with_(
@@ -731,6 +825,8 @@ ORACLE = {
         "FROM turn_pairs"),
 }
 
+ORACLE["stream_generate_late"] = ORACLE["generate_two_months"] = ORACLE["generate_dialogues"]
+ORACLE["corpus_two_months"] = ORACLE["land_splits"]
 ORACLE["decode_labels"] = ORACLE["decode_tokens"]     # ignored labels read as padding
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .publish import read_published
+
 COMMENT_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("author", T.StringType()),
@@ -58,8 +60,9 @@ def write_dialogues_csv(df: DataFrame, path: str) -> None:
 
 def read_splits(spark: SparkSession, path: str, lang: str | None = None, translated: bool | None = None) -> DataFrame:
     """The split table, optionally one language; ``translated`` takes
-    the variant that ``write_splits`` or ``write_translated`` put beside the other."""
-    df = spark.read.parquet(path if translated is None else variant(path, translated))
+    the variant that ``write_splits`` or ``write_translated`` put beside the other.
+    Where ``plans.corpus`` published versions, the last one is read."""
+    df = read_published(spark, path) if translated is None else spark.read.parquet(variant(path, translated))
     if lang is not None:
         df = df.where(F.col("lang") == lang)
     return df
