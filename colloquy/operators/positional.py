@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -68,3 +69,87 @@ def top_k_per_group(df: DataFrame, group_cols: list, order_cols: list, k,
     first = salted.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= cap).drop("_r", "_salt")
     w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return first.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= cap).drop("_r")
+
+
+BORDER_ROWS = 100_000
+DIGITS = 19
+
+
+def _spelled_order(df: DataFrame, col: str) -> tuple[DataFrame, int]:
+    """``df`` with ``_code``, a string that orders rows as ``col`` does, and how many characters of it make a cell.
+
+    Strings are their own code; whole numbers are spelled with leading zeros
+    from the smallest one on. Nulls come first, as in an ascending sort.
+    """
+    kind = df.schema[col].dataType.simpleString()
+    if kind == "string":
+        return df.withColumn("_code", F.when(F.col(col).isNotNull(), F.concat(F.lit("1"), F.col(col))).otherwise(F.lit("0"))), 2
+    least = df.agg(F.min(col)).first()[0] or 0
+    # The distance from the smallest number may need more than a long has.
+    wide = F.lpad((F.col(col).cast("decimal(20,0)") - F.lit(least).cast("decimal(20,0)")).cast("string"), DIGITS + 1, "0")
+    return df.withColumn("_code", F.when(F.col(col).isNotNull(), F.concat(F.lit("1"), wide)).otherwise(F.lit("0"))), 4
+
+
+def _common(a: str, b: str) -> str:
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return a[:n]
+
+
+def first_k_per_group(df: DataFrame, group_cols: list, order_cols: list, k, border_rows: int = BORDER_ROWS,
+                      hexadecimal: bool = False) -> DataFrame:
+    """Rows whose position in their group by ``order_cols`` is <= k (exact), whatever k.
+
+    A histogram of the first characters of the order key (added up in the
+    tasks) tells in which cell the cut lies; that cell is refined until it has
+    few rows. Then one filter keeps the rows before the cell, and its rows
+    alone, ``border_rows`` of a group or those of one order key, are ranked.
+    Rows are neither moved nor sorted otherwise. ``k`` may be an int or a
+    Column that is constant in a group. The groups are a short list (languages,
+    splits), a row of which the driver holds each. The first order column is a
+    string or a whole number (``hexadecimal``: a digest, for wider cells);
+    other types are ranked in two rounds.
+    ``df`` is read a few times: pass a written table.
+    """
+    if df.schema[order_cols[0]].dataType.simpleString() not in ("string", "tinyint", "smallint", "int", "bigint"):
+        return top_k_per_group(df, group_cols, order_cols, k)
+    rows, width = _spelled_order(df, order_cols[0])
+    width = 4 if hexadecimal else width
+    cap = F.lit(k) if isinstance(k, int) else k
+    spark, g = df.sparkSession, list(group_cols)
+    state = {tuple(r[c] for c in g): [_common(r["_a"], r["_b"]), int(r["_k"] or 0), int(r["_n"])]
+             for r in rows.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.max(cap).alias("_k"), F.min("_code").alias("_a"),
+                                          F.max("_code").alias("_b")).collect()}
+
+    schema = T.StructType([df.schema[c] for c in g] + [T.StructField("_prefix", T.StringType()), T.StructField("_need", T.LongType())])
+
+    def met(rows: DataFrame, groups: dict) -> DataFrame:
+        """The rows of some groups with their prefix and how many of its rows are wanted."""
+        side = spark.createDataFrame([(*key, p, need) for key, (p, need, _) in groups.items()], schema)
+        side = F.broadcast(side.select(*(F.col(c).alias(f"_g{i}") for i, c in enumerate(g)), "_prefix", "_need"))
+        return rows.join(side, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(g)]).drop(*(f"_g{i}" for i in range(len(g))))
+    whole = {key: s for key, s in state.items() if s[2] <= s[1]}
+    cut = {key: s for key, s in state.items() if s[2] > s[1] > 0}       # of the others no row is wanted
+    wide = {key: s for key, s in cut.items() if s[2] > border_rows}
+    while wide:
+        cell = F.substring(F.col("_code"), F.length("_prefix") + 1, F.lit(width))
+        inside = met(rows, wide).where(F.col("_code").startswith(F.col("_prefix")))
+        hist = inside.groupBy(*g, cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_need"))
+        before = Window.partitionBy(*g).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        lines = hist.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        # The cell of the last row wanted: one per group.
+        for r in lines.where((F.col("_before") < F.col("_need")) & (F.col("_before") + F.col("_n") >= F.col("_need"))).collect():
+            s = state[tuple(r[c] for c in g)]
+            s[0], s[1], s[2] = s[0] + r["_cell"], s[1] - r["_before"], r["_n"]
+            if r["_cell"] == "":        # one order key alone: its rows are ranked by the other columns
+                del wide[tuple(r[c] for c in g)]
+        wide = {key: s for key, s in wide.items() if s[2] > border_rows}
+    if not cut:
+        return df if len(whole) == len(state) else met(rows, whole).select(*df.columns)
+    out = met(rows, cut).where(F.col("_code") < F.col("_prefix"))
+    if whole:
+        out = out.unionByName(met(rows, whole))
+    order = Window.partitionBy(*g).orderBy(*order_cols)
+    border = met(rows, cut).where(F.col("_code").startswith(F.col("_prefix"))).withColumn("_r", F.row_number().over(order))
+    return out.unionByName(border.where(F.col("_r") <= F.col("_need")).drop("_r")).select(*df.columns)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from .positional import rank_within, top_k_per_group
+from .positional import first_k_per_group, rank_within
 
 TRAIN, EVAL, TEST = V.SPLIT_NAMES
 
@@ -48,7 +48,8 @@ def split_ratio(df: DataFrame, key: str, borders=V.RATIO_BORDERS, caps=V.SPLIT_C
     if caps is None:
         return s.drop("_o")
     cap = F.when(F.col("split") == TRAIN, caps[0]).when(F.col("split") == EVAL, caps[1]).otherwise(caps[2])
-    return top_k_per_group(s, [lang_col, "split"], ["_o", key], cap).drop("_o")
+    # The ranked rows are a written table; the cut reads it a few times and moves no row.
+    return first_k_per_group(s, [lang_col, "split"], ["_o", key], cap, hexadecimal=True).drop("_o")
 
 
 def split_percent(df: DataFrame, key: str, split=V.PERCENT_SPLIT, lang_col: str = "lang") -> DataFrame:
@@ -76,14 +77,15 @@ def sample_rows(df: DataFrame, key: str, number: int | None = None, shuffle: boo
     """L1/L2: per language, permute by the seed (or keep key order) and keep the first ``number``."""
     if not number:
         return df
-    order = seeded_order(key, seed) if shuffle else F.col(key)
+    if not shuffle:
+        return head_rows(df, key, int(number), lang_col)
     # the key breaks ties, so a recomputed partition keeps the same rows
-    return top_k_per_group(df.withColumn("_o", order), [lang_col], ["_o", key], int(number)).drop("_o")
+    return first_k_per_group(df.withColumn("_o", seeded_order(key, seed)), [lang_col], ["_o", key], int(number), hexadecimal=True).drop("_o")
 
 
 def head_rows(df: DataFrame, key: str, number: int = V.TRANSLATE_ROWS, lang_col: str = "lang") -> DataFrame:
     """L4: the first ``number`` rows per language in key order."""
-    return top_k_per_group(df, [lang_col], [key], int(number))
+    return first_k_per_group(df, [lang_col], [key], int(number))
 
 
 def sized_split(split_df: DataFrame, name: str, key: str, small, full: int, seed: int = V.SEED,

@@ -452,6 +452,99 @@ def q_stream_generate(spark, sf_dir) -> DataFrame:
     return read_output(spark, f"{base}/out").select(*C.DIALOGUE_COLUMNS)
 
 
+def _bigram_rows(spark, sf_dir) -> DataFrame:
+    """(lang, gram): the distinct bigrams of every prediction; more rows per language than any of the original's limits."""
+    from ..session import materialize
+    p = X.predictions(spark, sf_dir).select("lang", whitespace_tokens("pred").alias("t"))
+    g = p.select("lang", F.explode(ngrams("t", 2)).alias("gram"))
+    return materialize(g.select("lang", F.array_join("gram", " ").alias("gram")).distinct(), "bigrams")
+
+
+def q_split_ratio_binding(spark, sf_dir) -> DataFrame:
+    """W2 with the original's caps, on a table that exceeds them."""
+    return S.split_ratio(_bigram_rows(spark, sf_dir), "gram", V.RATIO_BORDERS, V.SPLIT_CAPS, V.SEED)
+
+
+def q_head_rows_binding(spark, sf_dir) -> DataFrame:
+    """L4 on a table of more rows than it keeps."""
+    return S.head_rows(_bigram_rows(spark, sf_dir), "gram", V.TRANSLATE_ROWS)
+
+
+def q_diversity_months(spark, sf_dir) -> DataFrame:
+    """A2-A7 by month: counts of two months, the first counted again, reported together by language."""
+    from ..session import scratch_path
+    from . import monthly
+    root = scratch_path(spark, "diversity")
+    p = X.predictions(spark, sf_dir)
+    for k in (0, 1, 0):
+        monthly.add_diversity_run(p.where(F.pmod("pair_id", F.lit(MONTHS)) == k), root, f"m{k}", ["lang"])
+    return _rv(monthly.diversity_report(spark, root, ["lang"]))
+
+
+def q_corpus_stats_rollup(spark, sf_dir) -> DataFrame:
+    """Sizes and lengths of the split corpus by language, by split, by both and in total, counted by month."""
+    from ..session import scratch_path
+    from ..sources import publish
+    from . import monthly
+    root = scratch_path(spark, "lengths")
+    s = S.split_ratio(cleaned(spark, sf_dir), EVAL_KEY, V.RATIO_BORDERS, None)
+    for k in range(MONTHS):
+        monthly.add_length_run(s.where(F.pmod(F.xxhash64(EVAL_KEY), F.lit(MONTHS)) == k), root, f"m{k}",
+                               F.size(whitespace_tokens("target_body")), F.length("target_body"))
+    out = monthly.length_report(publish.read_published(spark, f"{root}/lengths"))
+    return out.withColumn("mean", r6(F.col("mean")))
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+def _piece_factory(path: str | None = None):
+    from ..operators import subword
+    return subword.piece_factory(path or subword.public_path(PIECES))
+
+
+def q_clean_subwords(spark, sf_dir) -> DataFrame:
+    """P10 with subword tokens, on every (previous turn, turn) pair."""
+    t = X.turn_pairs(spark, sf_dir).select(
+        F.lit("all").alias("lang"), F.lit("").alias("title"), "source_body", "target_body",
+        F.lit("").alias("link_id"), F.lit("").alias("source_id"), F.col("pair_id").alias("target_id"))
+    return C.clean_dialogues(t, tokenizer=_piece_factory())
+
+
+def q_bleu_subwords(spark, sf_dir) -> DataFrame:
+    """A8 over subword tokens."""
+    from ..operators import subword
+    f = _piece_factory()
+    return _rv(M.bleu(X.predictions(spark, sf_dir), tokens=lambda c: subword.pieces(c, f)))
+
+
+def q_encode_subwords(spark, sf_dir) -> DataFrame:
+    """F13 over subword ids."""
+    from ..operators import subword
+    e = subword.encode_fixed_pieces(X.turn_pairs(spark, sf_dir), "pair_id", _piece_factory())
+    return e.select("pair_id", _ids_text("input_ids").alias("input_ids"),
+                    _ids_text("attention_mask").alias("attention_mask"), _ids_text("labels").alias("labels"))
+
+
+RANGE_BATCHES = 3
+
+
+def q_zip_ranges(spark, sf_dir) -> DataFrame:
+    """One dump file, stopped after a batch inside it, goes on from its last byte."""
+    from ..session import scratch_path
+    from ..sources import ranges
+    from ..sources.io import write_comments_json
+    from ..streaming.incremental import read_output, zip_ranges
+    base = scratch_path(spark, "zip-ranges")
+    write_comments_json(X.comments(spark, sf_dir), f"{base}/in", files=1)
+    size = sum(n for _, n in ranges.list_files(spark, f"{base}/in"))
+    args = (spark, f"{base}/in", f"{base}/out", f"{base}/progress", byte_model(spark, sf_dir), QUERY_LANGS)
+    step = size // RANGE_BATCHES + 1
+    zip_ranges(*args, batch_bytes=step, split_bytes=max(1, step // 4), most=1)
+    zip_ranges(*args, batch_bytes=step, split_bytes=max(1, step // 4))
+    return read_output(spark, f"{base}/out").select(*C.DETAILED_COLUMNS)
+
+
 MONTHS = 2
 QUERY_BUCKETS = 8
 
@@ -566,6 +659,14 @@ QUERIES = {
     "land_translated": q_land_translated,
     "csv_dialogues": q_csv_dialogues,
     "stream_generate": q_stream_generate,
+    "split_ratio_binding": q_split_ratio_binding,
+    "head_rows_binding": q_head_rows_binding,
+    "diversity_months": q_diversity_months,
+    "corpus_stats_rollup": q_corpus_stats_rollup,
+    "clean_subwords": q_clean_subwords,
+    "bleu_subwords": q_bleu_subwords,
+    "encode_subwords": q_encode_subwords,
+    "zip_ranges": q_zip_ranges,
     "stream_generate_late": q_stream_generate_late,
     "generate_two_months": q_generate_two_months,
     "corpus_two_months": q_corpus_two_months,
@@ -826,6 +927,21 @@ ORACLE = {
 }
 
 ORACLE["stream_generate_late"] = ORACLE["generate_two_months"] = ORACLE["generate_dialogues"]
+_BIGRAMS = (f"bigrams AS (SELECT DISTINCT lang, array_to_string(gram, ' ') AS gram FROM (SELECT lang, unnest({OM.ng('t', '2')}) AS gram "
+            f"FROM (SELECT lang, {OM.tokens('pred')} AS t FROM predictions)))")
+ORACLE["split_ratio_binding"] = O.with_(O.PREDICTIONS, _BIGRAMS, _ratio_split("bigrams", "gram")) + (
+    f"SELECT lang, gram, split FROM (SELECT *, row_number() OVER (PARTITION BY lang, split ORDER BY {_md5('gram')}) AS k FROM sp) "
+    f"WHERE k <= CASE split WHEN 'train' THEN {V.SPLIT_CAPS[0]} WHEN 'eval' THEN {V.SPLIT_CAPS[1]} ELSE {V.SPLIT_CAPS[2]} END")
+ORACLE["head_rows_binding"] = O.with_(O.PREDICTIONS, _BIGRAMS) + (
+    f"SELECT lang, gram FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY gram) AS k FROM bigrams) WHERE k <= {V.TRANSLATE_ROWS}")
+ORACLE["diversity_months"] = O.with_(O.PREDICTIONS, TK) + "\nUNION ALL\n".join(
+    f"SELECT * FROM ({p})" for p in (OM.sentence_distinct("tk", ["lang"]), OM.corpus_distinct("tk", ["lang"]), OM.entropy("tk", ["lang"])))
+_LENGTHS = ", ".join(f"list_sort(list(t))[ceil(count(*) * {q}::DOUBLE)::BIGINT] AS p{round(q * 100)}" for q in (0.5, 0.9, 0.99))
+ORACLE["corpus_stats_rollup"] = (
+    f"SELECT CASE grouping(lang) WHEN 1 THEN 'all' ELSE lang END AS lang, CASE grouping(split) WHEN 1 THEN 'all' ELSE split END AS split, "
+    f"count(*) AS n, round(avg(t), 6) AS mean, sum(c)::BIGINT AS chars, {_LENGTHS} FROM (SELECT lang, split, "
+    f"len({OM.tokens('target_body')})::BIGINT AS t, length(target_body) AS c FROM ({ORACLE['land_splits']})) GROUP BY CUBE (lang, split)")
+ORACLE["zip_ranges"] = ORACLE["zip_bytes"]
 ORACLE["corpus_two_months"] = ORACLE["land_splits"]
 ORACLE["decode_labels"] = ORACLE["decode_tokens"]     # ignored labels read as padding
 

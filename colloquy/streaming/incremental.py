@@ -26,6 +26,7 @@ from ..session import materialize
 from ..sources.io import COMMENT_SCHEMA
 from ..sources.landed import parents_of
 from ..sources.publish import Files
+from ..sources.ranges import SPLIT_BYTES, each_batch
 
 
 PENDING_SCHEMA = StructType([StructField("lang", StringType()), *COMMENT_SCHEMA.fields, StructField("since", IntegerType())])
@@ -52,6 +53,17 @@ def zip_stream(spark: SparkSession, src: str, out: str, checkpoint: str,
     return q
 
 
+def zip_ranges(spark: SparkSession, src: str, out: str, progress: str, model: LangModel | ByteModel, langs=V.LANGS,
+               batch_bytes: int = 1 << 30, split_bytes: int = SPLIT_BYTES, most: int | None = None) -> int:
+    """T1 inside files: NDJSON dump -> detailed rows, ``batch_bytes`` of the files at a time; returns the batches done.
+
+    Stopped anywhere, it goes on behind the last recorded byte of the file it
+    was in. Each batch writes its own ``batch=<n>`` folder with overwrite.
+    """
+    return each_batch(spark, src, progress, COMMENT_SCHEMA, lambda rows, n: _write_batch(zip_comments(rows, model, langs), out, n),
+                      batch_bytes, split_bytes, most)
+
+
 def generate_stream(spark: SparkSession, detailed_dir: str, out: str, checkpoint: str,
                     comments: DataFrame | Callable[[int], DataFrame], submissions: DataFrame,
                     detector: LangModel | ByteModel, langs=V.LANGS,
