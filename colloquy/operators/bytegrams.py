@@ -31,7 +31,8 @@ from .positional import top_k_per_group
 ORDERS = (1, 2, 3, 4)
 PER_LANG = 300
 CHUNK_BYTES = 1 << 20
-HELD_ROWS = 4_000_000
+HELD_ROWS = 1_000_000
+GIVEN_ROWS = 100_000
 CELLS = 8_000_000
 
 
@@ -89,11 +90,12 @@ def _counted(corpus: DataFrame, labels: list[str], orders: tuple, per_document:
         known: dict[tuple, int] = {}
         keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
 
-        def give(k: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            names = list(known)
-            at = (k >> 36).tolist()
-            cols = [pa.array([names[i][c] for i in at], pa.string()) for c in range(len(labels))]
-            return pa.RecordBatch.from_arrays([*cols, pa.array(k & ((1 << 36) - 1)), pa.array(n)], schema.fieldNames())
+        def give(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            names = [pa.array([x[c] for x in known], pa.string()) for c in range(len(labels))]
+            for i in range(0, len(k), GIVEN_ROWS):
+                some, at = k[i:i + GIVEN_ROWS], pa.array(k[i:i + GIVEN_ROWS] >> 36)
+                yield pa.RecordBatch.from_arrays([*(x.take(at) for x in names), pa.array(some & ((1 << 36) - 1)), pa.array(n[i:i + GIVEN_ROWS])],
+                                                 schema.fieldNames())
         for b in batches:
             label = [known.setdefault(x, len(known)) for x in zip(*(b.column(c).to_pylist() for c in labels))]
             for i, j, data, offs in text_bytes(b.column("text")):
@@ -114,12 +116,12 @@ def _counted(corpus: DataFrame, labels: list[str], orders: tuple, per_document:
                 if held > held_rows:
                     k, n = _summed(np.concatenate(keys), np.concatenate(counts))
                     if len(k) > held_rows // 2:
-                        yield give(k, n)
+                        yield from give(k, n)
                         k, n = k[:0], n[:0]
                     keys, counts, held = [k], [n], len(k)
         k, n = _summed(np.concatenate(keys), np.concatenate(counts))
-        if len(k):
-            yield give(k, n)
+        yield from give(k, n)
+        pa.default_memory_pool().release_unused()
     got = corpus.select(*labels, "text").mapInArrow(run, schema)
     return got.groupBy(*labels, "code").agg(F.sum("n").alias("n"))
 
