@@ -9,13 +9,18 @@ wrapper is a union-free expression: tags, constants, slots, ( )? and ( )+.
 
 Groups are told apart by marks (class and id words) that enough of a host's
 pages share, which a Spark aggregate counts; marks of single pages are dropped,
-so the number of a host's keys does not grow with its pages. Wrappers are
-folded in the map tasks first, one small row per host and task, and then merged
-in two rounds, so a hot host's pages are never gathered. From the
-wrapper follows the host's rule: where the article lies, which groups hold
-most of the text that varies, and which are constant on many pages and so part
-of the template. Pages are read again under their host's rule. Fixed lists of
-tags and class words tell what of the rest is no text.
+so the number of a host's keys does not grow with its pages. Pages of one
+shape (the same nested keys) are folded in the map tasks, a small row per host
+and shape; the shapes of a host are then merged in the order of their
+hashes, in rounds of bounded groups, so a hot host is never gathered and the
+wrapper does not depend on how pages lie in partitions. From the wrapper
+follows the host's rule: where the article lies, which groups hold most of the
+text that varies, and which may be constants of the template. A constant must
+stand beside different texts: it is left out only if enough different
+remainders of pages, repeated and mirrored pages counted once, hold it. Pages
+are read again under their host's rule. Fixed lists of tags, and class marks
+made of listed words alone, tell what of the rest is no text; headings,
+paragraphs, tables and list items are never left out by a word.
 """
 
 from __future__ import annotations
@@ -49,13 +54,17 @@ INLINE = ("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "time", "tt", "u", "var", "br", "wbr", "img")
 NOT_TEXT = ("head", "nav", "header", "footer", "aside", "form", "script", "style", "noscript", "template", "button", "select",
             "option", "input", "textarea", "title", "iframe", "object", "svg", "canvas", "audio", "video", "dialog", "menu",
-            "fieldset", "noembed", "noframes", "math", "map")
+            "fieldset", "noembed", "noframes", "map")
 NOT_TEXT_WORDS = ("ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion",
                   "banner", "sidebar", "side", "aside", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs",
                   "header", "masthead", "footer", "comment", "comments", "disqus", "reply", "replies", "notice", "cookie",
                   "cookies", "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "share", "sharing", "social",
                   "related", "recommended", "widget", "toolbar", "login", "signup", "form", "search", "pager", "pagination",
                   "alert", "hidden", "skip")
+PLAIN_WORDS = ("article", "main", "content", "post", "entry", "story", "page", "site", "box", "block", "wrap", "wrapper", "container",
+               "inner", "outer", "area", "bar", "list", "links", "link", "button", "buttons", "unit", "slot", "posts", "articles",
+               "stories", "top", "bottom", "left", "right")
+TEXT_TAGS = ("p", "pre", "blockquote", "table", "thead", "tbody", "tfoot", "figure", "dl", "hgroup", "address", "math")
 COMMENT_WORDS = ("comment", "comments", "disqus", "reply", "replies")
 CONTAINERS = ("html", "body", "main", "article")
 WRAPPERS = ("form", "fieldset")
@@ -76,13 +85,14 @@ STABLE_SHARE = 0.05
 MAX_CHILDREN = 200
 KEYS_HELD = 20_000
 MARKS_HELD = 100_000
-MERGE_WAYS = 64
-HOSTS_HELD = 500
+MERGE_SHAPES = 500
+SHAPES_HELD = 500
 MAX_DEPTH = 150
 
 _RAW, _VOID, _INLINE, _NOT_TEXT, _CLOSES_P, _SCOPES = map(frozenset, (RAW, VOID, INLINE, NOT_TEXT, CLOSES_P, SCOPES))
 _NOT_WORDS, _MAIN_WORDS, _COMMENT_WORDS = map(frozenset, (NOT_TEXT_WORDS, MAIN_WORDS, COMMENT_WORDS))
 _KEPT = frozenset(LABELS + CONTAINERS)
+_PLAIN_WORDS, _NEVER = frozenset(PLAIN_WORDS), frozenset(LABELS + TEXT_TAGS)
 _TAGS = frozenset(RAW + VOID + INLINE + NOT_TEXT + CLOSES_P + SCOPES + LABELS + CONTAINERS + tuple(IMPLIED_END) + ("tfoot", "picture"))
 HIDDEN = "!hidden"            # the mark of the attribute; no class word, which may be "hidden" as well
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -101,6 +111,16 @@ def _key(tag: str, token: str) -> str:
     return " ".join([tag, *marks])
 
 
+def _mark_words(mark: str) -> list[str]:
+    return [x.lower() for x in _WORD.findall(mark)]
+
+
+def _listed(mark: str) -> bool:
+    """Whether a mark says that its group is no text: listed words, plain ones beside them at most ("menu-recipe" does not)."""
+    words = _mark_words(mark)
+    return any(w in _NOT_WORDS for w in words) and all(w in _NOT_WORDS or w in _PLAIN_WORDS for w in words)
+
+
 def key_marks(key: str) -> list[str]:
     """What is counted of a key: itself, and its tag with each single mark."""
     tag, *marks = key.split(" ")
@@ -117,8 +137,9 @@ def stable_key(key: str, stable: frozenset) -> str:
         return key
     tag, *marks = key.split(" ")
     out = [next((m for m in marks if f"{tag} {m}" in stable), ""), HIDDEN if HIDDEN in marks else ""]
-    words = [x.lower() for x in _WORD.findall(" ".join(m for m in marks if m != HIDDEN))]
-    for known in (_COMMENT_WORDS, _NOT_WORDS, _MAIN_WORDS):
+    marks = [m for m in marks if m != HIDDEN]
+    listed = [w for m in marks if _listed(m) for w in _mark_words(m)]
+    for known, words in ((_COMMENT_WORDS, listed), (_NOT_WORDS, listed), (_MAIN_WORDS, [w for m in marks for w in _mark_words(m)])):
         out.append(next((w for w in words if w in known), ""))
     return " ".join(dict.fromkeys([tag if tag in _TAGS else "x", *filter(None, out)]))
 
@@ -305,7 +326,8 @@ def _words(key: str) -> set[str]:
 
 
 def _left_out(key: str, spared: frozenset = frozenset()) -> bool:
-    """Whether a group is no text: by its tag, a hidden attribute, or a listed word, which says nothing of a container.
+    """Whether a group is no text: by its tag, a hidden attribute, or a mark of listed words, which says nothing of a
+    container, a heading, paragraph, table or item.
 
     ``spared`` are the groups that hold most of a host's text. An article can
     be a reader's comment, if a class says just that.
@@ -315,7 +337,7 @@ def _left_out(key: str, spared: frozenset = frozenset()) -> bool:
         return True
     if tag in CONTAINERS:
         return tag == "article" and not _COMMENT_WORDS.isdisjoint(marks)
-    return bool(marks) and key not in spared and not _words(key).isdisjoint(_NOT_WORDS)
+    return tag not in _NEVER and key not in spared and any(map(_listed, marks))
 
 
 def _mass(w: list, spared: frozenset, linked: bool = False) -> int:
@@ -371,9 +393,11 @@ def _constants(w: list, pages: int, spared: frozenset) -> dict[str, list[str]]:
 
     These are the outermost block groups without a slot, and strings with
     block groups or nothing beside them, on at least ``CONSTANT_PAGES`` pages
-    and a share of ``CONSTANT_SHARE``. Labels (headings, cells, items) belong
-    to the slots that they stand beside; they go with a constant group around
-    them alone. Inline groups are parts of a line and stay with it.
+    and a share of ``CONSTANT_SHARE``. Labels (headings, cells, items) and
+    paragraphs, tables and the like without marks belong to the slots that they
+    stand beside; they go with a constant group around them alone. Inline
+    groups are parts of a line and stay with it. ``proven`` then asks for as
+    many different pages.
     """
     least = max(CONSTANT_PAGES, pages * CONSTANT_SHARE)
     out: dict[str, set[str]] = {}
@@ -386,7 +410,8 @@ def _constants(w: list, pages: int, spared: frozenset) -> dict[str, list[str]]:
                 if alone and path and len(node[3]) > 1 and k[2] is not None and k[4] >= least:
                     out.setdefault(path, set()).add(_mark(k[2]))
             elif not _left_out(k[0], spared) and tags[i + 1] not in _INLINE:
-                spelled = _spell(k) if tags[i + 1] not in _KEPT and k[4] >= least and _has_text(k) else None
+                flow = tags[i + 1] in _KEPT or k[0] in _NEVER       # a key without marks is its tag
+                spelled = _spell(k) if not flow and k[4] >= least and _has_text(k) else None
                 if spelled is not None:
                     out.setdefault(path, set()).add(_mark(spelled))
                 else:
@@ -431,23 +456,25 @@ class Rule:
     constants: dict[str, frozenset] = field(default_factory=dict)
 
     @classmethod
-    def of_json(cls, spelled: str | None, stable: list[str]) -> "Rule":
+    def of_json(cls, spelled: str | None, stable: list[str], proven: list[str] | None = None) -> "Rule":
+        """A rule with the constants among ``proven``, or all that it proposes."""
         keys = Keys(frozenset(stable))
         if spelled is None:
             return cls(keys=keys)
         r = json.loads(spelled)
-        return cls([frozenset(x) for x in r["roots"]], keys, frozenset(r["spared"]),
-                   {k: frozenset(v) for k, v in r["constants"].items()})
+        marks = {k: frozenset(v if proven is None else set(v) & set(proven)) for k, v in r["constants"].items()}
+        return cls([frozenset(x) for x in r["roots"]], keys, frozenset(r["spared"]), {k: v for k, v in marks.items() if v})
 
 
-def article(page: str, r: Rule) -> list[str]:
+def article(page: str, r: Rule, met: set[str] | None = None) -> list[str]:
     """The blocks of a page under the first of a rule's roots that give text, at last of its whole body.
 
-    A page that has constants alone keeps them: they are its text.
+    A page that has constants alone keeps them: they are its text. ``met``
+    receives the constants left out.
     """
     root = parse(page, r.keys)
     for roots in (*r.roots, frozenset()):
-        out = blocks(root, roots, r)
+        out = blocks(root, roots, r, met)
         if not out and r.constants:
             out = blocks(root, roots, Rule(r.roots, r.keys, r.spared))
         if out:
@@ -455,15 +482,16 @@ def article(page: str, r: Rule) -> list[str]:
     return []
 
 
-def _is_constant(c: Node, marks: frozenset) -> bool:
+def _constant_group(c: Node) -> str | None:
+    """The mark of a group if it were a constant."""
     try:
         spelled = _spell(_wrap(c))
     except RecursionError:
-        return False
-    return spelled is not None and _mark(spelled) in marks
+        return None
+    return None if spelled is None else _mark(spelled)
 
 
-def blocks(root: Node, roots: frozenset, r: Rule) -> list[str]:
+def blocks(root: Node, roots: frozenset, r: Rule, met: set[str] | None = None) -> list[str]:
     """The blocks inside ``roots`` in page order (none: the whole body); references decoded, white space single."""
     out: list[str] = []
     run: list[str] = []
@@ -490,7 +518,9 @@ def blocks(root: Node, roots: frozenset, r: Rule) -> list[str]:
         if isinstance(c, str):
             if marks and not (i and isinstance(node.children[i - 1], str)):
                 text = "".join(itertools.takewhile(lambda x: isinstance(x, str), itertools.islice(node.children, i, None)))
-                if text.strip() and _mark(_constant(text.strip())) in marks:
+                if text.strip() and (mark := _mark(_constant(text.strip()))) in marks:
+                    if met is not None:
+                        met.add(mark)
                     while top[1] < len(node.children) and isinstance(node.children[top[1]], str):
                         top[1] += 1
                     continue
@@ -502,7 +532,9 @@ def blocks(root: Node, roots: frozenset, r: Rule) -> list[str]:
         elif not _left_out(c.key, r.spared):
             if c.tag not in _INLINE:
                 flush()
-                if marks and _is_constant(c, marks):
+                if marks and (mark := _constant_group(c)) in marks:
+                    if met is not None:
+                        met.add(mark)
                     continue
             # Wrappers are no deeper than MAX_DEPTH, so deeper groups need no path.
             deeper = f"{path}\x1f{c.key}" if r.constants and len(stack) <= MAX_DEPTH and path is not None else None
@@ -560,25 +592,36 @@ def stable_marks(pages: DataFrame, share: float = STABLE_SHARE) -> DataFrame:
                             .select("__host", F.coalesce("__stable", F.array().cast("array<string>")).alias("__stable")), "wrapper-keys")
 
 
-def infer_wrappers(pages: DataFrame, merge_ways: int = MERGE_WAYS, stable: DataFrame | None = None) -> DataFrame:
+def _shape(w: list) -> str:
+    """The nested keys of a wrapper, spelled."""
+    return "#" if w[0] == "#" else f"{w[0]}{'+' if w[2] else ''}({','.join(map(_shape, w[3]))})"
+
+
+def infer_wrappers(pages: DataFrame, merge_shapes: int = MERGE_SHAPES, stable: DataFrame | None = None) -> DataFrame:
     """(host, pages, wrapper as JSON) of ``pages`` (url, html), folded over all pages of each host.
 
     Pages of null html are left out, a null url has the host "". Pages nested
     deeper than ``MAX_DEPTH`` elements do not shape the wrapper; their text is
     read under the rule that the host's other pages give. Keys are made of the
     marks ``stable`` (those of ``stable_marks``), so their number does not grow
-    with the pages, nor does a node's number of children.
+    with the pages, nor does a node's number of children. Pages of one shape
+    merge the same in any order; the shapes of a host merge in the order of
+    their hashes, in groups of about ``merge_shapes`` by round, so the result
+    depends on the pages alone.
     """
+    names = ["host", "shape", "pages", "wrapper"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+        held: dict[tuple[str, str], list] = {}
         named: dict[str, Keys] = {}
 
         def give() -> pa.RecordBatch:
             rows = list(held.items())
             held.clear()
             named.clear()
-            return pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.string()), pa.array([v[0] for _, v in rows], pa.int64()),
-                                               pa.array([json.dumps(v[1]) for _, v in rows], pa.string())], ["host", "pages", "wrapper"])
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()),
+                                               pa.array([v[0] for _, v in rows], pa.int64()),
+                                               pa.array([json.dumps(v[1]) for _, v in rows], pa.string())], names)
         for b in batches:
             for h, page, marks in zip(b.column("__host").to_pylist(), b.column("html").to_pylist(), b.column("__stable")):
                 if page is None:
@@ -589,49 +632,88 @@ def infer_wrappers(pages: DataFrame, merge_ways: int = MERGE_WAYS, stable: DataF
                     w = _wrap(parse(page, named[h]))
                 except RecursionError:
                     w = ["", False, False, [], 1]
-                if h in held:
-                    held[h][0] += 1
-                    held[h][1] = merge(held[h][1], w)
+                key = h, _mark(_shape(w))
+                if key in held:
+                    held[key][0] += 1
+                    held[key][1] = merge(held[key][1], w)
                 else:
-                    held[h] = [1, w]
-                if len(held) >= HOSTS_HELD:
+                    held[key] = [1, w]
+                if len(held) >= SHAPES_HELD:
                     yield give()
         if held:
             yield give()
 
     def join(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("wrapper", kind="stable")
+        part = part.sort_values("shape", kind="stable")
         w = None
         for x in part["wrapper"]:
             w = json.loads(x) if w is None else merge(w, json.loads(x))
-        return pd.DataFrame({"host": [part["host"].iloc[0]], "pages": [int(part["pages"].sum())], "wrapper": [json.dumps(w)]})
+        return pd.DataFrame({"host": [part["host"].iloc[0]], "shape": [part["shape"].iloc[0]], "pages": [int(part["pages"].sum())],
+                             "wrapper": [json.dumps(w)]})
 
-    schema = "host string, pages long, wrapper string"
+    schema = "host string, shape string, pages long, wrapper string"
     some = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     marks = stable_marks(pages) if stable is None else stable
     some = _hosted(some).join(marks, "__host", "left").select("__host", "html", "__stable").mapInArrow(run, schema)
-    way = F.pmod(F.xxhash64("wrapper"), F.lit(merge_ways))
-    return some.groupBy("host", way.alias("way")).applyInPandas(join, schema).groupBy("host").applyInPandas(join, schema)
+    out = materialize(some.groupBy("host", "shape").applyInPandas(join, schema), "wrapper-shapes")
+    while True:
+        counts = out.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+        most = counts.agg(F.max("n")).first()[0] or 0
+        if most <= 1:
+            return out.select("host", "pages", "wrapper")
+        way = F.pmod(F.xxhash64("shape"), F.ceil(F.col("n") / merge_shapes))
+        out = materialize(out.join(counts, "host").groupBy("host", way.alias("way")).applyInPandas(join, schema), "wrapper-shapes")
+
+
+def proven(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """(__host, __proven): the proposed constants of each host that stand beside enough different texts.
+
+    What a page holds without its constants is its remainder. A constant is
+    proven if at least ``CONSTANT_PAGES`` different remainders, and a share of
+    ``CONSTANT_SHARE`` of its host's, come with it. Only (host, remainder,
+    constant) hashes are shuffled.
+    """
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held: dict[str, Rule] = {}
+        rows = []
+        for h, page, spelled, stable in zip(batch.column("__host").to_pylist(), batch.column("html").to_pylist(),
+                                            batch.column("__rule"), batch.column("__stable")):
+            if h not in held:
+                held[h] = Rule.of_json(spelled.as_py(), stable.as_py() or [])
+            met: set[str] = set()
+            rest = _mark("\n\n".join(article(page or "", held[h], met)))
+            rows += [(h, rest, m) for m in ("", *sorted(met))]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["__host", "rest", "mark"])
+    proposing = rules.where(~F.col("__rule").contains('"constants": {}'))
+    asked = _hosted(pages.select("url", "html")).join(proposing, "__host")
+    seen = arrow_map(asked, run, "__host string, rest string, mark string").distinct()
+    counts = materialize(seen.groupBy("__host", "mark").agg(F.count(F.lit(1)).alias("n")), "wrapper-constants")
+    total = counts.where("mark = ''").select("__host", F.col("n").alias("all"))
+    kept = counts.where("mark <> ''").join(total, "__host").where(
+        (F.col("n") >= CONSTANT_PAGES) & (F.col("n") >= F.col("all") * F.lit(CONSTANT_SHARE)))
+    return kept.groupBy("__host").agg(F.array_sort(F.collect_list("mark")).alias("__proven"))
 
 
 def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``pages`` (or its columns ``keep``) with ``text``: the article's blocks, joined by two newlines.
 
     Null, empty and text-less pages give an empty text. Repeated pages are
-    read each. A column called text is replaced. An empty table gives no rows.
+    read each, and make nothing a constant of their host. A column called text
+    is replaced. An empty table gives no rows.
     """
     rule_of = F.udf(lambda wrapper, n: json.dumps(rule(json.loads(wrapper), n)), "string")   # one call per host
     stable = stable_marks(pages)
     found = infer_wrappers(pages, stable=stable).select(F.col("host").alias("__host"), rule_of("wrapper", "pages").alias("__rule"))
-    rules = materialize(stable.join(found, "__host", "left"), "wrappers")
+    rules = materialize(stable.join(found, "__host", "left"), "wrapper-rules")
+    rules = materialize(rules.join(proven(pages, rules), "__host", "left"), "wrappers")
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         held: dict[str | None, Rule] = {}
         out = []
-        rows = zip(batch.column("__host").to_pylist(), batch.column("html").to_pylist(), batch.column("__rule"), batch.column("__stable"))
-        for h, page, spelled, stable in rows:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("__host", "html")), *(batch.column(c) for c in ("__rule", "__stable", "__proven")))
+        for h, page, spelled, stable, proven in rows:
             if h not in held:
-                held[h] = Rule.of_json(spelled.as_py(), stable.as_py() or [])
+                held[h] = Rule.of_json(spelled.as_py(), stable.as_py() or [], proven.as_py() or [])
             out.append("\n\n".join(article(page or "", held[h])))
         return [pa.array(out, pa.string())]
     cols = [c for c in (keep or pages.columns) if c != "text"]
