@@ -64,8 +64,9 @@ def battery(symbols: np.ndarray, size: int) -> float:
         return 1.0
     expected = n / size
     chi = float(((np.bincount(symbols, minlength=size) - expected) ** 2).sum() / expected)
-    # Exact mean and variance of the statistic for n draws of equal chances.
-    p_chi = 0.5 * math.erfc((chi - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n) / math.sqrt(2))
+    # A gamma variable of the statistic's exact mean and variance for n draws of equal chances, by its cube root.
+    spread = 2 * (n - 1) / (9 * n * (size - 1))
+    p_chi = 0.5 * math.erfc(((chi / (size - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(2 * spread))
     high = symbols >= size // 2
     n1, n2 = int(high.sum()), int(n - high.sum())
     p_runs = 1.0
@@ -101,9 +102,12 @@ def pair_counts(docs: DataFrame) -> np.ndarray:
     """128 x 128 counts of neighbouring ASCII characters over all texts; at most 16,384 sums reach the driver."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         total = np.zeros(128 * 128, np.int64)
-        for _, _, data, _ in text_chunks(batch.column("text")):
+        for _, _, data, offs in text_chunks(batch.column("text")):
             d = np.minimum(data, 127).astype(np.int32)
-            total += np.bincount(d[:-1] * 128 + d[1:], minlength=128 * 128)
+            one = np.ones(max(len(d) - 1, 0), bool)
+            edge = offs[1:-1] - 1                   # the last byte of a text has no neighbour
+            one[edge[(edge >= 0) & (edge < len(one))]] = False
+            total += np.bincount((d[:-1] * 128 + d[1:])[one], minlength=128 * 128)
         at = np.flatnonzero(total)
         return pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "k"])
     rows = arrow_map(docs.select("text"), run, "pair long, k long").groupBy("pair").agg(F.sum("k").alias("k")).toPandas()
