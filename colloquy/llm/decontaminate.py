@@ -4,14 +4,17 @@ The patterns are the 13-word windows of the benchmark items (an item of fewer
 words is one window). A block is two consecutive words; the shift table holds,
 for every block of a pattern, how far it lies before the pattern's end, and
 all other blocks allow the full shift. A block of shift 0 selects, by its
-suffix hash, the windows that end in it; these are then compared word for
-word. All cursors of a batch advance together in numpy, one cursor for every
+suffix hash, the bucket of the windows that end in it; those of the same
+hash over all words are then compared word for word. All cursors of a batch advance together in numpy, one cursor for every
 stretch of 256 end positions. (With bytes as the alphabet a few thousand
 windows leave no block of two or three letters absent, so nothing would be
 skipped.)
 
-The benchmark is searched in pattern blocks of at most ``block_bytes`` of
-text; each is broadcast with that bound, and more blocks mean more passes.
+The benchmark is searched in pattern blocks. A block's tables take about
+``TABLE_SHARE`` bytes per byte of text (a window is kept as its place in the
+text), ``TABLE_BYTES`` in all; that bounds what the driver builds and what
+reaches a task, and more blocks mean more passes. Items stay whole: only a
+single item of more bytes makes a larger block.
 """
 
 from __future__ import annotations
@@ -24,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import add_columns, text_chunks
+from .common import add_columns, materialize, text_chunks
 
 WINDOW = 13
 SHARE = 20                    # contaminated: at least 1 of 20 words is hit
-BLOCK_BYTES = 32 << 20
+TABLE_BYTES = 128 << 20
+TABLE_SHARE = 18              # words of one letter and a space take 17 bytes of tables per byte, longer ones less
+PASSES = 3                    # pattern blocks searched in one stage; each has a Python worker of its own
 STRETCH = 256
 
 HITS = "array<struct<start:long,stop:long>>"
@@ -36,61 +41,86 @@ HITS = "array<struct<start:long,stop:long>>"
 
 @dataclass
 class Patterns:
-    """Windows of one length: word hashes, words as bytes, the items of each, and the two tables."""
+    """The different windows of one length, and the tables that find them. Window k is ``length`` words from word ``at[k]`` on."""
     length: int
-    hashes: np.ndarray          # windows x length, in order of their hash
-    spelled: list[bytes]
-    items: list[list[int]]
-    keys: np.ndarray            # sorted hash of each whole window
+    data: np.ndarray            # the lower-cased texts
+    start: np.ndarray           # of each word of them
+    end: np.ndarray
     blocks: np.ndarray          # sorted hash of each block
     shift: np.ndarray           # of each block
+    bucket: np.ndarray          # bucket[b]:bucket[b + 1] are the windows that end in block b
+    keys: np.ndarray            # hash of each window over all words, ascending within its bucket
+    at: np.ndarray
+    first_item: np.ndarray      # first_item[k]:first_item[k + 1] are the items of window k
+    items: np.ndarray
+
+    def spelled(self, k: int) -> list[bytes]:
+        """The words of window k."""
+        w = range(int(self.at[k]), int(self.at[k]) + self.length)
+        return [self.data[self.start[i]:self.end[i]].tobytes() for i in w]
+
+
+def table_bytes(groups: list[Patterns]) -> int:
+    """The size of the tables of a block; its texts and their words are shared by all lengths."""
+    return sum({id(x): x.nbytes for p in groups for x in vars(p).values() if isinstance(x, np.ndarray)}.values())
 
 
 def _block_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return W.mix(left * W.U64(3) + right)
 
 
-def _window_hash(h: np.ndarray) -> np.ndarray:
-    acc = np.zeros(len(h), np.uint64)
-    for k in range(h.shape[1]):
-        acc = W.mix(acc * W.U64(5) + h[:, k])
+def _window_hash(h: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hash over the ``length`` words from each place on."""
+    acc = np.zeros(len(at), np.uint64)
+    for k in range(length):
+        acc = W.mix(acc * W.U64(5) + h[at + k])
     return acc
 
 
 def build_patterns(items: list[tuple[int | None, str | None]], window: int = WINDOW) -> list[Patterns]:
     """The patterns of (item_id, text) rows, one group per window length. An item without words has none."""
-    found: dict[int, dict[bytes, tuple[np.ndarray, list]]] = {}
-    for item, text in items:
-        raw = (text or "").encode()
-        data = np.frombuffer(raw, np.uint8)
-        w = W.split_words(data, np.array([0, len(raw)]))
-        if not len(w.hashes):
-            continue
-        low = raw.lower()       # bytes.lower touches A-Z only
-        spell = [low[s:e] for s, e in zip(w.start, w.end)]
-        m = min(window, len(spell))
-        for i in range(len(spell) - m + 1):
-            key = b" ".join(spell[i:i + m])
-            found.setdefault(m, {}).setdefault(key, (w.hashes[i:i + m], []))[1].append(item)
+    raw = [(text or "").encode() for _, text in items]
+    data = np.frombuffer(b"".join(raw).lower(), np.uint8)      # bytes.lower touches A-Z only
+    w = W.split_words(data, np.cumsum([0, *map(len, raw)]))
+    start, end = w.start.astype(np.int32), w.end.astype(np.int32)
+    count = np.diff(w.first)
+    owner = np.array([-1 if i is None else i for i, _ in items], np.int64)
+    known = np.array([i is not None for i, _ in items], bool)
     out = []
-    for m, group in sorted(found.items()):
-        spelled = list(group)
-        h = np.array([group[s][0] for s in spelled], np.uint64)
-        keys = _window_hash(h)
-        order = np.argsort(keys, kind="stable")
+    for m in np.unique(np.minimum(count[count > 0], window)).tolist():
+        mine = np.flatnonzero(np.minimum(count, window) == m)
+        n = count[mine] - m + 1
+        at = np.repeat(w.first[mine], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        item = np.repeat(mine, n)
+        last = w.hashes[at] if m == 1 else _block_hash(w.hashes[at + m - 2], w.hashes[at + m - 1])
+        key = _window_hash(w.hashes, at, m)
+        order = np.lexsort((at, key, last))
+        at, item, key, last = at[order], item[order], key[order], last[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (key[1:] != key[:-1]) | (last[1:] != last[:-1])
+        head = at[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        for k in range(m):      # words that differ under one hash make windows of their own
+            new |= w.hashes[at + k] != w.hashes[head + k]
+        group = np.cumsum(new) - 1
         if m == 1:
-            blocks, shift = np.unique(h[:, 0]), None
-            shift = np.zeros(len(blocks), np.int64)
+            blocks = np.unique(last)
+            shift = np.zeros(len(blocks), np.uint8)
         else:
-            b = np.concatenate([_block_hash(h[:, k], h[:, k + 1]) for k in range(m - 1)])
-            s = np.repeat(np.arange(m - 2, -1, -1), len(h))
-            by = np.lexsort((s, b))
-            b, s = b[by], s[by]
-            new = np.diff(b, prepend=b[:1] - W.U64(1)) != 0
-            blocks, shift = b[new], s[new]
-        out.append(Patterns(m, h[order], [spelled[i] for i in order],
-                            [sorted({x for x in group[spelled[i]][1] if x is not None}) for i in order],
-                            keys[order], blocks, shift))
+            heads = at[new]
+            best: tuple[np.ndarray, np.ndarray] | None = None
+            for k in range(m - 1):          # the least distance from the end wins: later blocks replace earlier ones
+                b = np.unique(_block_hash(w.hashes[heads + k], w.hashes[heads + k + 1]))
+                s = np.full(len(b), m - 2 - k, np.uint8)
+                if best is not None:
+                    old = ~np.isin(best[0], b)
+                    b, s = np.concatenate([best[0][old], b]), np.concatenate([best[1][old], s])
+                by = np.argsort(b)
+                best = b[by], s[by]
+            blocks, shift = best
+        pair = np.unique(np.stack([group[known[item]], owner[item[known[item]]]], 1), axis=0)
+        out.append(Patterns(m, data, start, end, blocks, shift, np.searchsorted(last[new], np.append(blocks, W.U64(0xFFFFFFFFFFFFFFFF))).astype(np.int32),
+                            key[new], at[new].astype(np.int32), np.searchsorted(pair[:, 0], np.arange(int(new.sum()) + 1)).astype(np.int32), pair[:, 1]))
+        out[-1].bucket[-1] = int(new.sum())
     return out
 
 
@@ -100,6 +130,19 @@ def _find(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == x, at, -1)
 
 
+def _in_bucket(keys: np.ndarray, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Index of the first key not below each x in its own range lo .. hi of ``keys``."""
+    lo, hi = lo.copy(), hi.copy()
+    while True:
+        busy = np.flatnonzero(lo < hi)
+        if not len(busy):
+            return lo
+        mid = (lo[busy] + hi[busy]) // 2
+        low = keys[mid] < x[busy]
+        lo[busy[low]] = mid[low] + 1
+        hi[busy[~low]] = mid[~low]
+
+
 def search(w: W.Words, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
     """(first word, window) of the places in ``w`` whose words hash like a window's, found by shifting cursors."""
     m, full = p.length, max(1, p.length - 1)
@@ -116,14 +159,16 @@ def search(w: W.Words, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
     while len(cursor):
         h = w.hashes[cursor] if m == 1 else _block_hash(w.hashes[cursor - 1], w.hashes[cursor])
         at = _find(p.blocks, h)
-        step = np.where(at >= 0, p.shift[at], full)
+        step = np.where(at >= 0, p.shift[at].astype(np.int64), full)
         stop = np.flatnonzero(step == 0)
         if len(stop):
             begin = cursor[stop] - m + 1
-            key = _find(p.keys, _window_hash(w.hashes[begin[:, None] + np.arange(m)]))
-            hit = key >= 0
+            key = _window_hash(w.hashes, begin, m)
+            lo, hi = p.bucket[at[stop]].astype(np.int64), p.bucket[at[stop] + 1].astype(np.int64)
+            k = _in_bucket(p.keys, key, lo, hi)
+            hit = (k < hi) & (p.keys[np.minimum(k, len(p.keys) - 1)] == key)
             places.append(begin[hit])
-            windows.append(key[hit])
+            windows.append(k[hit])
         cursor = cursor + np.maximum(step, 1)
         live = cursor < limit
         cursor, limit = cursor[live], limit[live]
@@ -144,14 +189,17 @@ def _scan(groups: list[Patterns], again: bool):
                 place, window = search(w, p)
                 order = np.argsort(place, kind="stable")
                 for at, k in zip(place[order].tolist(), window[order].tolist()):
-                    # Direct comparison of the words themselves.
-                    s, e = w.start[at:at + p.length], w.end[at:at + p.length]
-                    if b" ".join([data[x:y].tobytes().lower() for x, y in zip(s, e)]) != p.spelled[k]:
+                    # Direct comparison of the words themselves, with every window of the same hash.
+                    here = [data[x:y].tobytes().lower() for x, y in zip(w.start[at:at + p.length], w.end[at:at + p.length])]
+                    same = k
+                    while same < len(p.keys) and p.keys[same] == p.keys[k] and p.spelled(same) != here:
+                        same += 1
+                    if same == len(p.keys) or p.keys[same] != p.keys[k]:
                         continue
                     r = int(w.row[at])
                     first = at - int(w.first[r])
                     spans.setdefault(r, []).append((first, first + p.length))
-                    seen.setdefault(r, set()).update(p.items[k])
+                    seen.setdefault(r, set()).update(p.items[p.first_item[same]:p.first_item[same + 1]].tolist())
             for r in range(j - i):
                 s = spans.get(r, [])
                 if before is not None:
@@ -171,7 +219,7 @@ def _scan(groups: list[Patterns], again: bool):
     return run
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = TABLE_BYTES // TABLE_SHARE,
                keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with n_words, hits and items of each text.
 
@@ -188,9 +236,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
     blocks = max(1, -(-int(total) // block_bytes))
     out = docs
     for b in range(blocks):
-        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
+        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(blocks)) == b)
         groups = build_patterns([(r["item_id"], r["text"]) for r in part.collect()], window)
         cols = None if keep is None else [*keep, *(["text"] if b < blocks - 1 else [])]
+        if b and b % PASSES == 0:
+            out = materialize(out, "decontaminate")
         out = add_columns(out, _scan(groups, b > 0), f"n_words long, hits {HITS}, items array<long>", cols)
     return out
 
