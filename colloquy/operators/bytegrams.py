@@ -88,6 +88,7 @@ def _counted(corpus: DataFrame, labels: list[str], orders: tuple, per_document:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple, int] = {}
+        table = None if wanted is None else GramTable(wanted)
         keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
 
         def give(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -101,11 +102,12 @@ def _counted(corpus: DataFrame, labels: list[str], orders: tuple, per_document:
             for i, j, data, offs in text_bytes(b.column("text")):
                 row = np.repeat(np.arange(j - i), np.diff(offs))
                 mine = np.array(label[i:j], np.int64)
-                for order in orders:
-                    code, r = gram_codes(data, row, order)
-                    if wanted is not None:
-                        there = wanted[np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)] == code
-                        code, r = code[there], r[there]
+                for order in orders if table is None else (None,):
+                    if table is None:
+                        code, r = gram_codes(data, row, order)
+                    else:
+                        r, at = table.find(data, row)
+                        code = wanted[at]
                     if per_document:        # a gram of a document counts once
                         pair = pd.unique((r << 36) + code)
                         code, r = pair & ((1 << 36) - 1), pair >> 36
