@@ -8,7 +8,6 @@ or results differ. They are stated plainly and in their original order.
 URL_PATTERN = r"(\(|\[)?(https?|ftp|file)://[-A-Za-z0-9+&@#/%?=~_|!:,.;]+[-A-Za-z0-9+&@#/%=~_|](\)|\])?"
 SUBREDDIT_PATTERN = r"(\(|\[)?r/[A-Za-z]*(\)|\])?"
 USER_PATTERN = r"(\(|\[)?u/[A-Za-z]*(\)|\])?"
-N_PATTERN = ".*\n.*\n.*\n.*"          # three or more newlines -> drop
 WHITELIST_PATTERN = "[^\u4e00-\u9fa5a-zA-Z\\p{Nd},\\,.，。!！*%￥$？?]+"
 USER_MASK = "[USER]"
 SUBREDDIT_MASK = "[SUB]"
@@ -31,7 +30,6 @@ MAX_TOKENS_EXCLUSIVE = 80
 REPLY_PREFIX = "t1"
 
 # --- fixed values: batch sizes ---
-CRAWL_BATCH = 50
 TRANSLATE_BATCH = 25
 TRANSLATE_ROWS = 15000
 ENCODE_BATCH = 1000

@@ -452,6 +452,12 @@ def q_stream_generate(spark, sf_dir) -> DataFrame:
     return read_output(spark, f"{base}/out").select(*C.DIALOGUE_COLUMNS)
 
 
+def q_bertscore_texts(spark, sf_dir) -> DataFrame:
+    """A10 of every prediction's text, by token vectors learned from the texts."""
+    from ..operators.embeddings import bertscore_texts
+    return _rv(bertscore_texts(X.predictions(spark, sf_dir)))
+
+
 def _bigram_rows(spark, sf_dir) -> DataFrame:
     """(lang, gram): the distinct bigrams of every prediction; more rows per language than any of the original's limits."""
     from ..session import materialize
@@ -659,6 +665,7 @@ QUERIES = {
     "land_translated": q_land_translated,
     "csv_dialogues": q_csv_dialogues,
     "stream_generate": q_stream_generate,
+    "bertscore_texts": q_bertscore_texts,
     "split_ratio_binding": q_split_ratio_binding,
     "head_rows_binding": q_head_rows_binding,
     "diversity_months": q_diversity_months,
@@ -927,6 +934,29 @@ ORACLE = {
 }
 
 ORACLE["stream_generate_late"] = ORACLE["generate_two_months"] = ORACLE["generate_dialogues"]
+_SIGNS = ", ".join(f"sum(CASE WHEN substr(h, {j + 1}, 1) >= '8' THEN p ELSE -p END)" for j in range(32))
+ORACLE["bertscore_texts"] = O.with_(
+    O.PREDICTIONS,
+    f"tx AS (SELECT {OM.tokens('pred')} AS t FROM predictions UNION ALL SELECT {OM.tokens('ref')} FROM predictions)",
+    "co AS MATERIALIZED (SELECT token, context, count(*) AS c FROM (SELECT t[i] AS token, unnest(list_concat("
+    "list_slice(t, greatest(i - 2, 1), i - 1), list_slice(t, i + 1, i + 2))) AS context "
+    "FROM (SELECT t, unnest(range(1, len(t) + 1)) AS i FROM tx)) GROUP BY ALL)",
+    "sm AS (SELECT token, sum(c)::DOUBLE AS s FROM co GROUP BY token)",
+    "mi AS (SELECT co.token, md5(co.context) AS h, ln(c * (SELECT sum(c) FROM co)::DOUBLE / (a.s * b.s)) AS p "
+    "FROM co JOIN sm a ON a.token = co.token JOIN sm b ON b.token = co.context)",
+    f"vc AS MATERIALIZED (SELECT token, list_transform(v, lambda x: x / greatest(sqrt(list_dot_product(v, v)), 1e-300)) AS v FROM "
+    f"(SELECT token, [{_SIGNS}] AS v FROM mi WHERE p > 0 GROUP BY token))",
+    f"pt AS MATERIALIZED (SELECT pair_id, side, token, count(*) AS n, any_value(v) AS v FROM (SELECT pair_id, 0 AS side, unnest({OM.tokens('pred')}) AS token FROM predictions "
+    f"UNION ALL SELECT pair_id, 1, unnest({OM.tokens('ref')}) FROM predictions) JOIN vc USING (token) GROUP BY ALL)",
+    "sim AS MATERIALIZED (SELECT p.pair_id, p.token AS a, r.token AS b, p.n AS pn, r.n AS rn, list_dot_product(p.v, r.v) AS s "
+    "FROM pt p JOIN pt r ON r.pair_id = p.pair_id AND p.side = 0 AND r.side = 1)",
+    "pr AS (SELECT pair_id, sum(pn * s) / sum(pn) AS precision FROM (SELECT pair_id, a, pn, max(s) AS s FROM sim GROUP BY ALL) GROUP BY pair_id)",
+    "re AS (SELECT pair_id, sum(rn * s) / sum(rn) AS recall FROM (SELECT pair_id, b, rn, max(s) AS s FROM sim GROUP BY ALL) GROUP BY pair_id)",
+    "sc AS (SELECT coalesce(precision, 0) AS precision, coalesce(recall, 0) AS recall, "
+    "CASE WHEN precision + recall <> 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 "
+    "FROM predictions LEFT JOIN pr USING (pair_id) LEFT JOIN re USING (pair_id))") + (
+    "SELECT 'bertscore' AS metric, x.name, round(x.value, 6) AS value FROM (SELECT unnest(["
+    "{'name': 'precision', 'value': avg(precision)}, {'name': 'recall', 'value': avg(recall)}, {'name': 'f1', 'value': avg(f1)}]) AS x FROM sc)")
 _BIGRAMS = (f"bigrams AS (SELECT DISTINCT lang, array_to_string(gram, ' ') AS gram FROM (SELECT lang, unnest({OM.ng('t', '2')}) AS gram "
             f"FROM (SELECT lang, {OM.tokens('pred')} AS t FROM predictions)))")
 ORACLE["split_ratio_binding"] = O.with_(O.PREDICTIONS, _BIGRAMS, _ratio_split("bigrams", "gram")) + (

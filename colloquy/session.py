@@ -8,10 +8,33 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+COMMON = {
+    "spark.ui.enabled": "false",
+    "spark.sql.files.maxPartitionBytes": str(64 << 20),   # text explodes ~30x in rows
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def cluster_session(app: str = "colloquy", shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """Session on the cluster that ``spark-submit`` names: its master, memory and addresses stay as given.
+
+    Only what the operators assume is set: AQE, UTC, Arrow, splits of 64 MB and
+    no UI. ``spark.checkpoint.dir`` must name a shared folder.
+    """
+    b = SparkSession.builder.appName(app)
+    for k, v in {**COMMON, **({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {}), **(extra or {})}.items():
+        b = b.config(k, v)
+    return b.getOrCreate()
+
+
 def build_session(master: str | None = None, app: str = "colloquy",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Session with the settings the operators assume.
+    """Local session (tests, benchmark) with the settings the operators assume.
 
     AQE re-plans joins at runtime (broadcast conversion, skew-join splits,
     partition coalescing); the UI stays off.
@@ -19,20 +42,15 @@ def build_session(master: str | None = None, app: str = "colloquy",
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or int(cpus)
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
+    b = SparkSession.builder.master(master).appName(app)
+    for k, v in COMMON.items():
+        b = b.config(k, v)
+    b = (b.config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.host", "127.0.0.1")
          .config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.driver.memory", "20g")
          .config("spark.sql.shuffle.partitions", str(parts))
-         .config("spark.sql.files.maxPartitionBytes", str(64 << 20))   # text explodes ~30x in rows
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.colloquy.spread", cpus)
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.colloquy.spread", cpus))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -24,8 +24,6 @@ COMMENT_SCHEMA = T.StructType([
     T.StructField("subreddit", T.StringType()),
 ])
 
-SUBMISSION_SCHEMA = T.StructType([T.StructField("link_id", T.StringType()), T.StructField("title", T.StringType())])
-
 DIALOGUE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
                                 ("lang", "title", "source_body", "target_body", "link_id", "source_id", "target_id")])
 
@@ -41,15 +39,18 @@ def read_detailed(spark: SparkSession, path: str, langs=None) -> DataFrame:
     return df.where(F.col("lang").isin(list(langs))) if langs else df
 
 
+#: How a null is spelled in CSV, so that an empty string stays one: a private-use character before the word.
+NULL_FIELD = "\ue000null"
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "lineSep": "\n",
-               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+               "nullValue": NULL_FIELD, "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_dialogues(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """S3: dialogue or cleaned rows; CSV (header, RFC 4180 quoting, fields may
-    span lines) or Parquet."""
+    span lines) or Parquet. Empty strings and nulls stay what they are; a
+    malformed line fails the job."""
     if fmt == "csv":
-        return spark.read.schema(DIALOGUE_SCHEMA).options(**CSV_OPTIONS).csv(path)
+        return spark.read.schema(DIALOGUE_SCHEMA).option("mode", "FAILFAST").options(**CSV_OPTIONS).csv(path)
     return spark.read.parquet(path)
 
 
@@ -74,7 +75,8 @@ def variant(path: str, translated: bool) -> str:
 
 
 def _not_null(df: DataFrame) -> DataFrame:
-    return df.na.drop(how="all")
+    """Without the rows that hold nothing but their partition's label."""
+    return df.na.drop(how="all", subset=[c for c in df.columns if c not in ("lang", "split")])
 
 
 def write_detailed(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -200,3 +200,65 @@ def test_length_report_has_every_total(spark):
                 groups[la if by_lang else "all", sp if by_split else "all"].append(n)
             want += [(*k, len(v), sum(v) / len(v), 10 * sum(v), sorted(v)[math.ceil(len(v) * 0.5) - 1], max(v)) for k, v in groups.items()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+# --- A10 from texts, S3 ---
+
+def test_vectors_and_scores_of_texts_equal_plain_python(spark):
+    import hashlib
+
+    import numpy as np
+
+    from colloquy.operators import embeddings as EM
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(12)] + ["é", "the"]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 9))), " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 9)))) for i in range(30)]
+    rows += [(100, "w1 the w2 w3", "w1 the w2 w3"), (101, "", "w1"), (102, None, None), (103, "lonely", "lonely")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "pair_id long, pred string, ref string, vec string").repartition(3)
+    texts = [(t or "").split() for r in rows for t in r[1:]]
+    c = Counter()
+    for t in texts:
+        for i in range(len(t)):
+            for j in range(max(0, i - 2), min(len(t), i + 3)):
+                if i != j:
+                    c[t[i], t[j]] += 1
+    s, total = Counter(), sum(c.values())
+    for (a, _), n in c.items():
+        s[a] += n
+    vec = defaultdict(lambda: np.zeros(32))
+    for (a, b), n in c.items():
+        p = math.log(n * total / (s[a] * s[b]))
+        if p > 0:
+            vec[a] = vec[a] + p * np.array([1.0 if x >= "8" else -1.0 for x in hashlib.md5(b.encode()).hexdigest()])
+    got = {r["token"]: r["vec"] for r in EM.token_vectors(df, ["pred", "ref"]).collect()}
+    assert set(got) == set(vec) and "lonely" not in got
+    for t, v in vec.items():
+        assert got[t] == pytest.approx(v.tolist(), abs=1e-9)
+
+    def score(a, b):
+        a, b = ([vec[x] / np.linalg.norm(vec[x]) for x in (t or "").split() if x in vec] for t in (a, b))
+        if not a or not b:
+            return 0.0, 0.0, 0.0
+        m = np.array(a) @ np.array(b).T
+        p, r = m.max(1).mean(), m.max(0).mean()
+        return p, r, 2 * p * r / (p + r) if p + r else 0.0
+    want = np.mean([score(a, b) for _, a, b in rows], axis=0)
+    out = {r["name"]: r["value"] for r in EM.bertscore_texts(df).collect()}
+    assert [out[n] for n in ("precision", "recall", "f1")] == pytest.approx(want.tolist(), abs=1e-9)
+    same = df.where("pair_id = 100 or pair_id < 5").withColumn("ref", F.col("pred")).where("length(pred) > 12")
+    assert all(r["value"] == pytest.approx(1.0) for r in EM.bertscore_texts(same).collect())
+
+
+def test_csv_keeps_empty_strings_and_refuses_bad_lines(spark, tmp_path):
+    from colloquy.sources.io import DIALOGUE_SCHEMA, read_dialogues, write_detailed, write_dialogues_csv
+    rows = [("en", "", "a\nb", 'say "x", y', None, "NA", "\\N"), ("en", None, "", " pad ", "null", "\\", "\\\""), (None,) * 7]
+    df = spark.createDataFrame(rows, DIALOGUE_SCHEMA)
+    write_dialogues_csv(df.coalesce(1), str(tmp_path / "csv"))
+    got = read_dialogues(spark, str(tmp_path / "csv"), "csv")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.csv").write_text('lang,title,source_body,target_body,link_id,source_id,target_id\n"en","only two"\n')
+    with pytest.raises(Exception):
+        read_dialogues(spark, str(tmp_path / "bad"), "csv").collect()
+    write_detailed(spark.createDataFrame([("en", None, None), ("en", "x", None), (None, None, None)], "lang string, id string, body string"), str(tmp_path / "d"))
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 1
