@@ -6,6 +6,13 @@ axes next in line as well. A bucket is dealt to blocks of bounded size; a
 query visits every block of its buckets, so none is capped, and each block
 answers with its nearest rows by one matrix product. Equal vectors are
 indexed once, with the smallest ids they can contribute.
+
+How many hashes a table joins and how many buckets a query probes follow from
+the data: the exact neighbours of some queries, found by one pass, tell which
+settings find enough of them, and the one of these that visits the fewest rows
+is taken. Where neighbours are near, several hashes leave a query a small share
+of the rows; where vectors are nearly unstructured (the nearest ones hardly
+nearer than the rest), one hash and more probes do, and the share is large.
 """
 
 from __future__ import annotations
@@ -15,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import add_columns, materialize
+from .common import add_columns, arrow_map, materialize
 
 TABLES = 8
-HASHES = 1
-PROBES = 12
+HASHES = (1, 2, 3)
+PROBES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
+RECALL = 0.97                 # of the sampled queries' neighbours
+SAMPLE_QUERIES = 64
 BLOCK_ROWS = 4096
 SEED = 5
 
@@ -135,12 +144,59 @@ def _answer(near: DataFrame, classes: DataFrame, queries: DataFrame, k: int) ->
                 .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
-def search(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, hashes: int = HASHES,
-           probes: int = PROBES, block_rows: int = BLOCK_ROWS, seed: int = SEED) -> DataFrame:
+def _exact(unit: np.ndarray, top: int):
+    """For each of some unit vectors the ``top`` nearest rows of a batch, by one matrix product."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sims = unit @ _unit(_matrix(batch.column("v"))).T
+        m = min(top, batch.num_rows)
+        at = np.argsort(-sims, axis=1, kind="stable")[:, :m]
+        q = np.repeat(np.arange(len(unit)), m)
+        return pa.RecordBatch.from_arrays([pa.array(q), pa.array(sims[q, at.ravel()]), batch.column("cid").take(pa.array(at.ravel())),
+                                           batch.column("v").take(pa.array(at.ravel()))], ["q", "score", "cid", "v"])
+    return run
+
+
+def settings(classes: DataFrame, queries: DataFrame, k: int = 5, tables: int = TABLES, seed: int = SEED,
+             recall: float = RECALL, sample: int = SAMPLE_QUERIES) -> tuple[int, int]:
+    """(hashes, probes) that find a share ``recall`` of the k nearest rows of ``sample`` queries at the fewest visits.
+
+    The queries with the smallest hashes are compared with every row; they and
+    their neighbours, at most sample * (k + 1) vectors, reach the driver. If no
+    setting is good enough the one that finds most is taken.
+    """
+    some = queries.select("qcid").distinct().orderBy(F.xxhash64("qcid"), "qcid").limit(sample)
+    asked = classes.join(F.broadcast(some.withColumnRenamed("qcid", "cid")), "cid").select("cid", "v").orderBy("cid").collect()
+    if not asked:
+        return HASHES[0], PROBES[-1]
+    unit = _unit(np.array([r["v"] for r in asked], np.float64))
+    kind = classes.schema["v"].dataType.simpleString()
+    near = arrow_map(classes.select("cid", "v"), _exact(unit, k + 1), f"q long, score double, cid long, v {kind}")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "cid")
+    rows = near.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1).collect()
+    rows = [r for r in rows if r["cid"] != asked[r["q"]]["cid"]]
+    if not rows:
+        return HASHES[0], PROBES[0]
+    q = np.array([r["q"] for r in rows])
+    found = _unit(np.array([r["v"] for r in rows], np.float64))
+    width = 2 << max(0, (unit.shape[1] - 1).bit_length())
+    options = []
+    for h in HASHES:
+        own = buckets(found, tables, h, 1, seed)[:, :, 0]
+        asks = buckets(unit, tables, h, PROBES[-1], seed)
+        for p in PROBES:
+            met = (asks[q][:, :, :p] == own[:, :, None]).any(2).any(1).mean()
+            options.append((p / width ** h, h, p, float(met)))
+    enough = [o for o in options if o[3] >= recall]
+    _, h, p, _ = min(enough) if enough else max(options, key=lambda o: (o[3], -o[0]))
+    return h, p
+
+
+def search(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, hashes: int | None = None,
+           probes: int | None = None, block_rows: int = BLOCK_ROWS, seed: int = SEED) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest rows of ``vectors`` (vec_id, embedding) by cosine.
 
     ``is_query`` is a condition on the rows. Ties go to the smaller vec_id.
-    Rows of null id, and vectors that are null, empty, zero, hold null or
+    Without ``hashes`` and ``probes``, ``settings`` chooses them. Rows of null id, and vectors that are null, empty, zero, hold null or
     non-finite components, or differ in length from most, take no part.
     Repeated rows count once. A query that its probes leave with fewer than k
     answers is compared with every row, in blocks. An empty table gives no
@@ -166,6 +222,8 @@ def search(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, hashe
     queries = (v.where("q").join(classes.select("v", "cid"), "v")
                 .select(F.col("vec_id").alias("query_id"), F.col("cid").alias("qcid")).distinct())
     queries = materialize(queries, "ann-queries")
+    if hashes is None or probes is None:
+        hashes, probes = settings(classes, queries, k, tables, seed)
 
     def hashed(n: int):
         def run(batch: pa.RecordBatch) -> list[pa.Array]:
