@@ -18,6 +18,7 @@ from ..operators import langid
 from ..operators import encode as E
 from ..operators import infer as I
 from ..operators import metrics as M
+from ..operators import replytable
 from ..operators import split as S
 from ..functions.ngrams import ngrams
 from ..functions.text import whitespace_tokens
@@ -311,6 +312,37 @@ def _test_rows(spark, sf_dir) -> DataFrame:
     return S.select_split(s, "test")
 
 
+_REPLIES: dict = {}
+
+
+def reply_model(spark, sf_dir) -> replytable.ReplyTable:
+    """The followers of words in all turn pairs, kept for the session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REPLIES:
+        _REPLIES[key] = replytable.train_replies(X.turn_pairs(spark, sf_dir))
+    return _REPLIES[key]
+
+
+def _respond(spark, sf_dir, strategy) -> DataFrame:
+    model = reply_model(spark, sf_dir).factory()
+    return I.respond(X.turn_pairs(spark, sf_dir), model, strategy=strategy).select("pair_id", "pred")
+
+
+def q_respond_greedy(spark, sf_dir) -> DataFrame:
+    """U5, greedy: an answer to every turn pair's source."""
+    return _respond(spark, sf_dir, "greedy")
+
+
+def q_respond_beam(spark, sf_dir) -> DataFrame:
+    """U5, beam search of 5 beams that say no bigram twice."""
+    return _respond(spark, sf_dir, "beam_search")
+
+
+def q_respond_sample(spark, sf_dir) -> DataFrame:
+    """U5, seeded draws: temperature 0.8, the first 100 words, of these 0.7 of the probability."""
+    return _respond(spark, sf_dir, "sample")
+
+
 def q_translate_columns(spark, sf_dir) -> DataFrame:
     return I.translate_columns(cleaned(spark, sf_dir), I.tag_translator("[en] "))
 
@@ -650,6 +682,9 @@ QUERIES = {
     "truncate_text": q_truncate_text,
     "translate_columns": q_translate_columns,
     "evaluate_echo": q_evaluate_echo,
+    "respond_greedy": q_respond_greedy,
+    "respond_beam": q_respond_beam,
+    "respond_sample": q_respond_sample,
     "eval_raw_echo": q_eval_raw_echo,
     "eval_pivot_echo": q_eval_pivot_echo,
     "example_report": q_example_report,
@@ -971,6 +1006,19 @@ ORACLE["corpus_stats_rollup"] = (
     f"SELECT CASE grouping(lang) WHEN 1 THEN 'all' ELSE lang END AS lang, CASE grouping(split) WHEN 1 THEN 'all' ELSE split END AS split, "
     f"count(*) AS n, round(avg(t), 6) AS mean, sum(c)::BIGINT AS chars, {_LENGTHS} FROM (SELECT lang, split, "
     f"len({OM.tokens('target_body')})::BIGINT AS t, length(target_body) AS c FROM ({ORACLE['land_splits']})) GROUP BY CUBE (lang, split)")
+ORACLE["respond_greedy"] = "WITH RECURSIVE " + O.TURN_PAIRS + "," + f"""
+sq AS (SELECT list_concat(coalesce({OM.tokens('source_body')}, []), coalesce({OM.tokens('target_body')}, []), ['']) AS w FROM turn_pairs),
+bg AS MATERIALIZED (SELECT context, word, count(*) AS c FROM (SELECT w[i] AS context, w[i + 1] AS word
+  FROM (SELECT w, unnest(range(1, len(w))) AS i FROM sq)) WHERE length(context) <= {replytable.WORD_CHARS} AND length(word) <= {replytable.WORD_CHARS} GROUP BY ALL),
+cx AS (SELECT context FROM bg GROUP BY context ORDER BY sum(c) DESC, context LIMIT {replytable.CONTEXTS}),
+al AS (SELECT * FROM bg SEMI JOIN cx USING (context) UNION ALL SELECT '', word, sum(c)::BIGINT FROM bg WHERE word <> '' GROUP BY word),
+bs AS MATERIALIZED (SELECT context, word FROM (SELECT *, row_number() OVER (PARTITION BY context ORDER BY c DESC, word) AS k FROM al) WHERE k = 1),
+st AS (SELECT pair_id, coalesce(list_slice(t, 1, {V.MAX_INPUT_LENGTH})[-1], '') AS start FROM (SELECT pair_id, {OM.tokens('source_body')} AS t FROM turn_pairs)),
+ch(start, step, word) AS (SELECT DISTINCT start, 0, start FROM st UNION ALL
+  SELECT ch.start, ch.step + 1, bs.word FROM ch JOIN bs ON bs.context = CASE WHEN ch.word IN (SELECT context FROM cx) THEN ch.word ELSE '' END
+  WHERE ch.step < {V.MAX_TARGET_LENGTH} AND bs.word <> ''),
+an AS (SELECT start, string_agg(word, ' ' ORDER BY step) AS pred FROM ch WHERE step > 0 GROUP BY start)
+SELECT pair_id, coalesce(pred, '') AS pred FROM st LEFT JOIN an USING (start)"""
 ORACLE["zip_ranges"] = ORACLE["zip_bytes"]
 ORACLE["corpus_two_months"] = ORACLE["land_splits"]
 ORACLE["decode_labels"] = ORACLE["decode_tokens"]     # ignored labels read as padding
