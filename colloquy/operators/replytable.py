@@ -15,7 +15,6 @@ in no pair. The end is written as the empty word, which no token is.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,8 +22,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.draws import text_key, uniform
 from ..functions.text import whitespace_tokens
 from ..session import drop_table, materialize
+from .positional import first_k_per_group
 
 CONTEXTS = 5000      # words that have a row of their own
 CHOICES = 100        # followers kept per row
@@ -48,7 +49,8 @@ def reply_table(counts: DataFrame, contexts: int = CONTEXTS, choices: int = CHOI
     ``total`` counts every follower of the context, also those not kept. The
     row of all other words has the empty context and never the end.
     """
-    totals = counts.groupBy("context").agg(F.sum("c").alias("total")).orderBy(F.desc("total"), "context").limit(contexts)
+    totals = materialize(counts.groupBy("context").agg(F.sum("c").alias("total")).select("*", (-F.col("total")).alias("_o"), F.lit(0).alias("_g")))
+    totals = first_k_per_group(totals, ["_g"], ["_o", "context"], contexts).select("context", "total")
     own = counts.join(F.broadcast(totals), "context")           # ``contexts`` rows
     rest = counts.where(F.col("word") != END).groupBy("word").agg(F.sum("c").alias("c"))
     total = rest.agg(F.sum("c")).first()[0] or 0                # one number
@@ -205,18 +207,6 @@ def beam_search(table: ReplyTable, start: np.ndarray, limit: int, num_beams: int
     return [[answer for _, answer in b] for b in best]
 
 
-def text_key(text, seed: int) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{seed}|{text or ''}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-
-
-def uniform(keys: np.ndarray, draw: int) -> np.ndarray:
-    """Numbers in [0, 1) that depend on the key and the number of the draw alone (splitmix64's finalizer)."""
-    z = keys + np.uint64((draw + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0 ** -53
-
-
 def sample(table: ReplyTable, start: np.ndarray, limit: int, keys: np.ndarray, temperature: float = 1.0, top_k: int = 0,
            top_p: float = 0.0, num_return_sequences: int = 1) -> list:
     """Draw followers: the first ``top_k`` (0: all), of these the fewest that hold ``top_p`` of their

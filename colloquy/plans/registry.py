@@ -20,6 +20,7 @@ from ..operators import infer as I
 from ..operators import metrics as M
 from ..operators import replytable
 from ..operators import split as S
+from ..operators import trials
 from ..functions.ngrams import ngrams
 from ..functions.text import whitespace_tokens
 from ..sources import fixtures as X
@@ -73,6 +74,18 @@ def q_detect_lang(spark, sf_dir) -> DataFrame:
     return langid.classify(c, "id", "body", lang_detector(spark, sf_dir)).select("id", "lang", r6(F.col("prob")).alias("prob"))
 
 
+_TRIALS: dict = {}
+
+
+def q_detect_trials(spark, sf_dir) -> DataFrame:
+    """N2 as its library does it: seeded trials on every comment."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRIALS:
+        _TRIALS[key] = trials.train_trials(X.documents_corpus(spark, sf_dir))
+    c = X.comments(spark, sf_dir).select("id", delete_emoji("body").alias("body"))
+    return trials.detect_trials(c, "body", _TRIALS[key], ["id"]).select("id", "lang", r6(F.col("prob")).alias("prob"))
+
+
 _BYTE_MODELS: dict = {}
 
 
@@ -647,6 +660,7 @@ QUERIES = {
     "lang_model": q_lang_model,
     "classify_lang": q_classify_lang,
     "detect_lang": q_detect_lang,
+    "detect_trials": q_detect_trials,
     "select_features": q_select_features,
     "classify_bytes": q_classify_bytes,
     "zip_bytes": q_zip_bytes,
