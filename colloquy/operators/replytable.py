@@ -16,15 +16,17 @@ in no pair. The end is written as the empty word, which no token is.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.draws import text_key, uniform
 from ..functions.text import whitespace_tokens
-from ..session import drop_table, materialize
+from ..session import materialize
 from .positional import first_k_per_group
 
 CONTEXTS = 5000      # words that have a row of their own
@@ -33,32 +35,40 @@ WORD_CHARS = 64
 END = ""
 
 
-def follower_counts(pairs: DataFrame, source: str = "source_body", target: str = "target_body") -> DataFrame:
-    """(context, word, c): how often ``word`` comes directly after ``context``. A null text has no words."""
+def _places(pairs: DataFrame, source: str, target: str) -> DataFrame:
+    """(word, before, after) of every place; a null text has no words, and a long word is next to nothing."""
     none = F.array().cast("array<string>")
     words = F.concat(F.coalesce(whitespace_tokens(source), none), F.coalesce(whitespace_tokens(target), none), F.array(F.lit(END)))
-    e = pairs.select(words.alias("_w")).select(F.posexplode("_w").alias("_i", "context"), "_w")
-    e = e.select("context", F.get("_w", F.col("_i") + 1).alias("word")).where(
-        F.col("word").isNotNull() & (F.length("context") <= WORD_CHARS) & (F.length("word") <= WORD_CHARS))
-    return e.groupBy("context", "word").agg(F.count(F.lit(1)).alias("c"))
+    e = pairs.select(words.alias("_w")).select(F.posexplode("_w").alias("_i", "word"), "_w")
+    short = lambda c: F.when(F.length(c) <= WORD_CHARS, c)
+    return e.where(F.length("word") <= WORD_CHARS).select(
+        "word", short(F.get("_w", F.col("_i") - 1)).alias("before"), short(F.get("_w", F.col("_i") + 1)).alias("after"))
 
 
-def reply_table(counts: DataFrame, contexts: int = CONTEXTS, choices: int = CHOICES) -> DataFrame:
+def reply_table(pairs: DataFrame, source: str = "source_body", target: str = "target_body",
+                contexts: int = CONTEXTS, choices: int = CHOICES) -> DataFrame:
     """(context, rank, word, c, total): the kept followers, most frequent first, ties by word.
 
     ``total`` counts every follower of the context, also those not kept. The
-    row of all other words has the empty context and never the end.
+    row of all other words has the empty context and never the end. Words are
+    counted first, so that only the followers of kept contexts are shuffled.
     """
-    totals = materialize(counts.groupBy("context").agg(F.sum("c").alias("total")).select("*", (-F.col("total")).alias("_o"), F.lit(0).alias("_g")))
-    totals = first_k_per_group(totals, ["_g"], ["_o", "context"], contexts).select("context", "total")
-    own = counts.join(F.broadcast(totals), "context")           # ``contexts`` rows
-    rest = counts.where(F.col("word") != END).groupBy("word").agg(F.sum("c").alias("c"))
+    places = _places(pairs, source, target)
+    words = materialize(places.groupBy("word").agg(F.count("before").alias("c"), F.count("after").alias("total")), "words")
+    led = words.where("total > 0").select(F.col("word").alias("context"), "total", (-F.col("total")).alias("_o"), F.lit(0).alias("_g"))
+    kept = materialize(first_k_per_group(led, ["_g"], ["_o", "context"], contexts).select(
+        F.monotonically_increasing_id().alias("k"), "context", "total"), "contexts")
+    side = F.broadcast(kept)                                    # ``contexts`` rows
+    # A context travels as its number.
+    pairs_of = places.where(F.col("after").isNotNull()).join(side.select("k", F.col("context").alias("word")), "word")
+    own = pairs_of.groupBy("k", F.col("after").alias("word")).agg(F.count(F.lit(1)).alias("c"))
+    rest = words.where((F.col("word") != END) & (F.col("c") > 0)).select(F.lit(-1).cast("long").alias("k"), "word", "c")
     total = rest.agg(F.sum("c")).first()[0] or 0                # one number
-    rest = rest.select(F.lit(END).alias("context"), "word", "c", F.lit(total).cast("long").alias("total"))
     # The rank filter is applied in the tasks before the shuffle: a context sends ``choices`` rows per task.
-    w = Window.partitionBy("context").orderBy(F.desc("c"), "word")
-    both = own.select("context", "word", "c", "total").unionByName(rest)
-    return both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= choices)
+    w = Window.partitionBy("k").orderBy(F.desc("c"), "word")
+    ranked = own.unionByName(rest).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= choices)
+    return ranked.join(side, "k", "left").select(F.coalesce("context", F.lit(END)).alias("context"), "rank", "word", "c",
+                                                 F.coalesce("total", F.lit(total)).alias("total"))
 
 
 @dataclass
@@ -68,8 +78,10 @@ class ReplyTable:
     follower: np.ndarray     # rows x choices, word ids, -1 behind the last
     logp: np.ndarray         # rows x choices, -inf behind the last
 
-    def __post_init__(self):
-        self.ids = {w: i for i, w in enumerate(self.words)}
+    @cached_property
+    def ids(self) -> dict:
+        """Made in the task, so that it does not travel."""
+        return {w: i for i, w in enumerate(self.words)}
 
     def factory(self, max_input: int = V.MAX_INPUT_LENGTH, max_target: int = V.MAX_TARGET_LENGTH, seed: int = V.SEED):
         """A model factory for ``infer.responder``: sources are read up to ``max_input`` words,
@@ -93,17 +105,18 @@ class ReplyTable:
         return int(self.row_of[self.ids[read[-1]]]) if read and read[-1] in self.ids else 0
 
 
-def load_table(rows) -> ReplyTable:
-    """The table as arrays. ``rows`` is a pandas frame of ``reply_table``'s bounded rows."""
-    words = sorted({END, *rows["word"], *rows["context"]}) if len(rows) else []
+def load_table(rows: pd.DataFrame) -> ReplyTable:
+    """The rows of ``reply_table`` as arrays."""
+    said, led = (rows[c].astype("category") for c in ("word", "context"))
+    words = sorted({END, *said.cat.categories, *led.cat.categories}) if len(rows) else []
     ids = {w: i for i, w in enumerate(words)}
-    contexts = [END] + sorted(set(rows["context"]) - {END})
+    contexts = [END] + sorted(set(led.cat.categories) - {END})
     row = {c: i for i, c in enumerate(contexts)}
     width = int(rows["rank"].max()) if len(rows) else 1
     follower = np.full((len(contexts), width), -1, dtype=np.int32)
     logp = np.full((len(contexts), width), -np.inf)
-    at = rows["context"].map(row).to_numpy(dtype=np.int64), rows["rank"].to_numpy(dtype=np.int64) - 1
-    follower[at] = rows["word"].map(ids).to_numpy(dtype=np.int64)
+    at = np.array([row[c] for c in led.cat.categories], dtype=np.int64)[led.cat.codes], rows["rank"].to_numpy(dtype=np.int64) - 1
+    follower[at] = np.array([ids[w] for w in said.cat.categories], dtype=np.int64)[said.cat.codes]
     logp[at] = np.log(rows["c"].to_numpy(dtype=float)) - np.log(rows["total"].to_numpy(dtype=float))
     row_of = np.array([row.get(w, 0) for w in words], dtype=np.int32)
     return ReplyTable(words, row_of, follower, logp)
@@ -111,11 +124,8 @@ def load_table(rows) -> ReplyTable:
 
 def train_replies(pairs: DataFrame, source: str = "source_body", target: str = "target_body",
                   contexts: int = CONTEXTS, choices: int = CHOICES) -> ReplyTable:
-    """Learn the table of ``pairs``; (contexts + 1) x choices rows reach the driver, whatever the corpus."""
-    counts = materialize(follower_counts(pairs, source, target), "followers")
-    table = load_table(reply_table(counts, contexts, choices).toPandas())
-    drop_table(counts)
-    return table
+    """Learn the table of ``pairs``; (contexts + 1) x choices rows reach the driver, as Arrow, whatever the corpus."""
+    return load_table(reply_table(pairs, source, target, contexts, choices).toArrow().to_pandas(strings_to_categorical=True))
 
 
 # --- decoding: ``start`` holds the row each text starts from; answers are lists of word ids ---

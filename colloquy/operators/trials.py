@@ -154,7 +154,7 @@ def train_trials(corpus: DataFrame, lang_col: str = "lang", text_col: str = "tex
     counts_by = counts.withColumn("order", order)
     totals = {(r["lang"], r["order"]): r["n"] for r in counts_by.groupBy("lang", "order").agg(F.sum("c").alias("n")).collect()}
     w = Window.partitionBy("lang", "order").orderBy(F.desc("c"), "gram")
-    kept = counts_by.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_order).toPandas()
+    kept = counts_by.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_order).toArrow().to_pandas()
     # One row per language and script, of all its letters.
     by_script = counts_by.where("order = 1").groupBy("lang", _script_udf("gram").alias("script")).agg(F.sum("c").alias("c")).collect()
     drop_table(counts)
