@@ -78,3 +78,11 @@ def test_gram_counts_against_plain_python(spark, monkeypatch):
             if counts:
                 want[lang, n] = (len(seen), sum(counts.values()), sum(v * v for v in counts.values()))
     assert got == want
+
+
+def test_bigram_queries_group_strings(spark):
+    from colloquy.plans import registry as R
+    df = spark.createDataFrame([("x", ["a", "b", "a", "b"]), ("y", ["a"]), ("y", []), (None, ["b", "a"]), ("x", None)], "lang string, t array<string>")
+    rows = R._bigrams(df)
+    assert rows.schema["gram"].dataType.simpleString() == "string"
+    assert Counter(map(tuple, rows.collect())) == {("x", "a b"): 2, ("x", "b a"): 1, (None, "b a"): 1}
