@@ -86,3 +86,16 @@ def test_bigram_queries_group_strings(spark):
     rows = R._bigrams(df)
     assert rows.schema["gram"].dataType.simpleString() == "string"
     assert Counter(map(tuple, rows.collect())) == {("x", "a b"): 2, ("x", "b a"): 1, (None, "b a"): 1}
+
+
+def test_subword_batches_are_held_compactly():
+    import numpy as np
+    from pyspark.sql import types as T
+    from colloquy.operators import subword
+    from colloquy.plans import registry as R
+    tok = subword.piece_factory(subword.public_path(R.PIECES))()
+    a, b = tok.tokenize("over the hills"), tok.tokenize("the hills are over")
+    assert a and all(x is y for x in a for y in b if x == y)
+    ids = subword._compact(tok.ids, T.IntegerType())
+    assert ids("over the hills").dtype == np.int32 and ids("over the hills").tolist() == tok.ids("over the hills")
+    assert ids(None).tolist() == ids("").tolist() == []
