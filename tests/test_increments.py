@@ -249,6 +249,37 @@ def test_vectors_and_scores_of_texts_equal_plain_python(spark):
     assert all(r["value"] == pytest.approx(1.0) for r in EM.bertscore_texts(same).collect())
 
 
+def test_a_piece_gets_the_vector_of_a_word_once(spark):
+    import numpy as np
+
+    from colloquy.operators import embeddings as EM
+    from colloquy.operators.metrics import greedy_scores
+    from colloquy.session import materialize
+    rnd = random.Random(5)
+    text = lambda: " ".join(rnd.choices("abcdefghij", k=rnd.randint(0, 12)))
+    rows = [(i, text(), text()) for i in range(300)] + [(None, "a b", "c d"), (None, "a", "a b"), (7, "a b a", "b"), (7, None, "c j"), (8, "a b", None)]
+    df = spark.createDataFrame(rows, "pair_id long, pred string, ref string").repartition(2)
+    vectors = EM.token_vectors(df, ["pred", "ref"])
+    vec = {r["token"]: np.array(r["vec"]) for r in vectors.collect()}
+    sides = defaultdict(lambda: (Counter(), Counter()))
+    for key, *both in rows:
+        for count, t in zip(sides[key], both):
+            count.update((t or "").split())
+    got = [greedy_scores([vec[w] for w in a if w in vec], [vec[w] for w in b if w in vec], [n for w, n in a.items() if w in vec],
+                         [n for w, n in b.items() if w in vec]) if key is not None else (0.0, 0.0, 0.0) for key, (a, b) in sides.items()]
+    of = dict(zip(sides, got))
+    want = np.mean([of[key] for key, *_ in rows], axis=0).tolist()      # rows of one key are one pair, rows without a key score 0
+    for held in (20, 1 << 22):
+        out = {r["name"]: r["value"] for r in EM.bertscore_texts(df, held_tokens=held).collect()}
+        assert [out[n] for n in ("precision", "recall", "f1")] == pytest.approx(want, abs=1e-9)
+    cut = materialize(EM.cut_pairs(df), "t-pieces")
+    carried, whole = EM.piece_vectors(cut, vectors), cut.where("words is not null").count()
+    assert carried.count() == carried.select("of", "i").distinct().count() <= whole * len(vec)
+    assert carried.count() < sum(len(a) + len(b) for a, b in sides.values()) / 5
+    near = EM.cooccurrences(df.select(F.split("pred", " ").alias("t")), ["t"], held_tokens=10)
+    assert near.count() == near.where("a <= b").select("a", "b").distinct().count()
+
+
 def test_csv_keeps_empty_strings_and_refuses_bad_lines(spark, tmp_path):
     from colloquy.sources.io import DIALOGUE_SCHEMA, read_dialogues, write_detailed, write_dialogues_csv
     rows = [("en", "", "a\nb", 'say "x", y', None, "NA", "\\N"), ("en", None, "", " pad ", "null", "\\", "\\\""), (None,) * 7]
