@@ -89,14 +89,24 @@ class ReplyTable:
         decoders = {"greedy": greedy, "beam_search": beam_search, "sample": sample}
 
         def model():
+            known: dict = {}        # strategy and options -> answers by the row they start from
+
             def run(texts, strategy, **options):
                 starts = np.array([self.start_row(t, max_input) for t in texts], dtype=np.int64)
-                if strategy == "sample":
-                    options = {**options, "keys": np.array([text_key(t, seed) for t in texts], dtype=np.uint64)}
                 if not len(self.words) or not len(starts):
                     return [[""] for _ in texts]
-                found = decoders[strategy](self, starts, max_target, **options)
-                return [[" ".join(self.words[i] for i in answer) for answer in answers] for answers in found]
+
+                def decode(rows, **more):
+                    found = decoders[strategy](self, rows, max_target, **options, **more)
+                    return [[" ".join(self.words[i] for i in answer) for answer in answers] for answers in found]
+                if strategy == "sample":
+                    return decode(starts, keys=np.array([text_key(t, seed) for t in texts], dtype=np.uint64))
+                # Nothing but the row decides the answers: a worker decodes each row of the table once at most.
+                have = known.setdefault((strategy, *sorted(options.items())), {})
+                new = sorted(set(starts.tolist()) - have.keys())
+                if new:
+                    have.update(zip(new, decode(np.array(new, dtype=np.int64))))
+                return [list(have[row]) for row in starts.tolist()]
             return run
         return model
 

@@ -186,6 +186,22 @@ def test_answers_do_not_depend_on_partitions(spark, learned):
         assert one == many and len(one) == df.count() and all(r[2] is not None for r in one)
 
 
+def test_a_worker_decodes_a_row_once(learned, monkeypatch):
+    table = T.train_replies(learned[1])
+    for strategy in ("greedy", "beam_search"):
+        decoded, inner = [], getattr(T, strategy)
+        monkeypatch.setattr(T, strategy, lambda t, start, *a, f=inner, d=decoded, **k: d.extend(start.tolist()) or f(t, start, *a, **k))
+        run = table.factory()()
+        texts = ["a", "b", "a", None, "no such word", "c a"] * 20
+        options = V.STRATEGIES[strategy]
+        got = [x for i in range(0, len(texts), 7) for x in run(texts[i:i + 7], strategy, **options)]
+        assert len(decoded) == len(set(decoded)) <= len(table.follower)
+        each = [table.factory()()([t], strategy, **options)[0] for t in texts[:6]]
+        assert got == each * 20
+        one = {"num_beams": 1} if strategy == "beam_search" else {}
+        assert [run([t], strategy, **{**options, **one}) for t in texts[:6]] == [table.factory()()([t], strategy, **{**options, **one}) for t in texts[:6]]
+
+
 def test_empty_tables_answer_with_nothing(spark):
     schema = "source_body string, target_body string"
     for rows in ([], [(None, None)], [("", " ")], [("a", None)]):
