@@ -110,6 +110,47 @@ def test_a_stopped_file_goes_on_without_rereading(spark, monkeypatch):
     assert json.loads(publish.Files(spark, base).read(f"{base}/progress/{record}"))["byte"] == size
 
 
+def test_the_dump_is_written_in_parallel_and_left_inside_a_file(spark, monkeypatch):
+    from colloquy.streaming import incremental
+    seen, inner = [], incremental.zip_ranges
+
+    def spy(session, src, out, progress, *args, **options):
+        n = inner(session, src, out, progress, *args, **options)
+        if options.get("most"):
+            files, sizes = publish.Files(session, progress), dict(ranges.list_files(session, src))
+            r = json.loads(files.read(f"{progress}/{sorted(files.names(progress))[-1]}"))
+            seen.append((len(sizes), 0 < r["byte"] < sizes[r["path"]], options["split_bytes"] <= ranges.SPLIT_BYTES))
+        return n
+    monkeypatch.setattr(incremental, "zip_ranges", spy)
+    got = sorted(map(tuple, R.q_zip_ranges(spark, SF001).collect()))
+    assert got == sorted(map(tuple, R.q_zip_bytes(spark, SF001).select(*DETAILED_COLUMNS).collect()))
+    assert len(seen) == 1 and seen[0][0] > 1 and seen[0][1:] == (True, True)
+
+
+def test_grams_marked_in_tables_equal_hashed_ones():
+    import numpy as np
+
+    from colloquy.operators import bytegrams as B
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choices("abé", k=rnd.randint(0, 30))).encode() for _ in range(40)] + [b""]
+    label = np.array([rnd.choice((0, 3, 7)) for _ in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    for order in B.ORDERS:
+        code, r = B.gram_codes(data, row, order)
+        held = Counter((int(n) << 36) + g for n, t in zip(label, texts)
+                       for g in {(order << 32) + int.from_bytes(t[i:i + order], "big") for i in range(len(t) - order + 1)})
+        met = Counter(((label[r] << 36) + code).tolist())
+        wanted = np.unique(code)
+        for k, n in (B._documents_of(code, r, label), B._documents_of(code, r, label, cells=0)):
+            assert dict(zip(k.tolist(), n.tolist())) == held
+        k, n = B._occurrences(np.searchsorted(wanted, code), r, label, wanted)
+        assert dict(zip(k.tolist(), n.tolist())) == met
+    none = np.zeros(0, np.int64)
+    assert all(len(x) == 0 for f in ((none, none, label), (none, none, none)) for x in B._documents_of(*f))
+    assert all(len(x) == 0 for x in B._occurrences(none, none, none, none))
+
+
 def test_ranges_refuse_bad_lines_and_records(spark, tmp_path):
     ship_package(spark)
     (tmp_path / "in").mkdir()
