@@ -80,6 +80,40 @@ def test_gram_counts_against_plain_python(spark, monkeypatch):
     assert got == want
 
 
+def test_ngrams_travel_as_packed_blocks(spark):
+    ship_package(spark)
+    r = random.Random(3)
+    rows = [(k, r.choice(["x", None]), [str(r.randrange(3000)) for _ in range(200)], []) for k in range(200)]
+    blocks = G.gram_blocks(spark.createDataFrame(rows, ROW).coalesce(1), "p", (1, 2, 4), ["lang"], 3)
+    held = blocks.select(F.sum(F.length("low")), F.sum(F.length("step") + F.length("low") + F.length("c")), F.count(F.lit(1))).first()
+    assert held[1] / (held[0] / 8) < 12 and held[2] <= 2 * 3 * 8
+    sums = lambda b, bits: sorted(map(tuple, M.block_sums(b, ["lang"], bits).collect()), key=str)     # noqa: E731
+    got = {(lang, n): (nd, t) for lang, n, nd, t, _ in sums(blocks, 3)}
+    for lang in ("x", None):
+        for n in (1, 2, 4):
+            grams = [tuple(t[i:i + n]) for _, l, t, _ in rows if l == lang for i in range(len(t) - n + 1)]
+            assert got[lang, n] == (len(set(grams)), len(grams))
+    assert [s[:4] for s in sums(G.deal_blocks(blocks, ["lang"], 6), 6)] == [s[:4] for s in sums(blocks, 3)]
+
+
+def test_ngrams_of_one_sort_key_are_told_apart():
+    import numpy as np
+    import pyarrow as pa
+    schema = G.T.StructType([G.T.StructField(c, G.T.LongType()) for c in ("part", "n", "d", "base", "step", "low", "c")])
+    keep = pa.table({"n": pa.array([1], pa.int8()), "d": pa.array([1], pa.int8())})
+    top, low = np.array([1, 2, 1, 2, 1]), np.array([7, 7, 7, 7, -7])
+    block = G._blocks(0, keep, np.zeros(5, np.int64), top, low, np.array([1, 1, 300, 1, 1]), schema)
+    _, _, _, t, l, c = G.added(pa.Table.from_batches([block, block]), [])
+    assert sorted(zip(t.tolist(), l.tolist(), c.tolist())) == [(1, -7, 2), (1, 7, 602), (2, 7, 4)]
+
+
+def test_texts_of_large_inputs_are_not_dealt(spark, monkeypatch):
+    df = spark.range(10).select(F.col("id").alias("pair_id"), F.lit("a b").alias("pred"))
+    assert "Repartition" in plan_of(M.by_pair(df))
+    monkeypatch.setattr(M, "SPREAD_BYTES", 0)
+    assert "Repartition" not in plan_of(M.by_pair(df))
+
+
 def test_bigram_queries_group_strings(spark):
     from colloquy.plans import registry as R
     df = spark.createDataFrame([("x", ["a", "b", "a", "b"]), ("y", ["a"]), ("y", []), (None, ["b", "a"]), ("x", None)], "lang string, t array<string>")
