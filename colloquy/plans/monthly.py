@@ -7,12 +7,16 @@ its own; the report adds up what is published and reads no text.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions import fixed_values as V
 from ..operators import metrics as M
+from ..operators.tokengrams import TOP_BITS, deal_blocks, gram_blocks
+from ..session import materialize, shuffles_dropped
 from ..sources import publish
 
 QUANTILES = (0.5, 0.9, 0.99)
@@ -27,18 +31,29 @@ def _publish(spark: SparkSession, root: str, run: str, tables: dict[str, DataFra
     publish.publish(spark, root, version)
 
 
+PASS_BITS = 2       # the n-grams of all runs are added up in 2^bits passes, so that only a share of them is shuffled at a time
+
+
 def add_diversity_run(preds: DataFrame, root: str, run: str, by=(), orders=V.DISTINCT_ORDERS, pred: str = "pred") -> None:
-    """Count one run's predictions (A2-A7) into the tables below ``root``."""
+    """Count one run's predictions (A2-A7) into the tables below ``root``; its n-grams lie there as the tasks counted them."""
     tok = M.with_metric_tokens(preds, pred)
-    _publish(preds.sparkSession, root, run, {"grams": M.gram_counts(tok, "tokens", orders, by),
+    _publish(preds.sparkSession, root, run, {"grams": gram_blocks(tok, "tokens", orders, list(by), PASS_BITS),
                                              "totals": M.sentence_totals(tok, "tokens", orders, by)})
 
 
 def diversity_report(spark: SparkSession, root: str, by=(), orders=V.DISTINCT_ORDERS, runs: list | None = None) -> DataFrame:
     """A2-A7 over all published runs (or some), equal to one pass over all their rows."""
-    grams = M.merge_gram_counts(publish.read_published(spark, f"{root}/grams", runs=runs), by)
-    totals = M.merge_totals(publish.read_published(spark, f"{root}/totals", runs=runs), orders, by)
-    return M.diversity_of(grams, totals, orders, by)
+    by = list(by)
+    blocks = publish.read_published(spark, f"{root}/grams", runs=runs)
+    totals = materialize(M.merge_totals(publish.read_published(spark, f"{root}/totals", runs=runs), orders, by), "totals")
+    passes = 1 << PASS_BITS
+    bits = min(M.gram_bits(blocks, M.tokens_of(totals) // passes, orders), TOP_BITS - PASS_BITS)
+    sums = []
+    with shuffles_dropped(spark):
+        for k in range(passes):
+            some = deal_blocks(blocks.where(F.col("part") == k), by, PASS_BITS + bits)
+            sums.append(materialize(M.block_sums(some, by, bits), "gram-sums"))
+    return M.diversity_of(M.merge_sums(reduce(DataFrame.unionByName, sums), by), totals, orders, by)
 
 
 def length_counts(rows: DataFrame, length, chars, by=("lang", "split")) -> DataFrame:

@@ -228,6 +228,19 @@ def test_monthly_diversity_equals_one_pass(spark):
     assert [r[3] for r in part] == pytest.approx([r[3] for r in one], abs=1e-9)
 
 
+def test_a_month_counted_again_leaves_one_folder_and_no_shuffles(spark, monkeypatch):
+    from colloquy.plans import registry
+    from colloquy.sources import publish
+    gone, vacuum = [], publish.vacuum
+    monkeypatch.setattr(publish, "vacuum", lambda *a, **k: gone.extend(vacuum(*a, **k)) or gone)
+    registry.q_diversity_months(spark, SF001).collect()
+    assert len(gone) == 2 and all("/m0-" in g for g in gone)
+    root = scratch_path(spark, "t-grams")
+    monthly.add_diversity_run(X.predictions(spark, SF001), root, "m0", ["lang"])
+    blocks = publish.read_published(spark, f"{root}/grams")
+    assert blocks.schema["low"].dataType.simpleString() == "binary" and blocks.count() < 1000
+
+
 def test_length_report_has_every_total(spark):
     rows = [("en", "train", 3), ("en", "train", 5), ("en", "test", 5), ("de", "train", 1), (None, "test", 9), ("all", "train", 2)]
     df = spark.createDataFrame(rows, "lang string, split string, n int")
