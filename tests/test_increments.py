@@ -334,6 +334,23 @@ def test_a_piece_gets_the_vector_of_a_word_once(spark):
     assert near.count() == near.where("a <= b").select("a", "b").distinct().count()
 
 
+def test_vectors_and_scores_in_passes_equal_one_pass(spark, monkeypatch):
+    from colloquy.operators import embeddings as EM
+    rnd = random.Random(7)
+    text = lambda: " ".join(rnd.choices("abcdefghij", k=rnd.randint(0, 12)))
+    df = spark.createDataFrame([(i, text(), text()) for i in range(100)], "pair_id long, pred string, ref string").repartition(2)
+    found = []
+    for passes in ({"counts": 1, "vectors": 1, "scores": 1}, {"counts": 2, "vectors": 3, "scores": 2}):
+        monkeypatch.setattr(EM, "PASSES", passes)
+        vec = {r["token"]: r["vec"] for r in EM.token_vectors(df, ["pred", "ref"]).collect()}
+        found.append((vec, {r["name"]: r["value"] for r in EM.bertscore_texts(df, held_tokens=200).collect()}))
+    (v, s), (w, t) = found
+    assert set(v) == set(w) and all(v[x] == pytest.approx(w[x], abs=1e-9) for x in v) and s == pytest.approx(t, abs=1e-9)
+    near = [EM.cooccurrences(df.select(F.split("pred", " ").alias("t")), ["t"], share=(k, 2)) for k in (0, 1)]
+    whole = EM.cooccurrences(df.select(F.split("pred", " ").alias("t")), ["t"])
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, near[0].union(near[1]).collect()))
+
+
 def test_csv_keeps_empty_strings_and_refuses_bad_lines(spark, tmp_path):
     from colloquy.sources.io import DIALOGUE_SCHEMA, read_dialogues, write_detailed, write_dialogues_csv
     rows = [("en", "", "a\nb", 'say "x", y', None, "NA", "\\N"), ("en", None, "", " pad ", "null", "\\", "\\\""), (None,) * 7]
